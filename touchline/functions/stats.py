@@ -73,3 +73,12 @@ def blank_to_null(c) -> Column:
 def concat_nullsafe(*cols) -> Column:
     """String concatenation treating NULL as empty text."""
     return F.concat_ws("", *[col(c) for c in cols])
+
+
+def exact_ratio(n, d, in_scale: int = 2) -> Column:
+    """``n / NULLIF(d, 0)`` as decimal(38,6), rounded half-up from the exact
+    quotient (both inputs are cast to decimal(38, in_scale); the decimal
+    division result then has scale 6)."""
+    nd = col(n).cast(f"decimal(38,{in_scale})")
+    dd = col(d).cast(f"decimal(38,{in_scale})")
+    return F.when(dd == 0, F.lit(None).cast("decimal(38,6)")).otherwise(nd / dd).cast("decimal(38,6)")
