@@ -46,7 +46,14 @@ class GoldModel:
     # -- constructors --------------------------------------------------------
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str, **kw) -> "GoldModel":
-        return cls(spark, silver=silver_from_driver(DriverTables(spark, sf_dir)), **kw)
+        t = DriverTables(spark, sf_dir)
+        m = cls(spark, silver=silver_from_driver(t), **kw)
+        m._t["_driver"] = t
+        return m
+
+    @property
+    def driver(self) -> DriverTables:
+        return self._t["_driver"]
 
     @classmethod
     def from_tables(cls, spark: SparkSession, root: str, **kw) -> "GoldModel":
