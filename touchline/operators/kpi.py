@@ -116,7 +116,26 @@ def _agg(m: Measure):
 
 def monthly(g, m: Measure) -> DataFrame:
     """KPI-01 building block: (performance_year, performance_month[, entity
-    [, campaign_name]], alias)."""
+    [, campaign_name]], alias).
+
+    Memoised per model: the 55 views need ~40 distinct monthly aggregates,
+    so views built on one ``GoldModel`` share them (and ``shared_monthly``
+    can persist them once for a whole report run)."""
+    memo = g._t.setdefault("_monthly", {})
+    if m not in memo:
+        memo[m] = _monthly(g, m)
+    return memo[m]
+
+
+def shared_monthly(g, views, storage=None) -> list[DataFrame]:
+    """Persist every monthly aggregate the given views need.  They are small
+    (months × entities), so each is computed once for a whole report."""
+    from pyspark import StorageLevel
+    measures = {m for v in views for m in (v.a, v.b) if m is not None}
+    return [monthly(g, m).persist(storage or StorageLevel.MEMORY_AND_DISK) for m in measures]
+
+
+def _monthly(g, m: Measure) -> DataFrame:
     df, date = _source(g, m)
     if date is None:  # month through the calendar key yyyymmdd
         y = F.floor(F.col("date_key") / 10000).cast("int")
