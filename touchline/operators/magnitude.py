@@ -48,11 +48,14 @@ def magnitude(fact: DataFrame, keys: list, aggs: list[tuple[str, str, str | None
 
 def histogram(entities: DataFrame, fact: DataFrame, key: str, count_col: str,
               count_alias: str, users_alias: str = "total_users") -> DataFrame:
-    """MAG-6.1 / 7.1: entities by their number of fact rows, zero included
-    (left join → per-entity count → count of entities per count)."""
-    per = (entities.select(key).join(fact.select(F.col(key).alias("_k"), F.col(count_col).alias("_c")),
-                                     F.col(key) == F.col("_k"), "left")
-           .groupBy(key).agg(F.count("_c").alias(count_alias)))
+    """MAG-6.1 / 7.1: entities by their number of fact rows, zero included.
+
+    The fact is reduced to one row per entity first (partial aggregation, so
+    a hot entity never travels as raw rows), then left-joined to the
+    entities; missing entities count 0."""
+    per_fact = fact.groupBy(F.col(key).alias("_k")).agg(F.count(count_col).alias("_c"))
+    per = (entities.select(key).join(per_fact, F.col(key) == F.col("_k"), "left")
+           .select(key, F.coalesce(F.col("_c"), F.lit(0)).alias(count_alias)))
     return per.groupBy(count_alias).agg(F.count(key).alias(users_alias)).orderBy(F.desc(users_alias))
 
 

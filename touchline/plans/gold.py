@@ -123,17 +123,20 @@ class GoldModel:
     def _build_fact_user_acquisition(self):
         return attribution.first_touch(self.fact_touchpoints)
 
-    # -- materialisation (SRC-03) -------------------------------------------
-    def materialize(self, root: str, with_keys: bool = True) -> dict[str, str]:
-        """Write every gold table as parquet under ``root`` (overwrite = the
-        reference's drop/create/insert).  Returns table → path."""
-        out = {}
-        for name in GOLD_TABLES:
+    # -- materialisation (SRC-03 / SRC-05) ------------------------------------
+    def materialize(self, root: str, with_keys: bool = True) -> DataFrame:
+        """Gold load job: write every gold table as parquet under
+        ``<root>/gold/<table>`` (overwrite = the reference's drop / create /
+        insert), dimensions with their dense surrogate keys; returns the
+        audit table (layer, table, rows, seconds, status).  Reload with
+        ``GoldModel.from_tables(spark, f"{root}/gold")``."""
+        from ..sources.bronze import run_layer
+
+        def job(name):
             df = self.table(name)
             if with_keys and name in SURROGATE_KEYS:
                 key, order = SURROGATE_KEYS[name]
                 df = dims.with_dense_key(df, key, order)
-            path = f"{root.rstrip('/')}/{name}"
-            df.write.mode("overwrite").parquet(path)
-            out[name] = path
-        return out
+            return df
+
+        return run_layer(self.spark, "gold", {n: (lambda n=n: job(n)) for n in GOLD_TABLES}, root)

@@ -81,6 +81,23 @@ add("prf_08_unknown_channels",
     lambda g: prf.absent_from(_clean_spend(g), "channel", g.dim_channel, "channel_name"),
     f"""SELECT DISTINCT channel FROM (SELECT {_CHAN_CASE} AS channel FROM lineitem) x
         WHERE channel IS NOT NULL AND channel NOT IN (SELECT channel_name FROM dim_channel)""")
+add("prf_03_hot_campaign_ids", lambda g: prf.key_counts(_RAW(g), "campaign_id", 100),
+    f"SELECT campaign_id, COUNT(*) AS n FROM {_RAW_SQL} GROUP BY campaign_id HAVING COUNT(*) > 100")
+add("prf_04_missing_channel_rows", lambda g: prf.missing(_RAW(g).drop("spend"), "channel"),
+    f"SELECT date, channel, campaign_id FROM {_RAW_SQL} WHERE channel IS NULL OR trim(channel) = ''")
+add("prf_09_repeated_dates", lambda g: dq.repeated_values(_RAW(g), "date", 50),
+    f"SELECT date, COUNT(*) AS n FROM {_RAW_SQL} GROUP BY date HAVING COUNT(*) > 50")
+add("prf_10_channel_preview", lambda g: prf.preview(_RAW(g), "channel", C.canonical_channel),
+    f"""SELECT DISTINCT {_RAW_CASE.replace('NULL', "''")} AS raw_channel, {_CHAN_CASE} AS clean_channel FROM lineitem""")
+add("prf_11_null_like_rows", lambda g: prf.null_like(_RAW(g).drop("spend")).groupBy().count()
+    .withColumnRenamed("count", "n"),
+    f"SELECT COUNT(*) AS n FROM {_RAW_SQL} WHERE date IS NULL OR trim(date) = '' OR channel IS NULL OR trim(channel) = '' "
+    "OR campaign_id IS NULL OR trim(campaign_id) = ''")
+add("prf_14_sentinel_dates", lambda g: prf.pattern_rows(_RAW(g), "date", "^[A-Za-z_]+$").groupBy("date").count()
+    .withColumnRenamed("count", "n"),
+    f"SELECT date, COUNT(*) AS n FROM {_RAW_SQL} WHERE regexp_full_match(date, '[A-Za-z_]+') GROUP BY date")
+add("prf_15_distinct_objectives", lambda g: g.dim_campaign.select("objective").distinct(),
+    "SELECT DISTINCT objective FROM dim_campaign")
 add("prf_12_returns_matching", lambda g: dq.returns_matching(g.fact_purchases), """
 SELECT total_rows, negative_rows, matched_returns, ROUND(negative_rows * 100.0 / total_rows, 2) AS negative_pct FROM
   (SELECT COUNT(*) AS total_rows FROM fact_purchases) a,
