@@ -82,3 +82,19 @@ def exact_ratio(n, d, in_scale: int = 2) -> Column:
     nd = col(n).cast(f"decimal(38,{in_scale})")
     dd = col(d).cast(f"decimal(38,{in_scale})")
     return F.when(dd == 0, F.lit(None).cast("decimal(38,6)")).otherwise(nd / dd).cast("decimal(38,6)")
+
+
+def scalar(df, expr: Column) -> Column:
+    """A one-row aggregate of ``df`` used as a value (scalar subquery).
+
+    Catalyst runs it once and merges scalar subqueries over the same plan;
+    no join is planned."""
+    return df.agg(expr.alias("_scalar")).scalar()
+
+
+def one_row(*frames):
+    """Combine one-row aggregate frames into one row (scalar subqueries on
+    the first frame, no cross join)."""
+    base, rest = frames[0], frames[1:]
+    extra = [f.select(c).scalar().alias(c) for f in rest for c in f.columns]
+    return base.select(*[F.col(c) for c in base.columns], *extra)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import exact_ratio, int_avg
+from ..functions.stats import exact_ratio, int_avg, one_row
 
 
 def path_length_by(last_touch: DataFrame, keys: list, purchases: DataFrame | None = None,
@@ -41,7 +41,7 @@ def drop_off(touchpoints: DataFrame, clicks: DataFrame, purchases: DataFrame) ->
     lost = (touchpoints.join(buyers, F.col("user_id") == F.col("_b"), "left_anti")
             .groupBy("user_id").agg(F.count(F.lit(1)).alias("path_length"))
             .agg(int_avg("path_length").alias("avg_path_length_at_drop_off")))
-    x = i.crossJoin(F.broadcast(c)).crossJoin(F.broadcast(p)).crossJoin(F.broadcast(lost))
+    x = one_row(i, c, p, lost)
     return x.select(exact_ratio(F.col("users_i") - F.col("users_c"), "users_i").alias("drop_off_impressions_to_clicks"),
                     exact_ratio(F.col("users_c") - F.col("users_p"), "users_c").alias("drop_off_clicks_to_conversions"),
                     "avg_path_length_at_drop_off")

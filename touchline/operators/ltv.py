@@ -12,23 +12,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import exact_ratio, month_diff
+from ..functions.stats import exact_ratio, month_diff, scalar
 
 
 def ltv_overall(purchases: DataFrame, dim_user: DataFrame) -> DataFrame:
     """LTV-1: Σ revenue / number of users."""
     rev = purchases.agg(F.sum("revenue").alias("_rev"))
-    users = F.broadcast(dim_user.agg(F.count(F.lit(1)).alias("_users")))
-    return rev.crossJoin(users).select(exact_ratio("_rev", "_users").alias("ltv"))
+    users = scalar(dim_user, F.count(F.lit(1)))
+    return rev.select(exact_ratio("_rev", users).alias("ltv"))
 
 
 def ltv_cac_overall(purchases: DataFrame, dim_user: DataFrame, spend: DataFrame,
                     acquisitions: DataFrame) -> DataFrame:
     """LTV-2: (Σ revenue / users) / (Σ spend / first-touch users)."""
     one = ltv_overall(purchases, dim_user)
-    s = F.broadcast(spend.agg(F.sum("spend").alias("_spend")))
-    a = F.broadcast(acquisitions.agg(F.countDistinct("user_id").alias("_acq")))
-    x = one.crossJoin(s).crossJoin(a).withColumn("cac", exact_ratio("_spend", "_acq"))
+    cac = exact_ratio(scalar(spend, F.sum("spend")), scalar(acquisitions, F.countDistinct("user_id")))
+    x = one.withColumn("cac", cac)
     return x.select("ltv", "cac", exact_ratio("ltv", "cac", 6).alias("ltv_cac_ratio"))
 
 

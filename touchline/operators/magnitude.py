@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import RATIO_SCALE, int_avg
+from ..functions.stats import RATIO_SCALE, int_avg, scalar
 
 
 def agg_expr(kind: str, col: str | None) -> Column:
@@ -74,13 +74,12 @@ def funnel_stage(interaction: Column) -> Column:
 
 def pearson_explicit(df: DataFrame, x: str, y: str, alias: str = "r_correlation") -> DataFrame:
     """MAG-10.14 exactly as written in the reference: centred on the
-    *truncated* integer mean of ``x`` and the mean of ``y``; two aggregate
-    passes joined as scalars (no global window)."""
-    means = F.broadcast(df.agg(int_avg(x).alias("_mx"), F.avg(y).alias("_my")))
-    c = df.select(x, y).crossJoin(means)
-    dx = F.col(x).cast("double") - F.col("_mx").cast("double")
-    dy = F.col(y).cast("double") - F.col("_my").cast("double")
-    s = c.agg(F.sum(dx * dy).alias("sxy"), F.sum(dx * dx).alias("sxx"), F.sum(dy * dy).alias("syy"))
+    *truncated* integer mean of ``x`` and the mean of ``y`` (scalar
+    subqueries), then one aggregate pass (no global window, no join)."""
+    mx, my = scalar(df, int_avg(x)), scalar(df, F.avg(y))
+    dx = F.col(x).cast("double") - mx.cast("double")
+    dy = F.col(y).cast("double") - my.cast("double")
+    s = df.agg(F.sum(dx * dy).alias("sxy"), F.sum(dx * dx).alias("sxx"), F.sum(dy * dy).alias("syy"))
     return s.select(F.round(F.col("sxy") / (F.sqrt("sxx") * F.sqrt("syy")), RATIO_SCALE).alias(alias))
 
 
@@ -89,6 +88,3 @@ def pearson(df: DataFrame, x: str, y: str, alias: str = "r_correlation") -> Data
     return df.agg(F.round(F.corr(F.col(x).cast("double"), F.col(y).cast("double")), RATIO_SCALE).alias(alias))
 
 
-def scalar(df: DataFrame, expr: Column, alias: str = "_s") -> DataFrame:
-    """A one-row aggregate, broadcast to its consumers (size 1 by construction)."""
-    return F.broadcast(df.agg(expr.alias(alias)))

@@ -1,23 +1,22 @@
 """Exploration and headline measures (EXP-01 … EXP-05, MEA-01 … MEA-08,
 KPI-ALL).
 
-Whole-period measures are one aggregate per source table; scalar results
-are combined with cross joins of one-row frames (each side is exactly one
-row, so the broadcast is bounded by construction).
+Whole-period measures are one aggregate per source table; the one-row
+results are combined as scalar subqueries (run once each, merged by
+Catalyst when they read the same source; no join).
 """
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.stats import RATIO_SCALE, int_avg, month_index, safe_div
+from ..functions.stats import RATIO_SCALE, int_avg, month_index, one_row, safe_div
 
 
 def _one_row(*dfs: DataFrame) -> DataFrame:
-    return reduce(lambda a, b: a.crossJoin(F.broadcast(b)), dfs)
+    return one_row(*dfs)
 
 
 def overall_kpis(g) -> DataFrame:

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.stats import one_row
+
 
 def unique_key(df: DataFrame, keys: list[str]) -> DataFrame:
     """DQ-01: keys duplicated or NULL."""
@@ -79,10 +81,10 @@ def digit_buckets(df: DataFrame, col: str) -> DataFrame:
 
 
 def row_counts(**tables: DataFrame) -> DataFrame:
-    """DQ-10: row counts side by side (one aggregate per table, crossed as
-    one-row frames)."""
+    """DQ-10: row counts side by side (one aggregate per table, combined as
+    scalar subqueries)."""
     frames = [df.agg(F.count(F.lit(1)).alias(name)) for name, df in tables.items()]
-    return reduce(lambda a, b: a.crossJoin(F.broadcast(b)), frames)
+    return one_row(*frames)
 
 
 def returns_matching(purchases: DataFrame, user: str = "user_id", amount: str = "revenue") -> DataFrame:
@@ -95,7 +97,7 @@ def returns_matching(purchases: DataFrame, user: str = "user_id", amount: str =
     total = purchases.agg(F.count(F.lit(1)).alias("total_rows"))
     n_neg = neg.agg(F.count(F.lit(1)).alias("negative_rows"))
     n_match = matched.agg(F.count(F.lit(1)).alias("matched_returns"))
-    return (total.crossJoin(n_neg).crossJoin(n_match)
+    return (one_row(total, n_neg, n_match)
             .withColumn("negative_pct", F.round(F.col("negative_rows") * 100.0 / F.col("total_rows"), 2)))
 
 

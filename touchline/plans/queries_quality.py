@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import clean as C
+from ..functions.stats import scalar
 from ..operators import profile as prf
 from ..operators import quality as dq
 from ..sources import dirty
@@ -19,18 +20,19 @@ _RAW_CASE = "CASE l_suppkey % 9 " + " ".join(
 
 
 def _max_campaign(g):
-    return F.broadcast(g.driver.supplier.agg(F.count(F.lit(1)).alias("_max_campaign")))
+    # the largest valid campaign id = number of campaigns (scalar subquery)
+    return scalar(g.driver.supplier, F.count(F.lit(1)))
 
 
 def _clean_spend(g):
-    raw = dirty.dirty_ad_spend(g.driver.lineitem).crossJoin(_max_campaign(g))
-    _, spec, distinct = specs(max_campaign=F.col("_max_campaign"))["mrkt_ad_spend"]
+    raw = dirty.dirty_ad_spend(g.driver.lineitem)
+    _, spec, distinct = specs(max_campaign=_max_campaign(g))["mrkt_ad_spend"]
     return to_silver(raw, spec, distinct, audit=False)
 
 
 def _clean_touchpoints(g):
-    raw = dirty.dirty_touchpoints(g.driver.lineitem).crossJoin(_max_campaign(g))
-    _, spec, distinct = specs(max_campaign=F.col("_max_campaign"))["web_touchpoints"]
+    raw = dirty.dirty_touchpoints(g.driver.lineitem)
+    _, spec, distinct = specs(max_campaign=_max_campaign(g))["web_touchpoints"]
     return to_silver(raw, spec, distinct, audit=False)
 
 

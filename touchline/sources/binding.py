@@ -29,6 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.stats import scalar
 from .driver import DriverTables
 
 # Fixed values of the binding (must equal plans/oracle.py).
@@ -77,13 +78,13 @@ def mrkt_campaigns(t: DriverTables) -> DataFrame:
 def crm_user_acquisitions(t: DriverTables) -> DataFrame:
     c = t.customer.select("c_custkey", "c_nationkey").filter(F.col("c_custkey") % 5 != 0)
     n = _nations(t)
-    # number of campaigns: a one-row aggregate, broadcast by construction
-    nsupp = F.broadcast(t.supplier.agg(F.count(F.lit(1)).alias("_nsupp")))
-    return (c.join(n, c.c_nationkey == n.n_nationkey).crossJoin(nsupp)
+    # number of campaigns: a scalar subquery (computed once, no join)
+    nsupp = scalar(t.supplier, F.count(F.lit(1)))
+    return (c.join(n, c.c_nationkey == n.n_nationkey)
             .select(F.col("c_custkey").alias("user_id"),
                     _epoch_plus(F.col("c_custkey") % 365).alias("acquisition_date"),
                     F.col("n_name").alias("acquisition_channel"),
-                    (F.col("c_custkey") % F.col("_nsupp") + 1).alias("acquisition_campaign")))
+                    (F.col("c_custkey") % nsupp + 1).alias("acquisition_campaign")))
 
 
 def crm_purchases(t: DriverTables) -> DataFrame:
