@@ -128,11 +128,57 @@ def monthly(g, m: Measure) -> DataFrame:
 
 
 def shared_monthly(g, views, storage=None) -> list[DataFrame]:
-    """Persist every monthly aggregate the given views need.  They are small
-    (months × entities), so each is computed once for a whole report."""
+    """Monthly aggregates of a whole report, one pass per source.
+
+    All measures of one source (fact) are computed by a single GROUPING SETS
+    aggregate — one scan and one shuffle of the fact instead of one per
+    measure — then each measure is a filter on the grouping id.  The
+    combined aggregates are small (months × entities × sets) and persisted;
+    returns them for ``unpersist``."""
     from pyspark import StorageLevel
     measures = {m for v in views for m in (v.a, v.b) if m is not None}
-    return [monthly(g, m).persist(storage or StorageLevel.MEMORY_AND_DISK) for m in measures]
+    by_source: dict[str, list[Measure]] = {}
+    for m in measures:
+        by_source.setdefault(m.source, []).append(m)
+    memo = g._t.setdefault("_monthly", {})
+    persisted = []
+    for src, ms in by_source.items():
+        df, date = _source(g, ms[0])
+        if date is None:
+            y = F.floor(F.col("date_key") / 10000).cast("int")
+            mo = (F.floor(F.col("date_key") / 100) % 100).cast("int")
+        else:
+            y, mo = F.year(date), F.month(date)
+        ents = sorted({m.entity for m in ms if m.entity})
+        keys = ["performance_year", "performance_month"] + ents
+        aggs = {}
+        for m in ms:
+            aggs.setdefault((m.agg, m.col), f"_v{len(aggs)}")
+        value_cols = sorted({c for (_, c) in aggs if c})
+        base = df.select(y.alias("performance_year"), mo.alias("performance_month"),
+                         *[F.col(c) for c in ents], *[F.col(c) for c in value_cols if c not in ents])
+        sets = sorted({(m.entity,) if m.entity else () for m in ms})
+        grouped = (base.groupingSets([["performance_year", "performance_month", *e] for e in sets], *keys)
+                   .agg(F.grouping_id().alias("_gid"),
+                        *[_agg(Measure(src, k, c, a)).alias(a) for (k, c), a in aggs.items()])
+                   .persist(storage or StorageLevel.MEMORY_AND_DISK))
+        persisted.append(grouped)
+        for m in ms:
+            present = ["performance_year", "performance_month"] + ([m.entity] if m.entity else [])
+            gid = sum(1 << (len(keys) - 1 - i) for i, c in enumerate(keys) if c not in present)
+            r = grouped.filter(F.col("_gid") == gid)
+            if m.nn and m.entity:
+                r = r.filter(F.col(m.entity).isNotNull())
+            r = r.select(*present, F.col(aggs[(m.agg, m.col)]).alias(m.alias))
+            memo[m] = _with_name(g, m, r)
+    return persisted
+
+
+def _with_name(g, m: Measure, out: DataFrame) -> DataFrame:
+    if not m.name:
+        return out
+    c = g.dim_campaign.select(F.col("campaign_id").alias("_c_id"), "campaign_name")
+    return out.join(c, F.col(m.entity) == F.col("_c_id"), "left").drop("_c_id")
 
 
 def _monthly(g, m: Measure) -> DataFrame:
@@ -147,11 +193,7 @@ def _monthly(g, m: Measure) -> DataFrame:
     keys = [y.alias("performance_year"), mo.alias("performance_month")]
     if m.entity:
         keys.append(F.col(m.entity))
-    out = df.groupBy(*keys).agg(_agg(m).alias(m.alias))
-    if m.name:
-        c = g.dim_campaign.select(F.col("campaign_id").alias("_c_id"), "campaign_name")
-        out = (out.join(c, F.col(m.entity) == F.col("_c_id"), "left").drop("_c_id"))
-    return out
+    return _with_name(g, m, df.groupBy(*keys).agg(_agg(m).alias(m.alias)))
 
 
 def _labels(diff, names):
