@@ -70,3 +70,14 @@ def test_campaign_rename_rules(spark):
                                 (" Other ", "a", "b")], "campaign_name string, start_date string, end_date string")
     got = [r[0] for r in df.select(C.campaign_name_rules()).collect()]
     assert got == ["New_Year_Launch", "New_Year_Launch", "Brand_Awareness_Q1", "Summer_Retargeting", "Other"]
+
+
+def test_first_acquisition_nulls_first_and_tie_break(spark):
+    from touchline.operators.facts import first_acquisition
+    rows = [(1, dt.date(2024, 2, 1), "Email", 3), (1, None, "SMS", 4),          # NULL date sorts first
+            (2, dt.date(2024, 1, 5), "SMS", 1), (2, dt.date(2024, 1, 5), "Direct", 9),  # tie → channel
+            (3, dt.date(2024, 3, 1), "Email", 2)]
+    df = spark.createDataFrame(rows, "user_id long, acquisition_date date, acquisition_channel string, "
+                                     "acquisition_campaign long")
+    got = {r.user_id: (r.acquisition_channel, r.acquisition_campaign) for r in first_acquisition(df).collect()}
+    assert got == {1: ("SMS", 4), 2: ("Direct", 9), 3: ("Email", 2)}

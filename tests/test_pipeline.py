@@ -83,3 +83,19 @@ def test_gold_materialize_and_reload(spark):
     a = g.fact_attribution_linear.agg({"revenue_share": "sum"}).first()[0]
     b = g2.fact_attribution_linear.agg({"revenue_share": "sum"}).first()[0]
     assert a == b
+
+
+def test_kpi_report_job_from_materialised_gold(spark):
+    from conftest import SF_SMALL
+    from touchline.operators.kpi import kpi_view
+    from touchline.plans import jobs
+    from touchline.plans.gold import GoldModel
+    from touchline.plans.queries_kpi import BY_ID
+    root = tempfile.mkdtemp(prefix="tl-wh-")
+    jobs.build_warehouse(spark, SF_SMALL, root)
+    views = [BY_ID["roas_2"], BY_ID["cvr_3"], BY_ID["arpu_4"]]
+    audit = jobs.kpi_report(spark, f"{root}/gold", root, views, threads=3).collect()
+    assert {r.table for r in audit} == {v.view for v in views}
+    direct = kpi_view(GoldModel.from_driver(spark, SF_SMALL), BY_ID["roas_2"])
+    written = spark.read.parquet(f"{root}/kpi/funnel_campaigns_roas")
+    assert direct.exceptAll(written).count() == 0 and written.exceptAll(direct).count() == 0
