@@ -87,12 +87,20 @@ def _path_windows(path: DataFrame, user: str, purchase: str) -> DataFrame:
             .withColumn("_last_number", F.max("touchpoint_number").over(w)))
 
 
-def attribution_facts(touches: DataFrame, purchases: DataFrame, **kw) -> dict[str, DataFrame]:
+def attribution_facts(touches: DataFrame, purchases: DataFrame, method: str = "rank",
+                      **kw) -> dict[str, DataFrame]:
     """ATT-03/04/05/06 from one path plan.
 
+    ``method="rank"`` (default) numbers touches once per user and never
+    sorts path rows (see ``rank_touches``); ``method="window"`` numbers each
+    (user, purchase) path with a window — the direct formulation, kept as
+    the reference implementation the rank plan is tested against.
+
     ``purchases`` must carry (purchase_id, user_id, purchase_date, revenue)
     with ``purchase_id`` unique (checked by DQ-01), so the revenue of the
     purchase fact can ride along the path join instead of a second join."""
+    if method == "rank":
+        return _attribution_by_rank(touches, purchases, **kw)
     path = touch_path(touches, purchases, purchase_cols=("revenue", "purchase_date"), keep_salt=True, **kw)
     touchpath = path.select("user_id", "purchase_id", "touchpoint_number", "touchpoint_time",
                             "channel", "campaign_id", "interaction_type")
@@ -103,6 +111,104 @@ def attribution_facts(touches: DataFrame, purchases: DataFrame, **kw) -> dict[st
             "fact_attribution_last_touch": last}
 
 
+def rank_touches(touches: DataFrame, user: str = "user_id", time: str = "touchpoint_time",
+                 tie_break=TIE_BREAK) -> tuple[DataFrame, DataFrame]:
+    """Rank every touch within its user, in two levels.
+
+    A touch's number in any purchase path equals its rank among all of the
+    user's touches (a path is the prefix of the user's time-ordered touches
+    before the purchase day), so the number is computed once per touch:
+
+    * ``row_number`` inside (user, day) — a user's touches are spread over
+      as many groups as they have active days;
+    * per (user, day) counts (a partial aggregate) and their running sum
+      over the user's days (one row per active day, bounded by the
+      calendar) give each day's offset;
+    * rank = offset + local number; ``_rank_kept`` does the same for the
+      touches that survive the path filters (channel and interaction set),
+      whose rank is the path length at that touch.
+
+    Returns (ranked touches, per-(user, day) kept counts)."""
+    kept = (F.col("channel").isNotNull() & F.col("interaction_type").isNotNull()).cast("int")
+    t = (touches.filter(F.col(user).isNotNull() & F.col(time).isNotNull())
+         .withColumn("_day", F.to_date(time)).withColumn("_kept", kept))
+    order = [F.col(time).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in tie_break]
+    w = Window.partitionBy(user, "_day").orderBy(*order)
+    t = (t.withColumn("_local", F.row_number().over(w))
+         .withColumn("_local_kept", F.sum("_kept").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    days = t.groupBy(user, "_day").agg(F.count(F.lit(1)).alias("_n"), F.sum("_kept").alias("_nk"))
+    before = Window.partitionBy(user).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = days.select(F.col(user).alias("_o_user"), F.col("_day").alias("_o_day"), "_nk",
+                          F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+                          F.coalesce(F.sum("_nk").over(before), F.lit(0)).alias("_off_kept"))
+    ranked = (t.join(offsets, (F.col(user) == F.col("_o_user")) & (F.col("_day") == F.col("_o_day")))
+              .withColumn("touchpoint_number", (F.col("_off") + F.col("_local")).cast("int"))
+              .withColumn("_rank_kept", (F.col("_off_kept") + F.col("_local_kept")).cast("int"))
+              .drop("_o_user", "_o_day", "_off", "_off_kept", "_local", "_local_kept", "_nk"))
+    daily_kept = offsets.select("_o_user", "_o_day", "_nk").filter(F.col("_nk") > 0)
+    return ranked, daily_kept
+
+
+def _attribution_by_rank(touches: DataFrame, purchases: DataFrame, *, salt_buckets: int = 16,
+                         hot_user_rows: int = 1_000_000, hot_users: int = 1000,
+                         tie_break=TIE_BREAK) -> dict[str, DataFrame]:
+    """Touch path and attribution without any per-purchase window.
+
+    1. ``rank_touches``: number of every touch within its user;
+    2. path length per purchase = Σ kept touches on the user's days before
+       the purchase day (purchases ⋈ daily counts, then a partial aggregate);
+    3. path rows = kept touches ⋈ purchases on the user with
+       ``touchpoint_time < purchase_date``; they carry their number and the
+       path length, so the linear share needs no window and no shuffle of
+       path rows; hot users are salted as in ``touch_path`` (output
+       explosion from many purchases is invisible to AQE's input-size skew
+       detection);
+    4. last touch = the kept touch whose kept-rank equals the path length:
+       an equi-join on (user, rank), one row per purchase."""
+    ranked, daily = rank_touches(touches, tie_break=tie_break)
+    p = (purchases.filter(F.col("user_id").isNotNull() & F.col("purchase_date").isNotNull())
+         .select(F.col("user_id").alias("_p_user"), "purchase_id", "purchase_date", "revenue"))
+    lengths = (p.join(daily, (F.col("_p_user") == F.col("_o_user")) & (F.col("_o_day") < F.col("purchase_date")))
+               .groupBy(F.col("purchase_id").alias("_l_pid"))
+               .agg(F.sum("_nk").cast("int").alias("touchpoints_in_path")))
+    pn = p.join(lengths, F.col("purchase_id") == F.col("_l_pid")).drop("_l_pid")
+    kept = ranked.filter(F.col("_kept") == 1)
+    hot = _hot_users(kept, "user_id", hot_user_rows, hot_users) if salt_buckets and salt_buckets > 1 else None
+
+    def path_rows(q):
+        t = kept
+        if hot is None:
+            return t.join(q, (F.col("user_id") == F.col("_p_user"))
+                          & (F.col("touchpoint_time") < F.col("purchase_date")), "inner")
+        t = (t.join(hot, F.col("user_id") == F.col("_hot_user"), "left")
+             .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
+                                            .otherwise(F.array(F.lit(0)))))
+             .drop("_hot_user", "_hot"))
+        q = (q.join(hot, F.col("_p_user") == F.col("_hot_user"), "left")
+             .withColumn("_p_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("purchase_id"), F.lit(salt_buckets)))
+                         .otherwise(F.lit(0)).cast("int"))
+             .drop("_hot_user", "_hot"))
+        return t.join(q, (F.col("user_id") == F.col("_p_user")) & (F.col("_salt") == F.col("_p_salt"))
+                      & (F.col("touchpoint_time") < F.col("purchase_date")), "inner")
+
+    # the touch path itself needs no path length: join the plain purchases
+    touchpath = path_rows(p).select("user_id", "purchase_id", "touchpoint_number", "touchpoint_time",
+                                    "channel", "campaign_id", "interaction_type")
+    path = path_rows(pn)
+    share = (F.col("revenue") / F.col("touchpoints_in_path")).cast("decimal(12,2)")
+    linear = (path.filter(F.col("revenue").isNotNull() & (F.col("revenue") >= 0))
+              .select("user_id", "purchase_id", "touchpoint_number", "channel", "campaign_id",
+                      "interaction_type", "touchpoint_time", share.alias("revenue_share"),
+                      F.col("revenue").cast("decimal(12,2)").alias("total_revenue"),
+                      "touchpoints_in_path", "purchase_date"))
+    last = (kept.join(pn.filter(F.col("revenue").isNotNull()),
+                      (F.col("user_id") == F.col("_p_user")) & (F.col("_rank_kept") == F.col("touchpoints_in_path")))
+            .select("user_id", "purchase_id", "touchpoint_number", "touchpoint_time",
+                    F.col("channel").alias("last_touch_channel"), F.col("campaign_id").alias("last_touch_campaign"),
+                    "interaction_type", "revenue", "purchase_date"))
+    return {"fact_touchpath": touchpath, "fact_attribution_linear": linear, "fact_attribution_last_touch": last}
+
+
 def linear_from_path(pw: DataFrame) -> DataFrame:
     """ATT-05: each touch gets revenue / path length as DECIMAL(12,2) (half-up).
 
