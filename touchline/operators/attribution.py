@@ -1,26 +1,29 @@
 """Journeys and attribution (ATT-01 … ATT-07).
 
-Plan shape of the touch path (ATT-01/02) and the attribution facts built on
-it:
-
-1. touches and purchases are equi-joined on the user with the residual
-   ``touchpoint_time < purchase_date`` (same-day touches excluded: a
-   timestamp compared with a date is compared with its midnight);
-2. touches are numbered per (user, purchase) by time with the total
-   tie-break (channel, campaign_id, interaction_type);
-3. the path length, the last touch and the linear share come from window
-   aggregates over the very same (user, purchase) partitioning, so the whole
-   chain costs one shuffle of each input and no shuffle of the path rows.
-
-Hot users.  One user may own a large share of all touches.  Such users are
-found with a per-user count (a partial aggregate) and the top ``hot_users``
-of them are salted: their purchases are spread over ``salt_buckets`` buckets
-and their touches replicated into each bucket, so their path rows are built
-by ``salt_buckets`` tasks instead of one.  The hot list is bounded by
-``hot_users`` rows, which is what makes its broadcast safe.  Every window is
-partitioned by (user, salt, purchase): the salt is a function of the
-purchase, so the windows see exactly the per-purchase groups of the
-reference and reuse the join's partitioning.
+The touch path pairs every touch of a user with each of the user's
+purchases on a later day (``touchpoint_time < purchase_date``: same-day
+touches are excluded because a timestamp is compared with the date's
+midnight) and numbers the touches of each path by time with the total
+tie-break (channel, campaign_id, interaction_type).
+
+Two plans are provided (``attribution_facts(method=...)``):
+
+* ``"rank"`` (default): a touch's number in any path is its rank among all
+  of the user's touches, so touches are ranked once (``rank_touches``, two
+  levels: inside (user, day), plus per-day offsets); path lengths come from
+  per-day kept counts, the last touch from an equi-join on (user, rank).
+  Path rows are produced by one join and never sorted or re-shuffled, and
+  no group ever holds a whole path.
+* ``"window"``: numbering, path length and last touch are windows over
+  (user, salt, purchase) — the direct formulation, one shuffle of each
+  input plus an in-task sort of path rows.
+
+Hot users.  A user owning a large share of touches is found with a
+per-user count (a partial aggregate); the top ``hot_users`` of them (a
+bounded list, safely broadcast) are salted: their purchases are spread over
+``salt_buckets`` buckets and their touches replicated into each, so their
+path rows are built by many tasks.  The salt is a function of the purchase,
+so per-purchase results are unchanged.
 """
 
 from __future__ import annotations

@@ -34,10 +34,24 @@ def with_dense_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
             .select((F.col("_off") + local + 1).cast("long").alias(key), *cols))
 
 
-def dim_date(spark: SparkSession, start: str, end: str) -> DataFrame:
-    """DIM-01: calendar from ``start`` to ``end`` inclusive (one row per day)."""
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("full_date"))
+def calendar_bounds(*dated: tuple[DataFrame, str]) -> tuple:
+    """Whole years covering every event date of the given (frame, column)
+    pairs: (Jan 1 of the first year, Dec 31 of the last year), as scalar
+    subqueries (one aggregate per frame, no join)."""
+    lo = F.least(*[df.agg(F.min(F.to_date(c))).scalar() for df, c in dated])
+    hi = F.greatest(*[df.agg(F.max(F.to_date(c))).scalar() for df, c in dated])
+    return F.trunc(lo, "YEAR"), F.make_date(F.year(hi), F.lit(12), F.lit(31))
+
+
+def dim_date(spark: SparkSession, start, end) -> DataFrame:
+    """DIM-01: calendar from ``start`` to ``end`` inclusive (one row per day).
+
+    ``start``/``end`` are dates (text) or Columns (e.g. ``calendar_bounds``
+    over the facts).  The range is bounded by the calendar, not by the data
+    volume (one row per day)."""
+    s = F.lit(start).cast("date") if isinstance(start, str) else start
+    e = F.lit(end).cast("date") if isinstance(end, str) else end
+    days = spark.range(1).select(F.explode(F.sequence(s, e)).alias("full_date"))
     d = F.col("full_date")
     return days.select(
         date_key(d).alias("date_key"), d,

@@ -29,14 +29,16 @@ SURROGATE_KEYS = {
     "dim_channel": ("channel_key", ["channel_name"]),
 }
 
-# Calendar range of the binding (orders 1995-01 … 2001-08, ship dates to 2001-11).
-DEFAULT_CALENDAR = ("1995-01-01", "2001-12-31")
+# Event dates that span the calendar (whole years from the first to the last).
+CALENDAR_SOURCES = (("crm_purchases", "purchase_date"), ("mrkt_ad_spend", "spend_date"),
+                    ("web_touchpoints", "touchpoint_time"), ("mrkt_clicks", "click_timestamp"),
+                    ("web_sessions", "session_start"))
 
 
 class GoldModel:
     def __init__(self, spark: SparkSession, silver: dict[str, DataFrame] | None = None,
                  tables: dict[str, DataFrame] | None = None,
-                 calendar: tuple[str, str] = DEFAULT_CALENDAR, attribution_opts: dict | None = None):
+                 calendar: tuple[str, str] | None = None, attribution_opts: dict | None = None):
         self.spark = spark
         self.silver = silver or {}
         self.calendar = calendar
@@ -81,7 +83,12 @@ class GoldModel:
 
     # -- builders ------------------------------------------------------------
     def _build_dim_date(self):
-        return dims.dim_date(self.spark, *self.calendar)
+        """Calendar over whole years from the first to the last event date of
+        the feeds, unless an explicit (start, end) was given."""
+        if self.calendar:
+            return dims.dim_date(self.spark, *self.calendar)
+        bounds = dims.calendar_bounds(*[(self.silver[t], c) for t, c in CALENDAR_SOURCES])
+        return dims.dim_date(self.spark, *bounds)
 
     def _build_dim_user(self):
         s = self.silver
