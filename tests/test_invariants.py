@@ -56,7 +56,8 @@ def test_rank_plan_equals_window_plan(spark):
     g = GoldModel.from_driver(spark, SF_SMALL)
     t, p = g.silver["web_touchpoints"], g.silver["crm_purchases"]
     ref = attribution.attribution_facts(t, p, method="window", salt_buckets=1)
-    for kw in ({"salt_buckets": 1}, {"salt_buckets": 4, "hot_user_rows": 1}):
+    for kw in ({"salt_buckets": 1}, {"salt_buckets": 4, "hot_user_rows": 1},
+               {"salt_buckets": 1, "bucket": "hour"}):
         got = attribution.attribution_facts(t, p, method="rank", **kw)
         for name in ref:
             a, b = ref[name], got[name].select(*ref[name].columns)

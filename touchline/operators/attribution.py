@@ -115,7 +115,7 @@ def attribution_facts(touches: DataFrame, purchases: DataFrame, method: str = "r
 
 
 def rank_touches(touches: DataFrame, user: str = "user_id", time: str = "touchpoint_time",
-                 tie_break=TIE_BREAK) -> tuple[DataFrame, DataFrame]:
+                 tie_break=TIE_BREAK, bucket: str = "day") -> tuple[DataFrame, DataFrame]:
     """Rank every touch within its user, in two levels.
 
     A touch's number in any purchase path equals its rank among all of the
@@ -131,30 +131,37 @@ def rank_touches(touches: DataFrame, user: str = "user_id", time: str = "touchpo
       touches that survive the path filters (channel and interaction set),
       whose rank is the path length at that touch.
 
-    Returns (ranked touches, per-(user, day) kept counts)."""
+    ``bucket="hour"`` ranks inside (user, hour) instead, for users whose
+    touches concentrate on single days (offset rows stay bounded: 24 per
+    day).  Returns (ranked touches, per-(user, day) kept counts)."""
     kept = (F.col("channel").isNotNull() & F.col("interaction_type").isNotNull()).cast("int")
     t = (touches.filter(F.col(user).isNotNull() & F.col(time).isNotNull())
          .withColumn("_day", F.to_date(time)).withColumn("_kept", kept))
+    t = t.withColumn("_bucket", F.date_trunc("hour", time) if bucket == "hour" else F.col("_day"))
     order = [F.col(time).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in tie_break]
-    w = Window.partitionBy(user, "_day").orderBy(*order)
+    w = Window.partitionBy(user, "_bucket").orderBy(*order)
     t = (t.withColumn("_local", F.row_number().over(w))
          .withColumn("_local_kept", F.sum("_kept").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    days = t.groupBy(user, "_day").agg(F.count(F.lit(1)).alias("_n"), F.sum("_kept").alias("_nk"))
-    before = Window.partitionBy(user).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = days.select(F.col(user).alias("_o_user"), F.col("_day").alias("_o_day"), "_nk",
-                          F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
-                          F.coalesce(F.sum("_nk").over(before), F.lit(0)).alias("_off_kept"))
-    ranked = (t.join(offsets, (F.col(user) == F.col("_o_user")) & (F.col("_day") == F.col("_o_day")))
+    groups = t.groupBy(user, "_bucket", "_day").agg(F.count(F.lit(1)).alias("_n"), F.sum("_kept").alias("_nk"))
+    before = Window.partitionBy(user).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = groups.select(F.col(user).alias("_o_user"), F.col("_bucket").alias("_o_bucket"),
+                            F.col("_day").alias("_o_day"), "_nk",
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+                            F.coalesce(F.sum("_nk").over(before), F.lit(0)).alias("_off_kept"))
+    ranked = (t.join(offsets.drop("_o_day", "_nk"),
+                     (F.col(user) == F.col("_o_user")) & (F.col("_bucket") == F.col("_o_bucket")))
               .withColumn("touchpoint_number", (F.col("_off") + F.col("_local")).cast("int"))
               .withColumn("_rank_kept", (F.col("_off_kept") + F.col("_local_kept")).cast("int"))
-              .drop("_o_user", "_o_day", "_off", "_off_kept", "_local", "_local_kept", "_nk"))
-    daily_kept = offsets.select("_o_user", "_o_day", "_nk").filter(F.col("_nk") > 0)
+              .drop("_o_user", "_o_bucket", "_bucket", "_off", "_off_kept", "_local", "_local_kept"))
+    daily = offsets if bucket == "day" else (
+        offsets.groupBy("_o_user", "_o_day").agg(F.sum("_nk").alias("_nk")))
+    daily_kept = daily.select("_o_user", "_o_day", "_nk").filter(F.col("_nk") > 0)
     return ranked, daily_kept
 
 
 def _attribution_by_rank(touches: DataFrame, purchases: DataFrame, *, salt_buckets: int = 16,
                          hot_user_rows: int = 1_000_000, hot_users: int = 1000,
-                         tie_break=TIE_BREAK) -> dict[str, DataFrame]:
+                         tie_break=TIE_BREAK, bucket: str = "day") -> dict[str, DataFrame]:
     """Touch path and attribution without any per-purchase window.
 
     1. ``rank_touches``: number of every touch within its user;
@@ -168,7 +175,7 @@ def _attribution_by_rank(touches: DataFrame, purchases: DataFrame, *, salt_bucke
        detection);
     4. last touch = the kept touch whose kept-rank equals the path length:
        an equi-join on (user, rank), one row per purchase."""
-    ranked, daily = rank_touches(touches, tie_break=tie_break)
+    ranked, daily = rank_touches(touches, tie_break=tie_break, bucket=bucket)
     p = (purchases.filter(F.col("user_id").isNotNull() & F.col("purchase_date").isNotNull())
          .select(F.col("user_id").alias("_p_user"), "purchase_id", "purchase_date", "revenue"))
     lengths = (p.join(daily, (F.col("_p_user") == F.col("_o_user")) & (F.col("_o_day") < F.col("purchase_date")))
@@ -176,7 +183,14 @@ def _attribution_by_rank(touches: DataFrame, purchases: DataFrame, *, salt_bucke
                .agg(F.sum("_nk").cast("int").alias("touchpoints_in_path")))
     pn = p.join(lengths, F.col("purchase_id") == F.col("_l_pid")).drop("_l_pid")
     kept = ranked.filter(F.col("_kept") == 1)
-    hot = _hot_users(kept, "user_id", hot_user_rows, hot_users) if salt_buckets and salt_buckets > 1 else None
+    hot = None
+    if salt_buckets and salt_buckets > 1:
+        # per-user totals from the per-day counts (one row per active day), not
+        # from another pass over the touches
+        per_user = daily.groupBy(F.col("_o_user").alias("_hot_user")).agg(F.sum("_nk").alias("_n"))
+        hot = F.broadcast(per_user.filter(F.col("_n") >= hot_user_rows)
+                          .orderBy(F.desc("_n"), F.col("_hot_user")).limit(hot_users)
+                          .select("_hot_user", F.lit(True).alias("_hot")))
 
     def path_rows(q):
         t = kept
