@@ -29,10 +29,11 @@ SURROGATE_KEYS = {
     "dim_channel": ("channel_key", ["channel_name"]),
 }
 
-# Event dates that span the calendar (whole years from the first to the last).
-CALENDAR_SOURCES = (("crm_purchases", "purchase_date"), ("mrkt_ad_spend", "spend_date"),
-                    ("web_touchpoints", "touchpoint_time"), ("mrkt_clicks", "click_timestamp"),
-                    ("web_sessions", "session_start"))
+# The calendar spans whole years from the first to the last purchase date:
+# the business period of the data, found with one cheap aggregate (a min/max
+# over the purchase feed) instead of a scan of every feed.  Events outside it
+# get no date key, as rows outside the reference's calendar do.
+CALENDAR_SOURCES = (("crm_purchases", "purchase_date"),)
 
 
 class GoldModel:
@@ -83,8 +84,8 @@ class GoldModel:
 
     # -- builders ------------------------------------------------------------
     def _build_dim_date(self):
-        """Calendar over whole years from the first to the last event date of
-        the feeds, unless an explicit (start, end) was given."""
+        """Calendar over whole years from the first to the last purchase date,
+        unless an explicit (start, end) was given."""
         if self.calendar:
             return dims.dim_date(self.spark, *self.calendar)
         bounds = dims.calendar_bounds(*[(self.silver[t], c) for t, c in CALENDAR_SOURCES])
