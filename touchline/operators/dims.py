@@ -38,8 +38,10 @@ def calendar_bounds(*dated: tuple[DataFrame, str]) -> tuple:
     """Whole years covering every event date of the given (frame, column)
     pairs: (Jan 1 of the first year, Dec 31 of the last year), as scalar
     subqueries (one aggregate per frame, no join)."""
-    lo = F.least(*[df.agg(F.min(F.to_date(c))).scalar() for df, c in dated])
-    hi = F.greatest(*[df.agg(F.max(F.to_date(c))).scalar() for df, c in dated])
+    los = [df.agg(F.min(F.to_date(c))).scalar() for df, c in dated]
+    his = [df.agg(F.max(F.to_date(c))).scalar() for df, c in dated]
+    lo = los[0] if len(los) == 1 else F.least(*los)
+    hi = his[0] if len(his) == 1 else F.greatest(*his)
     return F.trunc(lo, "YEAR"), F.make_date(F.year(hi), F.lit(12), F.lit(31))
 
 
