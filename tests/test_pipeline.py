@@ -76,7 +76,9 @@ def test_gold_materialize_and_reload(spark):
     from touchline.plans.gold import GOLD_TABLES, GoldModel
     root = tempfile.mkdtemp(prefix="tl-gold-")
     g = GoldModel.from_driver(spark, SF_SMALL)
-    audit = {r.table: r.rows for r in g.materialize(root).collect()}
+    rows = g.materialize(root).collect()
+    audit = {r.table: r.rows for r in rows if r.layer == "gold"}
+    assert {r.table for r in rows if r.layer == "silver"} == set(g.silver)
     assert set(audit) == set(GOLD_TABLES) and audit["fact_touchpath"] == g.fact_touchpath.count()
     g2 = GoldModel.from_tables(spark, f"{root}/gold")
     assert sorted(r.user_key for r in g2.dim_user.collect()) == list(range(1, audit["dim_user"] + 1))

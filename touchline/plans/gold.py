@@ -132,19 +132,38 @@ class GoldModel:
         return attribution.first_touch(self.fact_touchpoints)
 
     # -- materialisation (SRC-03 / SRC-05) ------------------------------------
-    def materialize(self, root: str, with_keys: bool = True) -> DataFrame:
+    def materialize(self, root: str, with_keys: bool = True, stage_silver: bool = True) -> DataFrame:
         """Gold load job: write every gold table as parquet under
         ``<root>/gold/<table>`` (overwrite = the reference's drop / create /
         insert), dimensions with their dense surrogate keys; returns the
         audit table (layer, table, rows, seconds, status).  Reload with
-        ``GoldModel.from_tables(spark, f"{root}/gold")``."""
-        from ..sources.bronze import run_layer
+        ``GoldModel.from_tables(spark, f"{root}/gold")``.
+
+        With ``stage_silver`` the silver feeds are written first
+        (``<root>/silver/<feed>``) and gold is built from the written tables:
+        each feed is computed once although several gold tables read it,
+        and the written tables cut the lineage (a lost executor recomputes
+        from them, not from the raw sources)."""
+        from ..sources.bronze import layer_path, run_layer
+
+        audits = []
+        model = self
+        if stage_silver and self.silver:
+            audits.append(run_layer(self.spark, "silver",
+                                    {n: (lambda df=df: df) for n, df in self.silver.items()}, root))
+            written = {n: self.spark.read.parquet(layer_path(root, "silver", n)) for n in self.silver}
+            model = GoldModel(self.spark, silver=written, calendar=self.calendar,
+                              attribution_opts=self.attribution_opts)
 
         def job(name):
-            df = self.table(name)
+            df = model.table(name)
             if with_keys and name in SURROGATE_KEYS:
                 key, order = SURROGATE_KEYS[name]
                 df = dims.with_dense_key(df, key, order)
             return df
 
-        return run_layer(self.spark, "gold", {n: (lambda n=n: job(n)) for n in GOLD_TABLES}, root)
+        audits.append(run_layer(self.spark, "gold", {n: (lambda n=n: job(n)) for n in GOLD_TABLES}, root))
+        out = audits[0]
+        for a in audits[1:]:
+            out = out.unionByName(a)
+        return out
