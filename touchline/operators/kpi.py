@@ -10,7 +10,7 @@ monthly aggregates (rows = months × entities), never over raw facts.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,7 +43,6 @@ class Measure:
     entity: str | None = None
     nn: bool = False          # WHERE entity IS NOT NULL inside the aggregate
     name: bool = False        # add campaign_name via dim_campaign
-    month_from: str | None = None  # override the date column (LP users by purchase date)
 
 
 @dataclass(frozen=True)
@@ -66,7 +65,6 @@ class KpiView:
     single_names: str = "entity"  # "global" naming for REV-1
     top: int = 10
     lower_is_better: bool = False
-    extra: dict = field(default_factory=dict)
 
     @property
     def entity(self) -> str | None:
@@ -98,6 +96,8 @@ def _source(g, m: Measure) -> tuple[DataFrame, object]:
         lp = g.fact_attribution_linear.join(p, F.col("purchase_id") == F.col("_p_id"), "left")
         return lp, F.col("purchase_date")
     if s == "TP":
+        # last touch ⟕ purchases: the purchase's user and date are the last
+        # touch's own (the path is built per purchase), so the join is elided
         return g.fact_attribution_last_touch, F.col("purchase_date")
     raise ValueError(s)
 
