@@ -97,6 +97,8 @@ def test_kpi_report_job_from_materialised_gold(spark):
     jobs.build_warehouse(spark, SF_SMALL, root)
     views = [BY_ID["roas_2"], BY_ID["cvr_3"], BY_ID["arpu_4"]]
     audit = jobs.kpi_report(spark, f"{root}/gold", root, views, threads=3).collect()
+    quality = {(r.check, r.table_name): r.violations for r in jobs.quality_report(spark, f"{root}/gold").collect()}
+    assert quality[("dq_01_unique", "fact_purchases")] == 0 and quality[("path_gaps", "fact_touchpath")] == 0
     assert {r.table for r in audit} == {v.view for v in views}
     direct = kpi_view(GoldModel.from_driver(spark, SF_SMALL), BY_ID["roas_2"])
     written = spark.read.parquet(f"{root}/kpi/funnel_campaigns_roas")

@@ -44,3 +44,11 @@ def kpi_report(spark: SparkSession, gold_root: str, out_root: str, views=None,
     out = spark.createDataFrame([r.__dict__ for r in rows],
                                 "layer string, table string, rows long, seconds double, status string")
     return out
+
+
+def quality_report(spark: SparkSession, gold_root: str) -> DataFrame:
+    """The DQ suite over the materialised gold tables (the reference runs its
+    checks after loading): each check reads the written tables, so no fact is
+    rebuilt from raw data.  Returns (check, table_name, violations)."""
+    from .queries_quality import _suite
+    return _suite(GoldModel.from_tables(spark, gold_root))
