@@ -81,6 +81,10 @@ def test_gold_materialize_and_reload(spark):
     assert {r.table for r in rows if r.layer == "silver"} == set(g.silver)
     assert set(audit) == set(GOLD_TABLES) and audit["fact_touchpath"] == g.fact_touchpath.count()
     g2 = GoldModel.from_tables(spark, f"{root}/gold")
+    assert g2.fact_purchases.columns == g.fact_purchases.columns
+    part = GoldModel.from_tables(spark, f"{root}/gold", keep_partition_column=True).fact_purchases
+    plan = part.filter("part_month = date'1996-03-01'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part_month" in plan
     assert sorted(r.user_key for r in g2.dim_user.collect()) == list(range(1, audit["dim_user"] + 1))
     a = g.fact_attribution_linear.agg({"revenue_share": "sum"}).first()[0]
     b = g2.fact_attribution_linear.agg({"revenue_share": "sum"}).first()[0]

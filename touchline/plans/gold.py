@@ -13,6 +13,7 @@ action.  The same object serves three uses:
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import attribution, dims, facts
 from ..sources.binding import silver_from_driver
@@ -22,6 +23,16 @@ GOLD_TABLES = ("dim_date", "dim_user", "dim_campaign", "dim_channel",
                "fact_spend", "fact_clicks", "fact_sessions", "fact_touchpoints", "fact_purchases",
                "fact_touchpath", "fact_attribution_linear", "fact_attribution_last_touch")
 
+# Facts written partitioned by month (SRC-03): table → date column.  The
+# partition column ``part_month`` (first day of the month) lets month
+# filters prune files; ``from_tables`` keeps it available.
+FACT_MONTH = {
+    "fact_spend": "spend_date", "fact_clicks": "click_timestamp", "fact_sessions": "session_date",
+    "fact_touchpoints": "tp_date", "fact_purchases": "purchase_date",
+    "fact_attribution_linear": "purchase_date", "fact_attribution_last_touch": "purchase_date",
+}
+PART_COL = "part_month"
+
 # Natural keys that order the surrogate keys of the materialised tables.
 SURROGATE_KEYS = {
     "dim_user": ("user_key", ["user_id"]),
@@ -59,8 +70,16 @@ class GoldModel:
         return self._t["_driver"]
 
     @classmethod
-    def from_tables(cls, spark: SparkSession, root: str, **kw) -> "GoldModel":
-        tables = {n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in GOLD_TABLES}
+    def from_tables(cls, spark: SparkSession, root: str, keep_partition_column: bool = False,
+                    **kw) -> "GoldModel":
+        """Gold tables written by ``materialize``.  The month partition column
+        is dropped unless asked for, so schemas equal ``from_driver``'s."""
+        tables = {}
+        for n in GOLD_TABLES:
+            df = spark.read.parquet(f"{root.rstrip('/')}/{n}")
+            if PART_COL in df.columns and not keep_partition_column:
+                df = df.drop(PART_COL)
+            tables[n] = df
         return cls(spark, tables=tables, **kw)
 
     # -- access --------------------------------------------------------------
@@ -132,7 +151,8 @@ class GoldModel:
         return attribution.first_touch(self.fact_touchpoints)
 
     # -- materialisation (SRC-03 / SRC-05) ------------------------------------
-    def materialize(self, root: str, with_keys: bool = True, stage_silver: bool = True) -> DataFrame:
+    def materialize(self, root: str, with_keys: bool = True, stage_silver: bool = True,
+                    partition_facts: bool = True) -> DataFrame:
         """Gold load job: write every gold table as parquet under
         ``<root>/gold/<table>`` (overwrite = the reference's drop / create /
         insert), dimensions with their dense surrogate keys; returns the
@@ -160,9 +180,12 @@ class GoldModel:
             if with_keys and name in SURROGATE_KEYS:
                 key, order = SURROGATE_KEYS[name]
                 df = dims.with_dense_key(df, key, order)
+            if partition_facts and name in FACT_MONTH:
+                df = df.withColumn(PART_COL, F.trunc(F.to_date(FACT_MONTH[name]), "MM"))
             return df
 
-        audits.append(run_layer(self.spark, "gold", {n: (lambda n=n: job(n)) for n in GOLD_TABLES}, root))
+        parts = {n: [PART_COL] for n in FACT_MONTH} if partition_facts else None
+        audits.append(run_layer(self.spark, "gold", {n: (lambda n=n: job(n)) for n in GOLD_TABLES}, root, parts))
         out = audits[0]
         for a in audits[1:]:
             out = out.unionByName(a)
