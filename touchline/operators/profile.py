@@ -57,6 +57,37 @@ def date_format_rules(c: str) -> list[tuple[Column, str]]:
             (x.rlike(r"^[A-Za-z_]+$"), "sentinel")]
 
 
+def timestamp_format_rules(c: str) -> list[tuple[Column, str]]:
+    """Format classes of raw timestamp text (PRF-06)."""
+    x = F.col(c)
+    return [(x.isNull(), "missing"),
+            (x.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?$"), "iso"),
+            (x.rlike(r"^[0-3][0-9]/[0-1][0-9]/[1-2][0-9]{3} [0-2][0-9]:[0-5][0-9]$"), "dd/mm/yyyy hh:mm"),
+            (x.rlike(r"^[A-Za-z_]+$"), "sentinel")]
+
+
+def id_format_rules(c: str) -> list[tuple[Column, str]]:
+    """Format classes of raw id text (PRF-06): integer, ``n.0`` decimal,
+    other decimal, non-numeric."""
+    x = F.col(c)
+    return [(x.isNull() | (F.trim(x) == ""), "missing"),
+            (x.rlike(r"^[0-9]+$"), "integer"),
+            (x.rlike(r"^[0-9]+\.0$"), "decimal .0"),
+            (x.rlike(r"^-?[0-9]+\.[0-9]+$"), "decimal"),
+            (F.lit(True), "non-numeric")]
+
+
+def money_format_rules(c: str) -> list[tuple[Column, str]]:
+    """Format classes of raw money text (PRF-06): plain, currency suffix,
+    quoted decimal comma, negative."""
+    x = F.col(c)
+    return [(x.isNull() | (F.trim(x) == ""), "missing"),
+            (x.startswith("-"), "negative"),
+            (x.rlike("(?i)USD$"), "currency suffix"),
+            (x.contains(","), "decimal comma"),
+            (x.rlike(r"^[0-9]+(\.[0-9]+)?$"), "plain")]
+
+
 def length_outliers(df: DataFrame, col: str, lo: int, hi: int | None = None) -> DataFrame:
     """PRF-07: ``LEN(x)`` (trailing blanks ignored) outside [lo, hi]
     (``hi=None`` means exactly ``lo``)."""

@@ -76,6 +76,21 @@ add("prf_06_date_format_status",
                     WHEN regexp_full_match(date, '[0-9]{{4}}/[0-9]{{2}}/[0-9]{{2}}') THEN 'yyyy/mm/dd'
                     WHEN regexp_full_match(date, '[A-Za-z_]+') THEN 'sentinel' ELSE 'other' END AS status,
                COUNT(*) AS n FROM {_RAW_SQL} GROUP BY 1""")
+add("prf_06_money_format_status",
+    lambda g: prf.classify(dirty.dirty_ad_spend(g.driver.lineitem), "spend", prf.money_format_rules("spend"))
+    .groupBy("status").agg(F.sum("n").alias("n")),
+    """SELECT CASE WHEN l_orderkey % 7 = 0 THEN 'negative' WHEN l_linenumber % 2 = 0 THEN 'currency suffix'
+                   ELSE 'decimal comma' END AS status, COUNT(*) AS n FROM lineitem GROUP BY 1""")
+add("prf_06_campaign_id_format_status",
+    lambda g: prf.classify(_RAW(g), "campaign_id", prf.id_format_rules("campaign_id")).groupBy("status")
+    .agg(F.sum("n").alias("n")),
+    """SELECT CASE WHEN l_linenumber = 7 THEN 'non-numeric' ELSE 'decimal .0' END AS status, COUNT(*) AS n
+       FROM lineitem GROUP BY 1""")
+add("prf_06_touch_time_format_status",
+    lambda g: prf.classify(dirty.dirty_touchpoints(g.driver.lineitem), "touchpoint_time",
+                           prf.timestamp_format_rules("touchpoint_time")).groupBy("status").agg(F.sum("n").alias("n")),
+    """SELECT CASE WHEN l_partkey % 50 = 1 THEN 'sentinel' WHEN l_linenumber % 2 = 0 THEN 'iso'
+                   ELSE 'dd/mm/yyyy hh:mm' END AS status, COUNT(*) AS n FROM lineitem GROUP BY 1""")
 add("prf_07_date_length_outliers", lambda g: prf.length_outliers(_RAW(g), "date", 10).groupBy("date").count()
     .withColumnRenamed("count", "n"),
     f"SELECT date, COUNT(*) AS n FROM {_RAW_SQL} WHERE length(rtrim(date)) <> 10 GROUP BY date")
