@@ -56,12 +56,17 @@ def main() -> None:
     spark = build_session(master=f"local[{CPUS}]", app="touchline-bench",
                           shuffle_partitions=int(CPUS) * 2)
     _load_all()
-    out: dict[str, float] = {}
+    out: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for label, name in HEADLINE.items():
         q = REGISTRY.get(name)
         if q is None:
             continue
-        out[label] = round(_timed(lambda q=q: _noop(q.build(GoldModel.from_driver(spark, SF_DIR)))), 3)
+        try:
+            out[label] = round(_timed(lambda q=q: _noop(q.build(GoldModel.from_driver(spark, SF_DIR)))), 3)
+        except Exception as exc:  # keep the JSON line; report the failure
+            out[label] = None
+            errors[label] = str(exc).splitlines()[0][:200]
 
     # B5: all 55 KPI views in one session: shared facts and shared monthly
     # aggregates persisted once, views submitted concurrently (Spark runs
@@ -85,11 +90,17 @@ def main() -> None:
             for df in monthly + shared:
                 df.unpersist()
 
-    out["b5_all_kpi_views"] = round(_timed(b5), 3)
-    total = round(sum(out.values()), 3)
-    print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec", "queries": out,
-                      "sf": os.path.basename(SF_DIR.rstrip("/")).replace("sf", ""), "runs": RUNS,
-                      "kpi_views": 55}))
+    try:
+        out["b5_all_kpi_views"] = round(_timed(b5), 3)
+    except Exception as exc:
+        out["b5_all_kpi_views"] = None
+        errors["b5_all_kpi_views"] = str(exc).splitlines()[0][:200]
+    total = round(sum(v for v in out.values() if v is not None), 3)
+    line = {"metric": "headline_total", "value": total, "unit": "sec", "queries": out,
+            "sf": os.path.basename(SF_DIR.rstrip("/")).replace("sf", ""), "runs": RUNS, "kpi_views": 55}
+    if errors:
+        line["errors"] = errors
+    print(json.dumps(line))
     spark.stop()
 
 
