@@ -81,3 +81,12 @@ def test_first_acquisition_nulls_first_and_tie_break(spark):
                                      "acquisition_campaign long")
     got = {r.user_id: (r.acquisition_channel, r.acquisition_campaign) for r in first_acquisition(df).collect()}
     assert got == {1: ("SMS", 4), 2: ("Direct", 9), 3: ("Email", 2)}
+
+
+def test_timestamp_whole_seconds(spark):
+    got = one(spark, ["2024-01-05 10:11:12.600", "2024-01-05 10:11:12.400", "05/01/2024 10:11"],
+              lambda c: C.parse_mixed_timestamp(c, whole_seconds=True))
+    assert got == [dt.datetime(2024, 1, 5, 10, 11, 13), dt.datetime(2024, 1, 5, 10, 11, 12),
+                   dt.datetime(2024, 1, 5, 10, 11)]
+    keep = one(spark, ["2024-01-05 10:11:12.600"], C.parse_mixed_timestamp)
+    assert keep == [dt.datetime(2024, 1, 5, 10, 11, 12, 600000)]

@@ -107,10 +107,12 @@ def parse_mixed_date(c, sentinel: str | tuple = DATE_SENTINELS, years=None, forc
             .otherwise(iso))
 
 
-def parse_mixed_timestamp(c, sentinels=TIMESTAMP_SENTINELS) -> Column:
+def parse_mixed_timestamp(c, sentinels=TIMESTAMP_SENTINELS, whole_seconds: bool = False) -> Column:
     """CLN-03: sentinel → NULL; ``dd/mm/yyyy hh:mm`` (16 chars) → timestamp;
     otherwise the trimmed text as an ISO timestamp (NULL if invalid).
-    Fractions are rounded to the second (DATETIME2(0))."""
+    ``whole_seconds`` rounds fractions half-up to the second (the
+    reference's DATETIME2(0) for clicks and sessions); touchpoints keep
+    milliseconds."""
     c = col(c)
     dmy = F.try_to_timestamp(c, F.lit("dd/MM/yyyy HH:mm"))
     iso = F.coalesce(F.try_to_timestamp(F.trim(c), F.lit("yyyy-MM-dd HH:mm:ss")),
@@ -120,7 +122,10 @@ def parse_mixed_timestamp(c, sentinels=TIMESTAMP_SENTINELS) -> Column:
     out = (F.when(c.isNull() | c.isin(*sentinels), F.lit(None).cast("timestamp"))
            .when(c.rlike(DMY_HM_PATTERN) & (F.length(c) == 16), dmy)
            .otherwise(iso))
-    return out.cast("timestamp_ntz")
+    out = out.cast("timestamp_ntz")
+    if whole_seconds:
+        out = F.date_trunc("second", out + F.expr("INTERVAL 500 MILLISECONDS")).cast("timestamp_ntz")
+    return out
 
 
 def decimal_id(c) -> Column:

@@ -43,12 +43,12 @@ def specs(max_campaign=DEFAULT_MAX_CAMPAIGN, date_years=None, force_year: str |
             "user_id": lambda: C.decimal_id("user_id"),
             "channel": lambda: C.blank_channel("channel"),
             "campaign_id": lambda: C.bounded_id("campaign_id", max_campaign),
-            "click_timestamp": lambda: C.parse_mixed_timestamp("timestamp", ("invalid_date",)),
+            "click_timestamp": lambda: C.parse_mixed_timestamp("timestamp", ("invalid_date",), whole_seconds=True),
         }, False),
         "web_sessions": ("web_raw_sessions", {
             "session_id": lambda: C.parse_int("session_id"),
             "user_id": lambda: C.decimal_id("user_id"),
-            "session_start": lambda: C.parse_mixed_timestamp("session_start", ("not_a_date",)),
+            "session_start": lambda: C.parse_mixed_timestamp("session_start", ("not_a_date",), whole_seconds=True),
             "device": lambda: C.bucket("device", C.DEVICE_BUCKETS),
             "source_channel": lambda: C.canonical_channel("source_channel"),
             "pages_viewed": lambda: C.sentinel_int("pages_viewed"),
