@@ -2,19 +2,35 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lines, sharding
-from .shared import table
+from . import decontaminate, jaccard, lines, pieces, quality, sharding, tokenfile, vectors, warc
+from .shared import scratch, table
 
 SHARD_BYTES = 1 << 20
+TOKEN_LIMIT = 4096
+PIECE_MODEL, WORD_MODEL = "piece_bpe_32k.model", "word_bpe_49k.json"
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = pieces.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL), scratch(spark, "token-cache"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(table(spark, sf_dir, "documents"))
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL), texts=False)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -22,12 +38,34 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "token-files")
+    manifest = tokenfile.write(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_MODEL), folder)
+    return tokenfile.read(spark, folder, manifest, ids=False).withColumnRenamed("id", "doc_id")
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    folder = scratch(spark, "warc")
+    manifest = warc.write(warc.chunks(pages, warc.decide(pages)), folder)
+    return warc.pages(warc.read(spark, folder, manifest, data=False))
+
+
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return lines.drop_boilerplate(docs).select("doc_id", "source", F.col("__n_lines").alias("n_lines"),
                                                F.col("__n_dropped").alias("n_dropped"), "text")
 
 
-QUERIES = {f.__name__: f for f in (op3_sharding, op5_decontamination, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_ngram_jaccard, op3_sharding, op4_sentencepiece, op5_decontamination,
+                                   op6_token_files, op7_warc, op8_embedding_near_dedup, op9_quality, op10_line_dedup)}
 ORACLES = {"op3_sharding": sharding.oracle(SHARD_BYTES), "op5_decontamination": decontaminate.ORACLE,
            "op10_line_dedup": lines.ORACLE}
