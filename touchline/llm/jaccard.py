@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from . import graph
 from .bytewords import buffers, mix, pieces, word_hashes
-from .shared import bounded_batches, partitions, store
+from .shared import python_tasks, partitions, store
 
 SIZE, PERCENT = 5, 75
 #: Hash buckets for each shuffle partition; rows of one packed batch (their numbers are 16 bits).
@@ -195,7 +195,7 @@ def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows that can have partners the packed shared shingles in ascending (frequency, hash) order;
     sig where none is its own."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    python_tasks(spark)
     buckets = BUCKETS_PER_PARTITION * partitions(spark)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, broadcast_if_small, store
+from .shared import python_tasks, broadcast_if_small, store
 
 MARK = "▁"
 #: Entries after which a worker's table starts anew, and characters up to which a chunk is kept.
@@ -176,7 +176,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache_path: str, id_col: str =
     append the same digest at once do no harm: readers take one row per digest.  ``normalise`` must
     keep null-free text; counts are those of the normalised text."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    python_tasks(spark)
     version = tokenizer_digest(tokenizer)
     text = normalise(F.col(text_col))
     base = docs.select(F.col(id_col).alias("__id"), F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_bytes"),
@@ -208,7 +208,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache_path: str, id_col: str =
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", texts: bool = True) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256[, ids, decoded]) of every row.  No shuffle: chunk
     tables live in the workers, bounded in entries, and a lost one is rebuilt from the texts."""
-    bounded_batches(docs.sparkSession)
+    python_tasks(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("__id"), content(F.col(text_col)).alias("__text"))
     id_type = rows.schema["__id"].dataType.simpleString()
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import buffers, pieces, word_hashes
-from .shared import bounded_batches, store
+from .shared import python_tasks, store
 
 FEATURES = ("signs", "bars", "capitals", "capital_words", "digits", "stops", "word_length", "repeats", "returns", "lines", "foreign")
 #: Weight of the pooled covariance, and of the scaled diagonal, in each class covariance.
@@ -107,7 +107,7 @@ class Model:
 
 def with_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, x): the statistics of every row."""
-    bounded_batches(docs.sparkSession)
+    python_tasks(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +171,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with all columns, without the rows that the model rejects; texts are scored where
     they are read, without a shuffle."""
-    bounded_batches(docs.sparkSession)
+    python_tasks(docs.sparkSession)
     model = fit(store(with_statistics(docs, id_col, text_col), "statistics"), labels)
     at = docs.columns.index(text_col)
 

@@ -7,6 +7,7 @@ survives lost executors and freezes values that a re-run could change.
 
 from __future__ import annotations
 
+import os
 import string
 import uuid
 
@@ -48,9 +49,14 @@ def broadcast_if_small(stored: DataFrame, rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(stored) if stored.count() <= rows else stored
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Bound Arrow batches by bytes: texts can be very long."""
+def python_tasks(spark: SparkSession) -> None:
+    """Prepare a session for Python tasks: Arrow batches bounded by bytes, as texts can be very
+    long, and this package's place on the workers' path (local runs from any folder)."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, partitions, scratch, store
+from .shared import python_tasks, partitions, scratch, store
 
 MAGIC = b"TLEF0001"
 SAMPLE = 256
@@ -190,7 +190,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1, id_col:
     """Write token files of ``docs`` in ascending id order to ``folder`` on shared storage; the
     stored manifest (part, file, n_docs, n_null, n_tokens) in the order of the files."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    python_tasks(spark)
     rows = (docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
             .withColumn("tie", F.xxhash64("text"))
             .repartitionByRange(partitions(spark), "id", "tie").sortWithinPartitions("id", "tie"))
@@ -206,7 +206,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1, id_col:
         for b in batches:
             if out is None:
                 filesystem.create_dir(top, recursive=True)
-                out = filesystem.open_output_stream(f"{top}/{name}")
+                out = filesystem.open_output_stream(f"{top}/{name}", compression=None)
             ids = b.column(0)
             nulls += ids.null_count
             keys.append(ids.drop_null().to_numpy(zero_copy_only=False))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import graph
-from .shared import bounded_batches, partitions, store
+from .shared import python_tasks, partitions, store
 
 COSINE = 0.93
 #: Leading axes of the grid, vectors in a block, blocks in an interval, vectors in a leaf.
@@ -40,7 +40,7 @@ AXES, BLOCK, INTERVAL, LEAF = 6, 1024, 32, 128
 def near_duplicates(table: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", vec_col: str = "embedding",
                     label_col: str = "label") -> DataFrame:
     """(id, n_links, component_id, kept) of every row."""
-    bounded_batches(table.sparkSession)
+    python_tasks(table.sparkSession)
     rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"),
                         F.col(vec_col).cast("array<double>").alias("vec"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, partitions, store
+from .shared import python_tasks, partitions, store
 from .tokenfile import _open
 
 CHUNK = 256 << 10
@@ -76,7 +76,7 @@ def decide(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html",
 
 def chunks(pages: DataFrame, revisits: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
     """The chunk rows of every record; a revisit is one row without data."""
-    bounded_batches(pages.sparkSession)
+    python_tasks(pages.sparkSession)
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"),
                         F.coalesce(F.col(payload_col), F.lit("")).cast("binary").alias("payload"))
     marked = (rows.withColumn("sha1", F.unhex(F.sha1("payload")))
@@ -118,7 +118,7 @@ def write(chunk_rows: DataFrame, folder: str) -> DataFrame:
             for r in b.to_pylist():
                 if out is None:
                     filesystem.create_dir(top, recursive=True)
-                    out = filesystem.open_output_stream(f"{top}/{name}")
+                    out = filesystem.open_output_stream(f"{top}/{name}", compression=None)
                 if r["chunk_no"] == 0:
                     gz = zlib.compressobj(1, zlib.DEFLATED, 31)
                     out.write(gz.compress(_head(r)))
@@ -153,15 +153,16 @@ def _members(stream) -> Iterator[bytes | None]:
     """Decompressed pieces of each gzip member, then None at its end."""
     rest = b""
     while True:
-        inflate, any_data = zlib.decompressobj(31), False
+        inflate, begun, piece = zlib.decompressobj(31), False, b""
         while not inflate.eof:
-            data = inflate.unconsumed_tail or rest or stream.read(CHUNK)
+            # after a full piece there may be more output without new input
+            data = inflate.unconsumed_tail or rest or (b"" if len(piece) == CHUNK else stream.read(CHUNK))
             rest = b""
-            if not data:
-                if any_data:
+            if not data and len(piece) < CHUNK:
+                if begun:
                     raise ValueError("the archive ends inside a record")
                 return
-            any_data = True
+            begun = True
             piece = inflate.decompress(data, CHUNK)
             if piece:
                 yield piece
