@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import broadcast_if_small, lower_ascii, store
+from .shared import broadcast_if_small, fresh, lower_ascii, store
 
 #: Runs of ASCII characters that are not letters or digits part words.
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -134,6 +134,17 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col:
             .withColumn("items", F.coalesce("items", F.array().cast("array<string>"))))
 
 
+def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col: str = "doc_id",
+                      text_col: str = "text", item_col: str = "item_id") -> DataFrame:
+    """``docs`` with all columns, without the rows that hold an occurrence of a window.  A row is
+    named by a hash of its id and text, so a clean row keeps its place beside one of the same id."""
+    name = F.xxhash64(F.col(id_col), F.col(text_col))
+    named = docs.select(name.alias("__name"), F.col(text_col).alias("__text"))
+    mark = fresh(docs, "__name")
+    hit = contamination(named, items, size, "__name", "__text", item_col).filter("n_hit > 0").select(F.col("__name").alias(mark)).distinct()
+    return docs.join(hit, name == F.col(mark), "left_anti")
+
+
 ORACLE = rf"""
 WITH dw AS (SELECT row_number() OVER () AS r, doc_id,
               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from . import graph
 from .bytewords import buffers, mix, pieces, word_hashes
-from .shared import python_tasks, partitions, store
+from .shared import fresh, partitions, python_tasks, store
 
 SIZE, PERCENT = 5, 75
 #: Hash buckets for each shuffle partition; rows of one packed batch (their numbers are 16 bits).
@@ -69,7 +69,7 @@ def shingles(column: pa.Array, size: int = SIZE) -> tuple[np.ndarray, np.ndarray
         acc = np.zeros(len(h), np.uint64)
         for k in range(size):
             part = np.zeros(len(h), np.uint64)
-            part[:len(h) - k] = h[k:]
+            part[:max(len(h) - k, 0)] = h[k:]
             part[width <= k] = 0
             acc = acc * np.uint64(0x9E3779B97F4A7C15) + part
         s = mix(acc + width.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))[keep]
@@ -333,3 +333,17 @@ def _suffix_bound(x: np.ndarray, y: np.ndarray, ranges: int = 16) -> int:
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, component_id) of every row of ``docs``."""
     return Join(docs, id_col, text_col, size, percent).components().withColumnRenamed("id", id_col)
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with all columns, one document of each component: that with the smallest id.  Of
+    rows that repeat an id, each different text stays once; rows with a null id stay."""
+    id_, mine = fresh(docs, "__id"), F.col(id_col)
+    parts = store(components(docs, id_col, text_col, size, percent).select(F.col(id_col).alias(id_), "component_id"), "parts")
+    copies = parts.filter(F.col(id_) != F.col("component_id")).select(id_).distinct()
+    kept = docs.join(copies, mine == F.col(id_), "left_anti")
+    repeats = store(parts.filter(F.col(id_).isNotNull()).groupBy(id_).count().filter("count > 1").select(id_), "repeats")
+    if repeats.isEmpty():
+        return kept
+    return (kept.join(repeats, mine == F.col(id_), "left_anti")
+            .unionByName(kept.join(repeats, mine == F.col(id_), "left_semi").dropDuplicates([id_col, text_col])))

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import broadcast_if_small, store
+from .shared import broadcast_if_small, fresh, quoted, store
 
 RATIO = 0.05
 MIN_PAGES = 4
@@ -47,22 +47,39 @@ def boilerplate(docs: DataFrame, site_col: str = "source", text_col: str = "text
             .filter(F.col("__pages") > F.col("__total") * ratio))
 
 
-def drop_boilerplate(docs: DataFrame, site_col: str = "source", text_col: str = "text",
-                     ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``docs`` with the boilerplate lines cut out of ``text_col``; adds __n_lines, __n_dropped."""
+def _cleaned(docs: DataFrame, site_col: str, text_col: str, ratio: float, min_pages: int) -> tuple[DataFrame, str]:
+    """``docs`` and a struct column (n_lines, n_dropped, text) of a name of its own."""
+    site, bad, out = fresh(docs, "__site"), fresh(docs, "__bad"), fresh(docs, "__cleaned")
     found = store(boilerplate(docs, site_col, text_col, ratio, min_pages)
-                  .groupBy("__site").agg(F.collect_list("__line").alias("__bad")), "lines")
+                  .groupBy(F.col("__site").alias(site)).agg(F.collect_list("__line").alias(bad)), "lines")
     # a list has (mean lines per page / ratio) digests of 16 bytes at most; 2,000 sites are some MB
-    marked = docs.withColumn("__site", _site(site_col)).join(broadcast_if_small(found, 2_000), "__site", "left")
+    marked = docs.withColumn(site, _site(site_col)).join(broadcast_if_small(found, 2_000), site, "left")
     lines = F.split(text_col, "\n")
-    stays = F.filter(lines, lambda l: (F.trim(l) == "") | ~F.array_contains("__bad", _digest(l)))
-    kept = F.when(F.col("__bad").isNull(), lines).otherwise(stays)
-    n = F.coalesce(F.size(lines), F.lit(0))
-    return (marked.withColumn("__kept", kept)
-            .withColumn("__n_lines", F.when(F.col(text_col).isNull(), 0).otherwise(n))
-            .withColumn("__n_dropped", F.when(F.col(text_col).isNull(), 0).otherwise(n - F.size("__kept")))
-            .withColumn(text_col, F.array_join("__kept", "\n"))
-            .drop("__site", "__bad", "__kept"))
+    kept = F.when(F.col(bad).isNull(), lines).otherwise(
+        F.filter(lines, lambda l: (F.trim(l) == "") | ~F.array_contains(bad, _digest(l))))
+    n = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines))
+    stays = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(kept))
+    result = F.struct(n.alias("n_lines"), (n - stays).alias("n_dropped"), F.array_join(kept, "\n").alias("text"))
+    return marked.withColumn(out, result).drop(site, bad), out
+
+
+def drop_boilerplate(docs: DataFrame, site_col: str = "source", text_col: str = "text",
+                     ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+    """``docs`` with the boilerplate lines cut out of ``text_col``, and n_lines and n_dropped, which
+    take the place of columns of these names."""
+    out, c = _cleaned(docs, site_col, text_col, ratio, min_pages)
+    return out.withColumns({"n_lines": F.col(c)["n_lines"], "n_dropped": F.col(c)["n_dropped"], text_col: F.col(c)["text"]}).drop(c)
+
+
+def clean(docs: DataFrame, site_col: str = "source", text_col: str = "text", length_col: str = "n_chars",
+          ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+    """``docs`` with its own columns: cleaned texts, and their length in ``length_col`` if it has one."""
+    out, c = _cleaned(docs, site_col, text_col, ratio, min_pages)
+    new = {text_col: F.col(c)["text"]}
+    if length_col in docs.columns:
+        new[length_col] = (F.when(F.col(c)["n_dropped"] > 0, F.char_length(F.col(c)["text"])).otherwise(F.col(length_col))
+                           .cast(docs.schema[length_col].dataType))
+    return out.withColumns(new).select([quoted(x) for x in docs.columns])
 
 
 ORACLE = f"""

@@ -24,6 +24,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,6 +66,7 @@ class ChunkTable:
         lone = self.model.piece_to_id(MARK)
         self.ids: dict[str, str] = {"": str(lone)}
         self.counts: dict[str, int] = {"": 1}
+        self.packed: dict[str, bytes] = {"": np.int32(lone).tobytes()}
         self.odd: dict[str, str] = {}
 
     def chunks(self, text: str) -> list[str]:
@@ -85,13 +87,14 @@ class ChunkTable:
         for chunk, ids in zip(new, self.model.encode(new, num_threads=1)):
             self.ids[chunk] = ",".join(map(str, ids))
             self.counts[chunk] = len(ids)
+            self.packed[chunk] = np.array(ids, np.int32).tobytes()
             if (surface := self.model.decode(ids)) != chunk:
                 self.odd[chunk] = surface
         return [c for c in new if len(c) > CHUNK_CHARS]
 
     def _forget(self, chunks: list[str]) -> None:
         for c in chunks:
-            del self.ids[c], self.counts[c]
+            del self.ids[c], self.counts[c], self.packed[c]
             self.odd.pop(c, None)
 
     def count(self, texts: list[str]) -> list[int]:
@@ -106,22 +109,22 @@ class ChunkTable:
             self._forget(long)
         return out
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[str, str]]:
-        """(decimal ids joined by commas, decoded text) of each text."""
+    def encode(self, texts: list[str]) -> Iterator[tuple[str, bytes, str]]:
+        """(decimal ids joined by commas, ids as 32-bit numbers, decoded text) of each text."""
         if not self.by_chunk:
             for t in texts:
                 ids = self.model.encode(t)
-                yield ",".join(map(str, ids)), self.model.decode(ids)
+                yield ",".join(map(str, ids)), np.array(ids, np.int32).tobytes(), self.model.decode(ids)
             return
         for some in _runs(texts):
             cut = [self.chunks(t) for t in some]
             distinct = set().union(*cut)
             long = self._learn(distinct)
             odd = {c: self.odd[c] for c in distinct & self.odd.keys()}
-            get = self.ids.__getitem__
+            decimal, packed = self.ids.__getitem__, self.packed.__getitem__
             for t, c in zip(some, cut):
                 decoded = " ".join([odd.get(x, x) for x in c]) if odd else t.replace(MARK, " ")
-                yield ",".join(map(get, c)), decoded
+                yield ",".join(map(decimal, c)), b"".join(map(packed, c)), decoded
             self._forget(long)
 
 
@@ -205,8 +208,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache_path: str, id_col: str =
     return keys.join(cached(), "digest").select(F.col("__id").alias(id_col), "n_bytes", "n_tokens")
 
 
-def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", texts: bool = True) -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256[, ids, decoded]) of every row.  No shuffle: chunk
+def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = True, texts: bool = False) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256[, ids][, decoded]) of every row.  No shuffle: chunk
     tables live in the workers, bounded in entries, and a lost one is rebuilt from the texts."""
     python_tasks(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("__id"), content(F.col(text_col)).alias("__text"))
@@ -215,23 +218,26 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _worker(model)
         for b in batches:
-            n, ids_sha, text_sha, ids_out, text_out = [], [], [], [], []
-            for ids, decoded in table.encode(b.column(1).to_pylist()):
-                n.append(ids.count(",") + 1 if ids else 0)
-                ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
-                text_sha.append(hashlib.sha256(decoded.encode()).hexdigest())
+            n, ids_sha, text_sha, packed, decoded = [], [], [], [], []
+            for decimal, numbers, text in table.encode(b.column(1).to_pylist()):
+                n.append(len(numbers) // 4)
+                ids_sha.append(hashlib.sha256(decimal.encode()).hexdigest())
+                text_sha.append(hashlib.sha256(text.encode()).hexdigest())
+                if ids:
+                    packed.append(numbers)
                 if texts:
-                    ids_out.append([int(i) for i in ids.split(",")] if ids else [])
-                    text_out.append(decoded)
-            out = [b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
-            names = ["__id", "n_tokens", "ids_sha256", "decoded_sha256"]
+                    decoded.append(text)
+            out = {"__id": b.column(0), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()),
+                   "decoded_sha256": pa.array(text_sha, pa.string())}
+            if ids:
+                ends = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
+                out["ids"] = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(packed), np.int32)))
             if texts:
-                out += [pa.array(ids_out, pa.list_(pa.int32())), pa.array(text_out, pa.string())]
-                names += ["ids", "decoded"]
-            yield pa.record_batch(out, names)
+                out["decoded"] = pa.array(decoded, pa.string())
+            yield pa.record_batch(list(out.values()), list(out))
 
-    schema = f"__id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return rows.mapInArrow(run, schema + (", ids array<int>, decoded string" if texts else "")).withColumnRenamed("__id", id_col)
+    schema = f"__id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids + ", decoded string" * texts
+    return rows.mapInArrow(run, schema).withColumnRenamed("__id", id_col)
 
 
 def decode(encoded: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

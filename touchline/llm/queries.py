@@ -28,7 +28,7 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL), texts=False)
+    return pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL), ids=False)
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,8 +61,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return lines.drop_boilerplate(docs).select("doc_id", "source", F.col("__n_lines").alias("n_lines"),
-                                               F.col("__n_dropped").alias("n_dropped"), "text")
+    return lines.drop_boilerplate(docs).select("doc_id", "source", "n_lines", "n_dropped", "text")
 
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_ngram_jaccard, op3_sharding, op4_sentencepiece, op5_decontamination,

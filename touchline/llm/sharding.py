@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import store
+from .shared import fresh, store
 
 BITS = 60
 #: Bits added for the buckets that are still too large after a round.
@@ -94,21 +94,19 @@ def _leaves(rows: DataFrame, limit: int, low: int, high: int) -> DataFrame:
 def write_shards(docs: DataFrame, path: str, limit_bytes: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """``docs`` with all columns, one folder per shard.  Rows are assigned by their own key, so a
     repeated id goes where each of its texts belongs."""
-    marked = docs.withColumn("__key", hash_key(id_col, text_col))
-    placed = (shard(docs, limit_bytes, id_col, text_col)
-              .select("shard", "depth").distinct()
-              .withColumn("__prefix", F.when(F.col("shard") == "", F.lit("0")).otherwise(F.conv("shard", 2, 10)).cast("long")))
-    depths = [r[0] for r in placed.select("depth").distinct().collect()]
+    key, pre, place = fresh(docs, "__key"), fresh(docs, "__prefix"), fresh(docs, "__shard")
+    marked = docs.withColumn(key, hash_key(id_col, text_col))
+    shards = (shard(docs, limit_bytes, id_col, text_col).select("shard", "depth").distinct()
+              .withColumn(pre, F.when(F.col("shard") == "", F.lit("0")).otherwise(F.conv("shard", 2, 10)).cast("long")))
     out = None
-    for d in depths:
-        part = (marked.withColumn("__prefix", prefix(F.col("__key"), int(d)))
-                .join(placed.filter(F.col("depth") == d).select("__prefix", F.col("shard").alias("__shard")), "__prefix")
-                .drop("__prefix", "__key"))
+    # at most one pass per depth; a hash's depths differ by few
+    for d in [r[0] for r in shards.select("depth").distinct().collect()]:
+        one = shards.filter(F.col("depth") == d).select(pre, F.col("shard").alias(place))
+        part = marked.withColumn(pre, prefix(F.col(key), int(d))).join(one, pre).drop(pre, key)
         out = part if out is None else out.unionByName(part)
     if out is None:
-        docs.limit(0).withColumn("__shard", F.lit("")).write.mode("overwrite").parquet(path)
-        return
-    out.repartition("__shard").write.mode("overwrite").partitionBy("__shard").parquet(path)
+        out = docs.withColumn(place, F.lit("")).limit(0)
+    out.repartition(place).write.mode("overwrite").partitionBy(place).parquet(path)
 
 
 def oracle(limit_bytes: int) -> str:
