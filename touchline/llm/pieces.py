@@ -29,11 +29,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import python_tasks, broadcast_if_small, store
+from .shared import python_tasks, store
 
 MARK = "▁"
 #: Entries after which a worker's table starts anew, and characters up to which a chunk is kept.
-TABLE_ENTRIES, CHUNK_CHARS = 600_000, 64
+TABLE_ENTRIES, CHUNK_CHARS = 400_000, 64
 _CHUNK = re.compile(" +[^ ]*")
 _workers: dict = {}
 
@@ -194,7 +194,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache_path: str, id_col: str =
     # one row stands for all copies of a content; ids and digests only, combined before the shuffle
     misses = store(keys.groupBy("digest").agg(F.min("__id").alias("__rep"))
                    .join(cached().select("digest"), "digest", "left_anti"), "misses")
-    chosen = base.join(broadcast_if_small(misses.withColumnRenamed("digest", "__d"), 50_000),
+    chosen = base.join(misses.withColumnRenamed("digest", "__d"),
                        F.col("__id").eqNullSafe(F.col("__rep")) & (F.col("digest") == F.col("__d")))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
