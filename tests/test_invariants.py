@@ -28,8 +28,8 @@ def test_salted_path_equals_plain_path(spark):
     from conftest import SF_SMALL
     g = GoldModel.from_driver(spark, SF_SMALL)
     t, p = g.silver["web_touchpoints"], g.silver["crm_purchases"]
-    plain = attribution.touch_path(t, p, salt_buckets=1)
-    salted = attribution.touch_path(t, p, salt_buckets=8, hot_user_rows=1)  # every user is "hot"
+    plain = attribution.touch_path(t, p, rows_per_task=None)
+    salted = attribution.touch_path(t, p, rows_per_task=5)  # nearly every user is salted
     assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
 
 
@@ -42,6 +42,38 @@ def test_entity_sums_equal_global(spark):
     assert total == by_channel
 
 
+def test_dense_key_of_wide_rows(spark):
+    """No row is lost or numbered twice, with and without adaptive execution."""
+    from touchline.operators.dims import with_dense_key
+    df = spark.range(0, 400_000).select((F.col("id") * 7919 % 400_000).alias("k"), F.repeat(F.lit("x"), 40).alias("a"),
+                                        F.sha2(F.col("id").cast("string"), 256).alias("b")).repartition(16)
+    for adaptive in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        try:
+            keyed = with_dense_key(df, "sk", ["k"])
+            got = keyed.agg(F.count(F.lit(1)), F.countDistinct("sk"), F.min("sk"), F.max("sk"), F.sum((F.col("sk") != F.col("k") + 1).cast("int"))).first()
+            assert tuple(got) == (400_000, 400_000, 1, 400_000, 0)
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_lengths_equal_path_counts_of_a_skewed_user(spark):
+    """Path lengths by running sums, and salted rank paths, for one user with most touches and purchases."""
+    rows = [(1 if i % 3 else i % 5, f"2024-01-{i % 28 + 1:02d} {i % 24:02d}:00:00", "Email" if i % 7 else None, i % 4, "Click") for i in range(600)]
+    t = spark.createDataFrame(rows, "user_id long, t string, channel string, campaign_id long, interaction_type string").select(
+        "user_id", F.to_timestamp("t").alias("touchpoint_time"), "channel", "campaign_id", "interaction_type").distinct()
+    p = spark.createDataFrame([(i, 1 if i % 2 else i % 5, f"2024-01-{i % 28 + 1:02d}", i * 1.5) for i in range(80)],
+                              "purchase_id long, user_id long, d string, r double").select(
+        "purchase_id", "user_id", F.to_date("d").alias("purchase_date"), F.col("r").cast("decimal(12,2)").alias("revenue"))
+    ref = attribution.attribution_facts(t, p, method="window", rows_per_task=None)
+    got = attribution.attribution_facts(t, p, rows_per_task=200)
+    for name in ref:
+        assert ref[name].exceptAll(got[name]).count() == 0 and got[name].exceptAll(ref[name]).count() == 0, name
+    want = attribution.path_lengths(ref["fact_touchpath"])
+    have = attribution.path_length_per_purchase(t, p)
+    assert want.exceptAll(have).count() == 0 and have.exceptAll(want).count() == 0
+
+
 def test_dense_key_matches_row_number(spark):
     from touchline.operators.dims import with_dense_key
     df = spark.range(0, 1000, 3).withColumnRenamed("id", "k").repartition(7)
@@ -55,9 +87,8 @@ def test_rank_plan_equals_window_plan(spark):
     from conftest import SF_SMALL
     g = GoldModel.from_driver(spark, SF_SMALL)
     t, p = g.silver["web_touchpoints"], g.silver["crm_purchases"]
-    ref = attribution.attribution_facts(t, p, method="window", salt_buckets=1)
-    for kw in ({"salt_buckets": 1}, {"salt_buckets": 4, "hot_user_rows": 1},
-               {"salt_buckets": 1, "bucket": "hour"}):
+    ref = attribution.attribution_facts(t, p, method="window", rows_per_task=None)
+    for kw in ({"rows_per_task": None}, {"rows_per_task": 5}, {"rows_per_task": None, "bucket": "day"}):
         got = attribution.attribution_facts(t, p, method="rank", **kw)
         for name in ref:
             a, b = ref[name], got[name].select(*ref[name].columns)

@@ -59,18 +59,17 @@ def lookup_map(buckets: dict[str, list[str]]) -> Column:
 
 
 def canonical_channel(c) -> Column:
-    """CLN-01: canonical channel name; NULL/blank → NULL; unknown values pass
-    through unchanged."""
-    c = col(c)
-    mapped = F.element_at(lookup_map(CHANNEL_SYNONYMS), F.lower(c))
-    return F.when(c.isNull() | (c == ""), F.lit(None).cast("string")).otherwise(F.coalesce(mapped, c))
+    """CLN-01: canonical channel name, compared trimmed and in lower case;
+    NULL/blank → NULL; unknown values pass through trimmed."""
+    c = blank_channel(c)
+    return F.coalesce(F.element_at(lookup_map(CHANNEL_SYNONYMS), F.lower(c)), c)
 
 
 def bucket(c, buckets: dict[str, list[str]]) -> Column:
-    """CLN-10 (list form): case-insensitive bucket, unknown passes through."""
-    c = col(c)
-    return F.when(c.isNull(), F.lit(None).cast("string")).otherwise(
-        F.coalesce(F.element_at(lookup_map(buckets), F.lower(c)), c))
+    """CLN-10 (list form): bucket compared trimmed and in lower case; unknown
+    values pass through trimmed, blank ones are NULL."""
+    c = blank_channel(c)
+    return F.coalesce(F.element_at(lookup_map(buckets), F.lower(c)), c)
 
 
 def objective(c) -> Column:
@@ -129,40 +128,43 @@ def parse_mixed_timestamp(c, sentinels=TIMESTAMP_SENTINELS, whole_seconds: bool
 
 
 def decimal_id(c) -> Column:
-    """CLN-08: ``"17.0"`` → 17 (text → decimal(10,1) → int, half-up)."""
-    return F.round(col(c).try_cast("decimal(10,1)"), 0).try_cast("int")
+    """CLN-08: ``"17.0"`` → 17, ``"17.6"`` → 17 (text → one decimal place →
+    whole number, cut off); 64-bit ids."""
+    return col(c).try_cast("decimal(20,1)").try_cast("long")
 
 
-def bounded_id(c, max_id) -> Column:
-    """CLN-04: non-numeric, 0 or > ``max_id`` → NULL; else rounded to int."""
-    d = col(c).try_cast("decimal(10,1)")
-    m = max_id if isinstance(max_id, Column) else F.lit(max_id)
-    return (F.when(d.isNull() | (d == 0) | (d > m), F.lit(None).cast("int"))
-            .otherwise(F.round(d, 0).try_cast("int")))
+def bounded_id(c, max_id=None) -> Column:
+    """CLN-04: non-numeric, 0 or > ``max_id`` (None: no bound) → NULL; else
+    rounded to a whole number."""
+    d = col(c).try_cast("decimal(20,1)")
+    bad = d.isNull() | (d == 0)
+    if max_id is not None:
+        bad = bad | (d > (max_id if isinstance(max_id, Column) else F.lit(max_id)))
+    return F.when(bad, F.lit(None).cast("long")).otherwise(F.round(d, 0).try_cast("long"))
 
 
 def parse_money(c) -> Column:
     """CLN-05: strip ``USD``, quotes and minus signs (sign dropped, defect
-    D12), decimal comma → point, trim, → decimal(10,2) or NULL."""
+    D12), decimal comma → point, trim, → decimal(18,2) or NULL."""
     t = F.regexp_replace(col(c), r'(?i)USD|["-]', "")
     t = F.trim(F.regexp_replace(t, ",", "."))
-    return t.try_cast("decimal(10,2)")
+    return t.try_cast("decimal(18,2)")
 
 
-def parse_decimal(c, precision: int = 10, scale: int = 2) -> Column:
+def parse_decimal(c, precision: int = 18, scale: int = 2) -> Column:
     """CLN-06: plain decimal, negatives (returns) kept."""
     return col(c).try_cast(f"decimal({precision},{scale})")
 
 
 def parse_int(c) -> Column:
-    """CLN-07."""
-    return col(c).try_cast("int")
+    """CLN-07: a 64-bit whole number; text with a decimal point is NULL."""
+    return col(c).try_cast("long")
 
 
 def sentinel_int(c, sentinel: str = PAGES_SENTINEL) -> Column:
     """CLN-11: sentinel text → NULL, then CLN-08."""
     c = col(c)
-    return F.when(c.isNull() | (F.trim(c) == sentinel), F.lit(None).cast("int")).otherwise(decimal_id(c))
+    return F.when(c.isNull() | (F.trim(c) == sentinel), F.lit(None).cast("long")).otherwise(decimal_id(c)).cast("int")
 
 
 def after_first_comma(c) -> Column:
@@ -198,7 +200,6 @@ def audit_column() -> Column:
 
 
 def blank_channel(c) -> Column:
-    """NULL/blank → NULL, otherwise unchanged (clicks and touchpoints keep
-    their spelling in the reference)."""
-    c = col(c)
-    return F.when(c.isNull() | (c == ""), F.lit(None).cast("string")).otherwise(c)
+    """NULL/blank → NULL, otherwise trimmed with its spelling kept (clicks and
+    touchpoints)."""
+    return F.nullif(F.trim(col(c)), F.lit(""))

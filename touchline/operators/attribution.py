@@ -18,12 +18,14 @@ Two plans are provided (``attribution_facts(method=...)``):
   (user, salt, purchase) — the direct formulation, one shuffle of each
   input plus an in-task sort of path rows.
 
-Hot users.  A user owning a large share of touches is found with a
-per-user count (a partial aggregate); the top ``hot_users`` of them (a
-bounded list, safely broadcast) are salted: their purchases are spread over
-``salt_buckets`` buckets and their touches replicated into each, so their
-path rows are built by many tasks.  The salt is a function of the purchase,
-so per-purchase results are unchanged.
+Hot users.  A user's path has up to touches x purchases rows.  Both numbers
+come from per-user counts (partial aggregates); a user whose product exceeds
+``rows_per_task`` is salted: the purchases are spread over as many buckets as
+the product needs (at most one per purchase) and the touches replicated into
+each, so that path rows are built by many tasks.  There is no limit on the
+number of salted users or buckets, and the planner broadcasts their table
+only while it is small.  The salt is a function of the purchase, so
+per-purchase results are unchanged.
 """
 
 from __future__ import annotations
@@ -34,17 +36,35 @@ from pyspark.sql import functions as F
 TIE_BREAK = ("channel", "campaign_id", "interaction_type")
 
 
-def _hot_users(touches: DataFrame, user: str, min_rows: int, limit: int) -> DataFrame:
-    counts = touches.groupBy(user).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") >= min_rows).orderBy(F.desc("_n"), F.col(user)).limit(limit)
-    return F.broadcast(hot.select(F.col(user).alias("_hot_user"), F.lit(True).alias("_hot")))
+#: Path rows that one (user, salt) group builds at most, on average.
+ROWS_PER_TASK = 1_000_000
+
+
+def _salts(touch_counts: DataFrame, purchases: DataFrame, rows_per_task: int) -> DataFrame:
+    """(_hot_user, _salts > 1) from (_u, _n) touch counts and purchases by _p_user."""
+    bought = purchases.groupBy("_p_user").agg(F.count(F.lit(1)).alias("_np"))
+    need = F.ceil(F.col("_n").cast("double") * F.col("_np") / rows_per_task)
+    return (touch_counts.join(bought, F.col("_u") == F.col("_p_user"))
+            .select(F.col("_u").alias("_hot_user"), F.least(need, F.col("_np")).cast("int").alias("_salts"))
+            .filter("_salts > 1"))
+
+
+def _salted(touches: DataFrame, purchases: DataFrame, hot: DataFrame, user: str, purchase: str) -> tuple[DataFrame, DataFrame]:
+    """Touches replicated into their user's buckets (_salt), purchases dealt to one (_p_salt)."""
+    t = (touches.join(hot, F.col(user) == F.col("_hot_user"), "left")
+         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
+         .drop("_hot_user", "_salts"))
+    p = (purchases.join(hot, F.col("_p_user") == F.col("_hot_user"), "left")
+         .withColumn("_p_salt", F.pmod(F.xxhash64(purchase), F.coalesce("_salts", F.lit(1))).cast("int"))
+         .drop("_hot_user", "_salts"))
+    return t, p
 
 
 def touch_path(touches: DataFrame, purchases: DataFrame, *, user: str = "user_id",
                time: str = "touchpoint_time", purchase: str = "purchase_id",
                purchase_date: str = "purchase_date", tie_break=TIE_BREAK,
-               purchase_cols=(), salt_buckets: int = 16, hot_user_rows: int = 1_000_000,
-               hot_users: int = 1000, keep_salt: bool = False) -> DataFrame:
+               purchase_cols=(), rows_per_task: int | None = ROWS_PER_TASK,
+               keep_salt: bool = False) -> DataFrame:
     """ATT-01 + ATT-02 + ATT-03 (``fact_touchpath``).
 
     Returns (user_id, purchase_id, touchpoint_number, touchpoint_time, channel,
@@ -57,23 +77,13 @@ def touch_path(touches: DataFrame, purchases: DataFrame, *, user: str = "user_id
     p = (purchases.filter(F.col(user).isNotNull() & F.col(purchase_date).isNotNull())
          .select(F.col(user).alias("_p_user"), purchase, purchase_date, *extra))
 
-    if salt_buckets and salt_buckets > 1:
-        hot = _hot_users(t, user, hot_user_rows, hot_users)
-        t = (t.join(hot, F.col(user) == F.col("_hot_user"), "left")
-             .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
-                                            .otherwise(F.array(F.lit(0)))))
-             .drop("_hot_user", "_hot"))
-        p = (p.join(hot, F.col("_p_user") == F.col("_hot_user"), "left")
-             .withColumn("_p_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(purchase), F.lit(salt_buckets)))
-                         .otherwise(F.lit(0)).cast("int"))
-             .drop("_hot_user", "_hot"))
-        cond = ((F.col(user) == F.col("_p_user")) & (F.col("_salt") == F.col("_p_salt"))
-                & (F.col(time) < F.col(purchase_date)))
+    if rows_per_task:
+        counts = t.groupBy(F.col(user).alias("_u")).agg(F.count(F.lit(1)).alias("_n"))
+        t, p = _salted(t, p, _salts(counts, p, rows_per_task), user, purchase)
     else:
-        t = t.withColumn("_salt", F.lit(0))
-        p = p.withColumn("_p_salt", F.lit(0))
-        cond = (F.col(user) == F.col("_p_user")) & (F.col(time) < F.col(purchase_date))
-
+        t, p = t.withColumn("_salt", F.lit(0)), p.withColumn("_p_salt", F.lit(0))
+    cond = ((F.col(user) == F.col("_p_user")) & (F.col("_salt") == F.col("_p_salt"))
+            & (F.col(time) < F.col(purchase_date)))
     joined = t.join(p, cond, "inner")
     order = [F.col(time).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in tie_break]
     w = Window.partitionBy(user, "_salt", purchase).orderBy(*order)
@@ -115,25 +125,23 @@ def attribution_facts(touches: DataFrame, purchases: DataFrame, method: str = "r
 
 
 def rank_touches(touches: DataFrame, user: str = "user_id", time: str = "touchpoint_time",
-                 tie_break=TIE_BREAK, bucket: str = "day") -> tuple[DataFrame, DataFrame]:
+                 tie_break=TIE_BREAK, bucket: str = "hour") -> tuple[DataFrame, DataFrame]:
     """Rank every touch within its user, in two levels.
 
     A touch's number in any purchase path equals its rank among all of the
     user's touches (a path is the prefix of the user's time-ordered touches
     before the purchase day), so the number is computed once per touch:
 
-    * ``row_number`` inside (user, day) — a user's touches are spread over
-      as many groups as they have active days;
-    * per (user, day) counts (a partial aggregate) and their running sum
-      over the user's days (one row per active day, bounded by the
-      calendar) give each day's offset;
+    * ``row_number`` inside (user, hour) — a user's touches are spread over
+      as many groups as they have active hours (``bucket="day"``: days);
+    * per-bucket counts (a partial aggregate) and their running sum over the
+      user's buckets (at most 24 rows per day of the calendar) give each
+      bucket's offset;
     * rank = offset + local number; ``_rank_kept`` does the same for the
       touches that survive the path filters (channel and interaction set),
       whose rank is the path length at that touch.
 
-    ``bucket="hour"`` ranks inside (user, hour) instead, for users whose
-    touches concentrate on single days (offset rows stay bounded: 24 per
-    day).  Returns (ranked touches, per-(user, day) kept counts)."""
+    Returns (ranked touches, per-(user, day) kept counts)."""
     kept = (F.col("channel").isNotNull() & F.col("interaction_type").isNotNull()).cast("int")
     t = (touches.filter(F.col(user).isNotNull() & F.col(time).isNotNull())
          .withColumn("_day", F.to_date(time)).withColumn("_kept", kept))
@@ -159,14 +167,38 @@ def rank_touches(touches: DataFrame, user: str = "user_id", time: str = "touchpo
     return ranked, daily_kept
 
 
-def _attribution_by_rank(touches: DataFrame, purchases: DataFrame, *, salt_buckets: int = 16,
-                         hot_user_rows: int = 1_000_000, hot_users: int = 1000,
-                         tie_break=TIE_BREAK, bucket: str = "day") -> dict[str, DataFrame]:
+def _lengths(daily: DataFrame, purchases: DataFrame) -> DataFrame:
+    """(_l_user, _l_date, touchpoints_in_path): the kept touches of a user before each purchase day.
+    Purchase days join the user's sequence of active days with a count of 0 and a running sum
+    passes over it: one row per user and day, no touches x purchases join."""
+    days = (daily.select(F.col("_o_user").alias("_l_user"), F.col("_o_day").alias("_l_date"), "_nk")
+            .unionByName(purchases.select(F.col("_p_user").alias("_l_user"), F.col("purchase_date").alias("_l_date"),
+                                          F.lit(0).cast("long").alias("_nk")))
+            .groupBy("_l_user", "_l_date").agg(F.sum("_nk").alias("_nk")))
+    before = Window.partitionBy("_l_user").orderBy("_l_date").rowsBetween(Window.unboundedPreceding, -1)
+    return (days.withColumn("touchpoints_in_path", F.sum("_nk").over(before).cast("int"))
+            .filter("touchpoints_in_path > 0").drop("_nk"))
+
+
+def path_length_per_purchase(touches: DataFrame, purchases: DataFrame) -> DataFrame:
+    """ATT-04 without path rows: (purchase_id, touchpoints_in_path) from daily counts."""
+    kept = touches.filter(F.col("user_id").isNotNull() & F.col("touchpoint_time").isNotNull()
+                          & F.col("channel").isNotNull() & F.col("interaction_type").isNotNull())
+    daily = (kept.groupBy(F.col("user_id").alias("_o_user"), F.to_date("touchpoint_time").alias("_o_day"))
+             .agg(F.count(F.lit(1)).alias("_nk")))
+    p = (purchases.filter(F.col("user_id").isNotNull() & F.col("purchase_date").isNotNull())
+         .select(F.col("user_id").alias("_p_user"), "purchase_id", "purchase_date"))
+    return (p.join(_lengths(daily, p), (F.col("_p_user") == F.col("_l_user")) & (F.col("purchase_date") == F.col("_l_date")))
+            .select("purchase_id", "touchpoints_in_path"))
+
+
+def _attribution_by_rank(touches: DataFrame, purchases: DataFrame, *, rows_per_task: int | None = ROWS_PER_TASK,
+                         tie_break=TIE_BREAK, bucket: str = "hour") -> dict[str, DataFrame]:
     """Touch path and attribution without any per-purchase window.
 
     1. ``rank_touches``: number of every touch within its user;
     2. path length per purchase = Σ kept touches on the user's days before
-       the purchase day (purchases ⋈ daily counts, then a partial aggregate);
+       the purchase day (a running sum over the user's days);
     3. path rows = kept touches ⋈ purchases on the user with
        ``touchpoint_time < purchase_date``; they carry their number and the
        path length, so the linear share needs no window and no shuffle of
@@ -178,34 +210,20 @@ def _attribution_by_rank(touches: DataFrame, purchases: DataFrame, *, salt_bucke
     ranked, daily = rank_touches(touches, tie_break=tie_break, bucket=bucket)
     p = (purchases.filter(F.col("user_id").isNotNull() & F.col("purchase_date").isNotNull())
          .select(F.col("user_id").alias("_p_user"), "purchase_id", "purchase_date", "revenue"))
-    lengths = (p.join(daily, (F.col("_p_user") == F.col("_o_user")) & (F.col("_o_day") < F.col("purchase_date")))
-               .groupBy(F.col("purchase_id").alias("_l_pid"))
-               .agg(F.sum("_nk").cast("int").alias("touchpoints_in_path")))
-    pn = p.join(lengths, F.col("purchase_id") == F.col("_l_pid")).drop("_l_pid")
+    pn = (p.join(_lengths(daily, p), (F.col("_p_user") == F.col("_l_user")) & (F.col("purchase_date") == F.col("_l_date")))
+          .drop("_l_user", "_l_date"))
     kept = ranked.filter(F.col("_kept") == 1)
     hot = None
-    if salt_buckets and salt_buckets > 1:
-        # per-user totals from the per-day counts (one row per active day), not
-        # from another pass over the touches
-        per_user = daily.groupBy(F.col("_o_user").alias("_hot_user")).agg(F.sum("_nk").alias("_n"))
-        hot = F.broadcast(per_user.filter(F.col("_n") >= hot_user_rows)
-                          .orderBy(F.desc("_n"), F.col("_hot_user")).limit(hot_users)
-                          .select("_hot_user", F.lit(True).alias("_hot")))
+    if rows_per_task:
+        # per-user totals from the per-day counts, not from another pass over the touches
+        hot = _salts(daily.groupBy(F.col("_o_user").alias("_u")).agg(F.sum("_nk").alias("_n")), p, rows_per_task)
 
     def path_rows(q):
-        t = kept
-        if hot is None:
-            return t.join(q, (F.col("user_id") == F.col("_p_user"))
-                          & (F.col("touchpoint_time") < F.col("purchase_date")), "inner")
-        t = (t.join(hot, F.col("user_id") == F.col("_hot_user"), "left")
-             .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
-                                            .otherwise(F.array(F.lit(0)))))
-             .drop("_hot_user", "_hot"))
-        q = (q.join(hot, F.col("_p_user") == F.col("_hot_user"), "left")
-             .withColumn("_p_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("purchase_id"), F.lit(salt_buckets)))
-                         .otherwise(F.lit(0)).cast("int"))
-             .drop("_hot_user", "_hot"))
-        return t.join(q, (F.col("user_id") == F.col("_p_user")) & (F.col("_salt") == F.col("_p_salt"))
+        t, cond = kept, F.lit(True)
+        if hot is not None:
+            t, q = _salted(kept, q, hot, "user_id", "purchase_id")
+            cond = F.col("_salt") == F.col("_p_salt")
+        return t.join(q, (F.col("user_id") == F.col("_p_user")) & cond
                       & (F.col("touchpoint_time") < F.col("purchase_date")), "inner")
 
     # the touch path itself needs no path length: join the plain purchases

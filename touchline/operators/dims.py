@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import date_key, us_week
+from ..sources.staging import staged
 
+#: Dates that a calendar derived from data can hold.
+CALENDAR_LIMITS = ("1900-01-01", "2199-12-31")
 _MID_BITS = 33  # monotonically_increasing_id = partition index << 33 | row index
 
 
@@ -15,31 +18,35 @@ def with_dense_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     single-partition window.
 
     Rows are range-partitioned on ``order`` (sampled bounds split large key
-    ranges over many tasks), sorted inside each partition, numbered locally by
-    ``monotonically_increasing_id`` and shifted by the row count of all
-    earlier partitions.  The offset table has one row per partition, so it is
-    bounded by the partition count and broadcast safely.  With a unique
-    ``order`` the numbering is deterministic, so a recomputed partition gets
-    the same keys.  Equals ``row_number() OVER (ORDER BY order)``."""
+    ranges over many tasks), sorted and numbered inside each partition, and
+    staged once as a table together with their partition: the range exchange
+    samples its bounds anew each time it is planned, so it is never evaluated
+    twice.  Counts and keys both come from that table.  The offsets have one
+    row per partition, so they are bounded by the partition count and
+    broadcast safely.  With a unique ``order`` the result equals
+    ``row_number() OVER (ORDER BY order)``."""
     cols = df.columns
-    ranged = (df.repartitionByRange(*order).sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .withColumn("_pid", F.shiftright("_mid", _MID_BITS)))
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    ranged = staged(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                    .withColumn("_mid", F.monotonically_increasing_id()), f"keys-{key}")
+    part = F.shiftright("_mid", _MID_BITS)
+    counts = ranged.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(F.col("_pid").alias("_opid"),
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     local = F.col("_mid").bitwiseAND(F.lit((1 << _MID_BITS) - 1))
-    return (ranged.join(F.broadcast(offsets), F.col("_pid") == F.col("_opid"))
+    return (ranged.join(F.broadcast(offsets), part == F.col("_pid"))
             .select((F.col("_off") + local + 1).cast("long").alias(key), *cols))
 
 
 def calendar_bounds(*dated: tuple[DataFrame, str]) -> tuple:
     """Whole years covering every event date of the given (frame, column)
     pairs: (Jan 1 of the first year, Dec 31 of the last year), as scalar
-    subqueries (one aggregate per frame, no join)."""
-    los = [df.agg(F.min(F.to_date(c))).scalar() for df, c in dated]
-    his = [df.agg(F.max(F.to_date(c))).scalar() for df, c in dated]
+    subqueries (one aggregate per frame, no join).  Dates outside
+    ``CALENDAR_LIMITS`` are read as errors and stretch nothing, so the
+    calendar has 110,000 rows at most and may be broadcast."""
+    lo_, hi_ = (F.lit(d).cast("date") for d in CALENDAR_LIMITS)
+    inside = lambda c: F.when(F.to_date(c).between(lo_, hi_), F.to_date(c))
+    los = [df.agg(F.min(inside(c))).scalar() for df, c in dated]
+    his = [df.agg(F.max(inside(c))).scalar() for df, c in dated]
     lo = los[0] if len(los) == 1 else F.least(*los)
     hi = his[0] if len(his) == 1 else F.greatest(*his)
     return F.trunc(lo, "YEAR"), F.make_date(F.year(hi), F.lit(12), F.lit(31))

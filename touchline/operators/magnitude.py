@@ -59,11 +59,10 @@ def histogram(entities: DataFrame, fact: DataFrame, key: str, count_col: str,
     return per.groupBy(count_alias).agg(F.count(key).alias(users_alias)).orderBy(F.desc(users_alias))
 
 
-def path_length_histogram(touchpath: DataFrame) -> DataFrame:
-    """MAG-8.1: purchases by path length, ordered by length."""
-    per = touchpath.groupBy("purchase_id").agg(F.count(F.lit(1)).alias("touchpath_length"))
-    return (per.groupBy("touchpath_length").agg(F.count("purchase_id").alias("purchase_count"))
-            .orderBy("touchpath_length"))
+def path_length_histogram(lengths: DataFrame) -> DataFrame:
+    """MAG-8.1: purchases by path length (ATT-04's rows), ordered by length."""
+    return (lengths.groupBy(F.col("touchpoints_in_path").cast("long").alias("touchpath_length"))
+            .agg(F.count("purchase_id").alias("purchase_count")).orderBy("touchpath_length"))
 
 
 def funnel_stage(interaction: Column) -> Column:

@@ -41,8 +41,7 @@ def overall_kpis(g) -> DataFrame:
         "orders_distinct", r("orders_distinct", "clicks").alias("cvr"),
         F.col("lin_rev").alias("attributed_revenue"), "lin_orders", r("lin_rev", "lin_orders").alias("aov"),
         "lin_users", r("lin_rev", "lin_users").alias("arpu"),
-        F.round((F.col("rev").cast("double") - F.col("spend").cast("double")) / F.col("spend").cast("double"),
-                RATIO_SCALE).alias("roi"))
+        F.round(safe_div(F.col("rev") - F.col("spend"), F.col("spend")), RATIO_SCALE).alias("roi"))
 
 
 # --- exploration ------------------------------------------------------------------
@@ -116,7 +115,7 @@ def measures_report(g) -> DataFrame:
              "total_touchpoints", "touchpoint_users", "total_purchases", "purchasing_users", "total_revenue",
              "one_time_customers", "multi_time_customers", "contributing_touchpoints", "avg_funnel_position",
              "attributed_touchpoints", "avg_path_length", "users_in_model", "avg_revenue_share",
-             "avg_revenue_per_purchase", "avg_last_touch_revenue"]
+             "avg_revenue_per_purchase", "avg_last_touch_revenue", "avg_last_touch_path_length"]
     stack = "stack({}, {}) as (measure_name, measure_value)".format(
         len(names), ", ".join(f"'{n}', round(cast({n} as double), {RATIO_SCALE})" for n in names))
     return wide.selectExpr(stack)

@@ -42,10 +42,10 @@ def consistent_with(child: DataFrame, parent: DataFrame, keys: list[str]) -> Dat
 
 
 def date_key_mismatch(df: DataFrame, date_col: str, key_col: str = "date_key") -> DataFrame:
-    """DQ-05: the yyyymmdd key does not encode the row's date."""
+    """DQ-05: the key is missing or does not encode the row's date."""
     d = F.to_date(F.col(date_col))
     k = F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)
-    return df.filter(F.col(key_col).isNotNull() & (F.col(key_col) != k))
+    return df.filter(d.isNotNull() & (F.col(key_col).isNull() | (F.col(key_col) != k)))
 
 
 def out_of_range(df: DataFrame, col: str, lo=None, hi=None) -> DataFrame:
@@ -70,14 +70,10 @@ def repeated_values(df: DataFrame, col: str, threshold: int) -> DataFrame:
 
 
 def digit_buckets(df: DataFrame, col: str) -> DataFrame:
-    """DQ-09: ids by number of digits (half-open buckets) plus NULL count, in
-    one conditional aggregation."""
-    c = F.col(col)
-    return df.agg(F.sum(F.when((c >= 1) & (c < 10), 1).otherwise(0)).alias("one_digit"),
-                  F.sum(F.when((c >= 10) & (c < 100), 1).otherwise(0)).alias("two_digits"),
-                  F.sum(F.when((c >= 100) & (c < 1000), 1).otherwise(0)).alias("three_digits"),
-                  F.sum(F.when((c >= 1000) & (c < 10000), 1).otherwise(0)).alias("four_digits"),
-                  F.sum(F.when(c.isNull(), 1).otherwise(0)).alias("nulls"))
+    """DQ-09: (digits, n): ids by their number of digits, every length that
+    occurs (0 and negatives by their digits without sign), NULL ids as NULL."""
+    digits = F.length(F.abs(F.col(col).cast("decimal(20,0)")).cast("string"))
+    return df.groupBy(digits.alias("digits")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def row_counts(**tables: DataFrame) -> DataFrame:

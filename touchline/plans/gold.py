@@ -28,7 +28,7 @@ GOLD_TABLES = ("dim_date", "dim_user", "dim_campaign", "dim_channel",
 # filters prune files; ``from_tables`` keeps it available.
 FACT_MONTH = {
     "fact_spend": "spend_date", "fact_clicks": "click_timestamp", "fact_sessions": "session_date",
-    "fact_touchpoints": "tp_date", "fact_purchases": "purchase_date",
+    "fact_touchpoints": "tp_date", "fact_purchases": "purchase_date", "fact_touchpath": "touchpoint_time",
     "fact_attribution_linear": "purchase_date", "fact_attribution_last_touch": "purchase_date",
 }
 PART_COL = "part_month"
@@ -40,11 +40,12 @@ SURROGATE_KEYS = {
     "dim_channel": ("channel_key", ["channel_name"]),
 }
 
-# The calendar spans whole years from the first to the last purchase date:
-# the business period of the data, found with one cheap aggregate (a min/max
-# over the purchase feed) instead of a scan of every feed.  Events outside it
-# get no date key, as rows outside the reference's calendar do.
-CALENDAR_SOURCES = (("crm_purchases", "purchase_date"),)
+# The calendar spans whole years from the first to the last event of any dated
+# feed, so that every event finds its date key.
+CALENDAR_SOURCES = (("mrkt_ad_spend", "spend_date"), ("mrkt_clicks", "click_timestamp"), ("web_sessions", "session_start"),
+                    ("web_touchpoints", "touchpoint_time"), ("crm_purchases", "purchase_date"))
+# The driver tables' columns behind those feeds: one narrow scan each, no joins.
+DRIVER_DATES = (("lineitem", "l_shipdate"), ("events", "ts"), ("orders", "o_orderdate"))
 
 
 class GoldModel:
@@ -103,12 +104,15 @@ class GoldModel:
 
     # -- builders ------------------------------------------------------------
     def _build_dim_date(self):
-        """Calendar over whole years from the first to the last purchase date,
-        unless an explicit (start, end) was given."""
+        """Calendar over whole years from the first to the last event, unless
+        an explicit (start, end) was given."""
         if self.calendar:
             return dims.dim_date(self.spark, *self.calendar)
-        bounds = dims.calendar_bounds(*[(self.silver[t], c) for t, c in CALENDAR_SOURCES])
-        return dims.dim_date(self.spark, *bounds)
+        if "_driver" in self._t:
+            dated = [(self.driver.__getattr__(t), c) for t, c in DRIVER_DATES]
+        else:
+            dated = [(self.silver[t], c) for t, c in CALENDAR_SOURCES]
+        return dims.dim_date(self.spark, *dims.calendar_bounds(*dated))
 
     def _build_dim_user(self):
         s = self.silver
@@ -147,6 +151,12 @@ class GoldModel:
     _build_fact_attribution_linear = _attribution
     _build_fact_attribution_last_touch = _attribution
 
+    def _build_path_lengths(self):
+        """ATT-04: from daily counts; from the written path where there are no feeds."""
+        if self.silver:
+            return attribution.path_length_per_purchase(self.silver["web_touchpoints"], self.silver["crm_purchases"])
+        return attribution.path_lengths(self.fact_touchpath)
+
     def _build_fact_user_acquisition(self):
         return attribution.first_touch(self.fact_touchpoints)
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import attribution
+from ..operators import dims
+from .gold import SURROGATE_KEYS
 from .registry import add
 
 # --- dimensions (DIM-01 … DIM-04) ---------------------------------------------
@@ -16,6 +17,9 @@ add("dim_03_campaigns", lambda g: g.dim_campaign,
     "SELECT * FROM dim_campaign")
 add("dim_04_channels", lambda g: g.dim_channel,
     "SELECT * FROM dim_channel")
+for _dim, (_key, _order) in SURROGATE_KEYS.items():
+    add(f"dim_05_{_key}", lambda g, d=_dim, k=_key, o=_order: dims.with_dense_key(g.table(d), k, o),
+        f"SELECT ROW_NUMBER() OVER (ORDER BY {', '.join(_order)}) AS {_key}, * FROM {_dim}")
 
 # --- facts (FCT-01 … FCT-06) -----------------------------------------------------
 add("fct_01_first_acquisition", lambda g: g.first_acquisition,
@@ -28,7 +32,7 @@ add("fct_06_fact_purchases", lambda g: g.fact_purchases, "SELECT * FROM fact_pur
 
 # --- journeys and attribution (ATT-01 … ATT-07) ----------------------------------
 add("att_03_fact_touchpath", lambda g: g.fact_touchpath, "SELECT * FROM fact_touchpath")
-add("att_04_path_length", lambda g: attribution.path_lengths(g.fact_touchpath),
+add("att_04_path_length", lambda g: g.path_lengths,
     "SELECT purchase_id, CAST(count(*) AS INTEGER) AS touchpoints_in_path FROM fact_touchpath GROUP BY purchase_id")
 add("att_05_fact_attribution_linear", lambda g: g.fact_attribution_linear,
     "SELECT * FROM fact_attribution_linear")

@@ -60,12 +60,15 @@ _RAW_SQL = f"""(SELECT CASE WHEN l_partkey % 50 = 0 THEN 'not_available'
                             WHEN l_linenumber % 3 = 1 THEN strftime(l_shipdate, '%d/%m/%Y')
                             ELSE strftime(l_shipdate, '%Y/%m/%d') END AS date,
                        {_RAW_CASE.replace('NULL', "''")} AS channel,
-                       CASE WHEN l_linenumber = 7 THEN 'abc' ELSE CAST(l_suppkey AS VARCHAR) || '.0' END AS campaign_id
+                       CASE WHEN l_linenumber = 7 THEN 'abc' ELSE CAST(l_suppkey AS VARCHAR) || '.0' END AS campaign_id,
+                       CASE WHEN l_orderkey % 7 = 0 THEN '-' ELSE '' END ||
+                       CASE WHEN l_linenumber % 2 = 0 THEN CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) || 'USD'
+                            ELSE '"' || replace(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR), '.', ',') || '"' END AS spend
                 FROM lineitem) r"""
 add("prf_01_row_count", lambda g: prf.row_count(_RAW(g)), "SELECT COUNT(*) AS row_count FROM lineitem")
-add("prf_02_true_duplicates", lambda g: prf.true_duplicates(_RAW(g).drop("spend")),
+add("prf_02_true_duplicates", lambda g: prf.true_duplicates(_RAW(g)),
     f"""SELECT CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS duplicate_rows FROM (
-          SELECT date, channel, campaign_id, COUNT(*) AS n FROM {_RAW_SQL} GROUP BY ALL HAVING COUNT(*) > 1) t""")
+          SELECT date, channel, campaign_id, spend, COUNT(*) AS n FROM {_RAW_SQL} GROUP BY ALL HAVING COUNT(*) > 1) t""")
 add("prf_05_channel_frequencies", lambda g: prf.frequencies(_RAW(g), "channel"),
     f"SELECT channel, COUNT(*) AS occurrences FROM {_RAW_SQL} GROUP BY channel ORDER BY occurrences DESC")
 add("prf_06_date_format_status",
@@ -100,16 +103,16 @@ add("prf_08_unknown_channels",
         WHERE channel IS NOT NULL AND channel NOT IN (SELECT channel_name FROM dim_channel)""")
 add("prf_03_hot_campaign_ids", lambda g: prf.key_counts(_RAW(g), "campaign_id", 100),
     f"SELECT campaign_id, COUNT(*) AS n FROM {_RAW_SQL} GROUP BY campaign_id HAVING COUNT(*) > 100")
-add("prf_04_missing_channel_rows", lambda g: prf.missing(_RAW(g).drop("spend"), "channel"),
-    f"SELECT date, channel, campaign_id FROM {_RAW_SQL} WHERE channel IS NULL OR trim(channel) = ''")
+add("prf_04_missing_channel_rows", lambda g: prf.missing(_RAW(g), "channel"),
+    f"SELECT date, channel, campaign_id, spend FROM {_RAW_SQL} WHERE channel IS NULL OR trim(channel) = ''")
 add("prf_09_repeated_dates", lambda g: dq.repeated_values(_RAW(g), "date", 50),
     f"SELECT date, COUNT(*) AS n FROM {_RAW_SQL} GROUP BY date HAVING COUNT(*) > 50")
 add("prf_10_channel_preview", lambda g: prf.preview(_RAW(g), "channel", C.canonical_channel),
     f"""SELECT DISTINCT {_RAW_CASE.replace('NULL', "''")} AS raw_channel, {_CHAN_CASE} AS clean_channel FROM lineitem""")
-add("prf_11_null_like_rows", lambda g: prf.null_like(_RAW(g).drop("spend")).groupBy().count()
+add("prf_11_null_like_rows", lambda g: prf.null_like(_RAW(g)).groupBy().count()
     .withColumnRenamed("count", "n"),
     f"SELECT COUNT(*) AS n FROM {_RAW_SQL} WHERE date IS NULL OR trim(date) = '' OR channel IS NULL OR trim(channel) = '' "
-    "OR campaign_id IS NULL OR trim(campaign_id) = ''")
+    "OR campaign_id IS NULL OR trim(campaign_id) = '' OR spend IS NULL OR trim(spend) = ''")
 add("prf_14_sentinel_dates", lambda g: prf.pattern_rows(_RAW(g), "date", "^[A-Za-z_]+$").groupBy("date").count()
     .withColumnRenamed("count", "n"),
     f"SELECT date, COUNT(*) AS n FROM {_RAW_SQL} WHERE regexp_full_match(date, '[A-Za-z_]+') GROUP BY date")
@@ -130,11 +133,8 @@ add("prf_13_missing_campaign_pct", lambda g: prf.share_pct(_clean_spend(g), F.co
                   ELSE l_suppkey END AS campaign_id,
              CAST(l_extendedprice AS DECIMAL(12,2)) AS s FROM lineitem) t""")
 add("dq_09_purchase_id_digit_buckets", lambda g: dq.digit_buckets(g.fact_purchases, "purchase_id"), """
-SELECT SUM(CASE WHEN purchase_id >= 1 AND purchase_id < 10 THEN 1 ELSE 0 END) AS one_digit,
-       SUM(CASE WHEN purchase_id >= 10 AND purchase_id < 100 THEN 1 ELSE 0 END) AS two_digits,
-       SUM(CASE WHEN purchase_id >= 100 AND purchase_id < 1000 THEN 1 ELSE 0 END) AS three_digits,
-       SUM(CASE WHEN purchase_id >= 1000 AND purchase_id < 10000 THEN 1 ELSE 0 END) AS four_digits,
-       SUM(CASE WHEN purchase_id IS NULL THEN 1 ELSE 0 END) AS nulls FROM fact_purchases""")
+SELECT CASE WHEN purchase_id = 0 THEN 1 ELSE CAST(floor(log10(abs(purchase_id))) AS INTEGER) + 1 END AS digits, COUNT(*) AS n
+FROM fact_purchases GROUP BY 1""")
 add("dq_10_row_counts",
     lambda g: dq.row_counts(silver_purchases=g.silver["crm_purchases"], fact_purchases=g.fact_purchases,
                             fact_touchpath=g.fact_touchpath, fact_attribution_linear=g.fact_attribution_linear,
@@ -193,7 +193,7 @@ UNION ALL SELECT 'dq_04_consistency', 'fact_attribution_linear', COUNT(*) FROM f
   ANTI JOIN fact_touchpath t ON t.purchase_id = l.purchase_id
         AND t.touchpoint_number = l.touchpoint_number AND t.user_id = l.user_id
 UNION ALL SELECT 'dq_05_date_key', 'fact_spend', COUNT(*) FROM fact_spend
-  WHERE date_key IS NOT NULL AND date_key <> year(spend_date) * 10000 + month(spend_date) * 100 + day(spend_date)
+  WHERE date_key IS DISTINCT FROM year(spend_date) * 10000 + month(spend_date) * 100 + day(spend_date)
 UNION ALL SELECT 'dq_06_range', 'fact_spend.spend', COUNT(*) FROM fact_spend WHERE spend <= 0
 UNION ALL SELECT 'dq_06_range', 'fact_touchpath.touchpoint_number', COUNT(*) FROM fact_touchpath WHERE touchpoint_number < 1
 UNION ALL SELECT 'dq_07_accepted', 'fact_touchpoints.interaction_type', COUNT(*) FROM (

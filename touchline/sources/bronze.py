@@ -16,6 +16,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 from dataclasses import dataclass
 from typing import Callable
@@ -50,13 +51,16 @@ def split_lines(lines: DataFrame, columns: list[str], sep: str = ",", header: bo
                 value_col: str = "value") -> DataFrame:
     """SRC-01 on a DataFrame of text lines.
 
-    The header is recognised by content (the first column's name), which is
-    correct for any number of files and partitions, and needs no ordering."""
-    v = F.col(value_col)
+    The header is recognised by content (all column names, whatever their
+    case, blanks or quotes), which is correct for any number of files and
+    partitions, and needs no ordering."""
+    # a byte order mark opens a file's first line; the separator is text, not a pattern
+    v = F.regexp_replace(F.col(value_col), "^\ufeff|\r$", "")
+    literal = re.escape(sep)
     if header:
-        v_first = F.split(v, sep, 2).getItem(0)
-        lines = lines.filter(~((v_first == columns[0]) & v.startswith(sep.join(columns[:2]))))
-    parts = F.split(F.regexp_replace(v, r"\r$", ""), sep, len(columns))
+        names = F.transform(F.split(v, literal), lambda x: F.lower(F.trim(F.regexp_replace(x, '"', ""))))
+        lines = lines.filter(~F.coalesce(F.slice(names, 1, len(columns)) == F.array(*[F.lit(c.lower()) for c in columns]), F.lit(False)))
+    parts = F.split(v, literal, len(columns))
     out = []
     for i, c in enumerate(columns):
         item = parts.getItem(i)

@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from ..functions import clean as C
 from .bronze import layer_path, run_layer, scan_delimited, BRONZE_FEEDS
 
-# campaign ids in the reference's campaign feed run up to 53 (a parameter)
-DEFAULT_MAX_CAMPAIGN = 53
+#: The largest campaign id of the reference's own feed: pass it to cap ids as there.
+COMPAT_MAX_CAMPAIGN = 53
 
 
-def specs(max_campaign=DEFAULT_MAX_CAMPAIGN, date_years=None, force_year: str | None = None
+def specs(max_campaign=None, date_years=None, force_year: str | None = None
           ) -> dict[str, tuple[str, dict[str, Callable[[], Column]], bool]]:
-    """feed → (bronze table, {silver column: cleaner}, distinct)."""
+    """feed → (bronze table, {silver column: cleaner}, distinct).
+    ``max_campaign`` (a number or a Column) bounds campaign ids; None does not."""
     return {
         "mrkt_ad_spend": ("mrkt_raw_ad_spend", {
             "spend_date": lambda: C.parse_mixed_date("date", "not_available", date_years),
@@ -91,7 +92,12 @@ def to_silver(bronze: DataFrame, spec: dict[str, Callable[[], Column]], distinct
 
 
 def load_silver(spark: SparkSession, root: str, **spec_kw) -> DataFrame:
-    """Silver job: bronze parquet → cleaned silver parquet, with audit rows."""
+    """Silver job: bronze parquet → cleaned silver parquet, with audit rows.
+    Unless given, the bound of campaign ids is the largest id of the campaign
+    feed (a scalar subquery)."""
+    if "max_campaign" not in spec_kw:
+        campaigns = spark.read.parquet(layer_path(root, "bronze", "mrkt_raw_campaigns"))
+        spec_kw["max_campaign"] = campaigns.agg(F.max(C.parse_int("campaign_id"))).scalar()
     jobs = {}
     for feed, (bronze_table, spec, distinct) in specs(**spec_kw).items():
         jobs[feed] = (lambda b=bronze_table, s=spec, d=distinct:
