@@ -46,6 +46,8 @@ _PUNCT = ".,!?;:%&*$#-|()"
 #: Control characters that Python's split() takes for blanks and the tokenizer does not.
 _CONTROL = re.compile("[\x1c-\x1f]")
 TABLE_ENTRIES, WORD_CHARS = 600_000, 64
+#: Words of letters that are encoded as one text, and characters of texts encoded at once.
+JOINED, RUN_CHARS = 256, 4 << 20
 
 
 class EliasFano:
@@ -120,6 +122,7 @@ class WordTable:
         self.by_word = self._drops_blanks(json.loads(self.tok.to_str()))
         self.words: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
+        self.ends: np.ndarray | None = None
 
     @staticmethod
     def _drops_blanks(spec: dict) -> bool:
@@ -134,44 +137,70 @@ class WordTable:
                 and split.get("behavior") == "Removed" and not pre[1].get("use_regex") and not pre[1].get("add_prefix_space")
                 and pattern == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
                 and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]) for t in spec["added_tokens"])
-                and spec["model"]["type"] == "BPE" and not spec["model"].get("dropout"))
+                and spec["model"]["type"] == "BPE" and not spec["model"].get("dropout")
+                and spec["model"].get("end_of_word_suffix") == "</w>" and not spec["model"].get("ignore_merges"))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, distinct: set[str]) -> list[str]:
-        if len(self.words) > TABLE_ENTRIES:
-            self.words, self.cores = {}, {}
-        new = [w for w in distinct if w not in self.words]
-        split = {}
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters only.  Each is one pre-token, so the ids of many words in one
+        text are cut after every piece that ends a word."""
+        if self.ends is None:
+            self.ends = np.zeros(1 << 16 if self.dtype is np.uint16 else self.tok.get_vocab_size(), bool)
+            self.ends[[i for piece, i in self.tok.get_vocab().items() if piece.endswith("</w>")]] = True
+        out: list[bytes] = []
+        groups = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
+        for group, e in zip(groups, self.tok.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, self.dtype)
+            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * ids.itemsize).tolist()
+            if len(cuts) == len(group) and cuts[-1] == ids.nbytes:
+                data = ids.tobytes()
+                out += [data[i:j] for i, j in zip([0, *cuts], cuts)]
+            else:  # some letter became several pre-tokens
+                out += self._encode(group)
+        return out
+
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        """Encode words that the table lacks.  A word of letters between plain signs is three
+        runs of pre-tokens that never merge, so signs and letters are encoded apart, once each."""
+        cores = self.cores
+        plain, signed, other = [], [], []
         for w in new:
-            core = w.strip(_PUNCT)
-            # letters only between runs of plain signs: three pre-tokens that never merge
-            if core and core.isalpha():
+            if w.isalpha():
+                plain.append((w, w.lower() if w.isascii() else w))
+            elif (core := w.strip(_PUNCT)).isalpha():
                 at = w.index(core)
-                split[w] = (w[:at], core.lower() if core.isascii() else core, w[at + len(core):])
+                signed.append((w, w[:at], core.lower() if core.isascii() else core, w[at + len(core):]))
             else:
-                split[w] = ("", w, "")
-        cores = {p for parts in split.values() for p in parts if p and p not in self.cores}
-        order = list(cores)
-        for core, ids in zip(order, self._encode(order)):
-            self.cores[core] = ids
-        self.cores[""] = b""
-        for w, (a, b, c) in split.items():
-            self.words[w] = self.cores[a] + self.cores[b] + self.cores[c]
-        return [w for w in new if len(w) > WORD_CHARS]
+                other.append(w)
+        letters = {c for _, c in plain}
+        letters.update(x[2] for x in signed)
+        letters = [c for c in letters if c not in cores]
+        cores.update(zip(letters, self._letters(letters)))
+        signs = list({x for _, a, _, z in signed for x in (a, z) if x not in cores})
+        cores.update(zip(signs, self._encode(signs)))
+        found = dict(zip(other, self._encode(other)))
+        for w, c in plain:
+            found[w] = cores[c]
+        for w, a, c, z in signed:
+            found[w] = cores[a] + cores[c] + cores[z]
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return self._encode(texts)
         cut = [t.split() if not _CONTROL.search(t) else None for t in texts]
-        long = self._learn(set().union(*[c for c in cut if c is not None]))
-        get = self.words.__getitem__
-        out = [b"".join(map(get, c)) if c is not None else self._encode([t])[0] for t, c in zip(texts, cut)]
-        for w in long:
-            self.words.pop(w)
-            self.cores.pop(w, None)
-        return out
+        # this call's words in a table of their own, small enough to stay in the processor's cache
+        distinct = list(set().union(*[c for c in cut if c is not None]))
+        known = dict(zip(distinct, map(self.words.get, distinct)))
+        found = self._learn([w for w, ids in known.items() if ids is None])
+        known.update(found)
+        if len(self.words) + len(found) > TABLE_ENTRIES or len(self.cores) > TABLE_ENTRIES:
+            self.words, self.cores = {}, {}
+        self.words.update((w, ids) for w, ids in found.items() if len(w) <= WORD_CHARS)
+        get = known.__getitem__
+        return [b"".join(map(get, c)) if c is not None else self._encode([t])[0] for t, c in zip(texts, cut)]
 
 
 _workers: dict[str, WordTable] = {}
@@ -235,7 +264,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1, id_col:
     return store(rows.select("id", "text").mapInArrow(run, MANIFEST), "manifest")
 
 
-def _runs(texts: list[str], size: int = 4 << 20) -> Iterator[list[str]]:
+def _runs(texts: list[str], size: int = RUN_CHARS) -> Iterator[list[str]]:
     run, n = [], 0
     for t in texts:
         run.append(t)
