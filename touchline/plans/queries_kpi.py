@@ -342,15 +342,18 @@ for _v in VIEWS:
                 lambda g, v=_v, by=by, best=best: movers(kpi_view(g, v), v, by, best),
                 _movers_sql(_v, by, best))
 
-# KPI-RPT: the two reports that filter as well as order
-add("kpi_rpt_aov_report", lambda g: kpi_view(g, BY_ID["aov_2"]).filter(F.col("current_orders") > 0)
-    .orderBy("campaign_id", "performance_year", "performance_month"),
-    f"SELECT * FROM ({_view_sql(BY_ID['aov_2'])}) v WHERE current_orders > 0 "
-    "ORDER BY campaign_id, performance_year, performance_month")
-add("kpi_rpt_arpu_report", lambda g: kpi_view(g, BY_ID["arpu_5"]).filter(F.col("active_users") > 0)
-    .orderBy("channel", "performance_year", "performance_month"),
-    f"SELECT * FROM ({_view_sql(BY_ID['arpu_5'])}) v WHERE active_users > 0 "
-    "ORDER BY channel, performance_year, performance_month")
+# KPI-RPT: every view as an ordered report; order values and revenue per user only where there were any
+for _v in VIEWS:
+    _only = {"aov": "current_orders > 0", "arpu": "active_users > 0"}.get(_v.id.split("_")[0])
+    _order = [*([entity_out(_v)] if _v.entity else []), "performance_year", "performance_month"]
+
+    def _report(g, v=_v, only=_only, order=_order):
+        out = kpi_view(g, v)
+        return (out.filter(only) if only else out).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+
+    _names = {"aov_2": ["kpi_rpt_aov_report"], "arpu_5": ["kpi_rpt_arpu_report"]}.get(_v.id, [])
+    for _name in [f"kpi_rpt_{_v.id}", *_names]:
+        add(_name, _report, f"SELECT * FROM ({_view_sql(_v)}) v" + (f" WHERE {_only}" if _only else ""))
 
 
 # KPI-ALL: whole-period KPIs, one aggregate per source, combined as scalars

@@ -53,6 +53,53 @@ SELECT DISTINCT l_orderkey AS user_id,
          AS interaction_type
 FROM lineitem""")
 
+def _silver(feed, raw, **kw):
+    """A builder of one cleaned feed; its bound of campaign ids is the number of campaigns."""
+    def build(g):
+        _, spec, distinct = specs(max_campaign=_max_campaign(g), **kw)[feed]
+        return to_silver(raw(g.driver), spec, distinct, audit=False)
+    return build
+
+
+def _case(key, values):
+    """SQL: the value by key % number of values."""
+    return f"CASE {key} % {len(values)} " + " ".join(f"WHEN {i} THEN {'NULL' if v is None else repr(v)}" for i, v in enumerate(values)) + " END"
+
+
+add("cln_15_campaigns_from_dirty_feed", _silver("mrkt_campaigns", lambda t: dirty.dirty_campaigns(t.supplier)), f"""
+SELECT s_suppkey AS campaign_id,
+       CASE s_suppkey % 8 WHEN 0 THEN 'Brand_Awareness_Q1' WHEN 4 THEN 'New_Year_Launch' WHEN 1 THEN 'New_Year_Launch'
+                          WHEN 5 THEN 'Summer_Launch' ELSE s_name END AS campaign_name,
+       {_case('s_suppkey', dirty.DIRTY_NAMES_CLEAN)} AS channel,
+       CASE WHEN s_suppkey % 8 = 1 THEN DATE '2023-12-30' ELSE DATE '2023-01-01' + CAST(s_suppkey % 300 AS INTEGER) END AS start_date,
+       CASE s_suppkey % 8 WHEN 0 THEN DATE '2024-03-26' WHEN 4 THEN DATE '2024-01-26' END AS end_date,
+       {_case('s_suppkey', dirty.DIRTY_OBJECTIVES_CLEAN)} AS objective
+FROM supplier""")
+add("cln_15_clicks_from_dirty_feed", _silver("mrkt_clicks", lambda t: dirty.dirty_clicks(t.lineitem)), f"""
+SELECT l_orderkey AS click_id, l_orderkey + {dirty.WIDE_ID} AS user_id, {_case('l_orderkey', dirty.DIRTY_NAMES_TRIMMED)} AS channel,
+       CASE WHEN l_linenumber <> 7 AND l_suppkey BETWEEN 1 AND (SELECT COUNT(*) FROM supplier) THEN l_suppkey END AS campaign_id,
+       CASE WHEN l_orderkey % 13 = 0 THEN NULL WHEN l_orderkey % 2 = 0 THEN date_trunc('minute', l_shipdate)
+            ELSE date_trunc('second', l_shipdate) + INTERVAL 1 SECOND END AS click_timestamp
+FROM lineitem""")
+add("cln_15_sessions_from_dirty_feed", _silver("web_sessions", lambda t: dirty.dirty_sessions(t.events)), f"""
+SELECT event_id AS session_id, user_id, CASE WHEN event_id % 13 <> 0 THEN date_trunc('second', ts) END AS session_start,
+       {_case('event_id', dirty.DIRTY_DEVICES_CLEAN)} AS device, {_case('event_id', dirty.DIRTY_NAMES_CLEAN)} AS source_channel,
+       CASE WHEN event_id % 5 <> 0 THEN event_id % 15 + 1 END AS pages_viewed
+FROM events""")
+add("cln_15_channels_from_dirty_feed", _silver("crm_channels", lambda t: dirty.dirty_channels(t.nation)),
+    "SELECT n_name AS channel_name, 'Region ' || n_regionkey AS category FROM nation")
+add("cln_15_purchases_from_dirty_feed", _silver("crm_purchases", lambda t: dirty.dirty_purchases(t.orders)), f"""
+SELECT o_orderkey AS purchase_id, o_custkey AS user_id, CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_orderdate AS DATE) END AS purchase_date,
+       CASE WHEN o_orderkey % 17 = 0 THEN NULL WHEN o_orderkey % 20 = 0 THEN -CAST(o_totalprice AS DECIMAL(12,2))
+            ELSE CAST(o_totalprice AS DECIMAL(12,2)) END AS revenue,
+       {_case('o_orderkey', dirty.DIRTY_NAMES_CLEAN)} AS channel_last_touch
+FROM orders""")
+add("cln_15_acquisitions_from_dirty_feed", _silver("crm_user_acquisitions", lambda t: dirty.dirty_acquisitions(t.customer)), f"""
+SELECT c_custkey AS user_id, CASE WHEN c_custkey % 11 <> 0 THEN DATE '1996-01-01' + CAST(c_custkey % 365 AS INTEGER) END AS acquisition_date,
+       {_case('c_custkey', dirty.DIRTY_NAMES_CLEAN)} AS acquisition_channel,
+       CASE WHEN c_custkey % 7 <> 0 AND c_custkey % 20 BETWEEN 1 AND (SELECT COUNT(*) FROM supplier) THEN c_custkey % 20 END AS acquisition_campaign
+FROM customer""")
+
 # --- profiling of the raw feed (PRF-*) ------------------------------------------------------
 _RAW = lambda g: dirty.dirty_ad_spend(g.driver.lineitem)
 _RAW_SQL = f"""(SELECT CASE WHEN l_partkey % 50 = 0 THEN 'not_available'
