@@ -90,3 +90,29 @@ def test_timestamp_whole_seconds(spark):
                    dt.datetime(2024, 1, 5, 10, 11)]
     keep = one(spark, ["2024-01-05 10:11:12.600"], C.parse_mixed_timestamp)
     assert keep == [dt.datetime(2024, 1, 5, 10, 11, 12, 600000)]
+
+
+def test_long_ids_truncate_and_text_is_trimmed(spark):
+    assert one(spark, ["17.6", "17.0", "3000000000.0", " 12.0 "], C.decimal_id) == [17, 17, 3_000_000_000, 12]
+    assert one(spark, ["3000000000", "17.5", "x"], C.parse_int) == [3_000_000_000, None, None]
+    assert one(spark, ["17.6", "0", "99.0"], lambda c: C.bounded_id(c, 50)) == [18, None, None]
+    assert one(spark, ["99.0", "3000000000.0"], C.bounded_id) == [99, 3_000_000_000]
+    assert one(spark, ["Email ", " fb ads", "  ", " Radio"], C.canonical_channel) == ["Email", "Facebook Ads", None, "Radio"]
+    assert one(spark, [" IPHONE ", "", "Fridge "], lambda c: C.bucket(c, C.DEVICE_BUCKETS)) == ["Mobile", None, "Fridge"]
+    assert one(spark, ["  ", " fb ads "], C.blank_channel) == [None, "fb ads"]
+
+
+def test_text_scan_with_a_pattern_separator_and_odd_headers(spark):
+    from touchline.sources.bronze import split_lines
+    lines = spark.createDataFrame([("\ufeffChannel_Name | Category",), ("a|b|c",), ("|x",)], "value string")
+    got = split_lines(lines, ["channel_name", "category"], sep="|").collect()
+    assert sorted((r.channel_name, r.category) for r in got if r.channel_name) == [("a", "b|c")]
+    assert [(r.channel_name, r.category) for r in got if not r.channel_name] == [(None, "x")]
+
+
+def test_digit_buckets_and_missing_date_keys(spark):
+    from touchline.operators import quality as dq
+    ids = spark.createDataFrame([(5,), (12345,), (1234567890123,), (None,), (99999,)], "id long")
+    assert {(r.digits, r.n) for r in dq.digit_buckets(ids, "id").collect()} == {(1, 1), (5, 2), (13, 1), (None, 1)}
+    days = spark.sql("SELECT date'2024-01-02' d, 20240102 date_key UNION ALL SELECT date'2024-01-03', NULL UNION ALL SELECT date'2024-01-04', 20240105")
+    assert dq.date_key_mismatch(days, "d").count() == 2

@@ -12,8 +12,9 @@ Each micro-batch is written to its own ``epoch=<id>`` folder and
 overwritten if the batch is replayed after a failure, so the output is
 exactly-once.  Feeds whose silver step is a DISTINCT (ad spend, touchpoints) are
 de-duplicated per micro-batch inside ``foreachBatch`` by an anti join
-against the rows already landed, so the sink stays equal to the batch
-result without keeping unbounded streaming state.
+against the rows already landed for the batch's own event days (the sink is
+partitioned by event day, so the cost follows the batch, not the history);
+the sink stays equal to the batch result without unbounded streaming state.
 """
 
 from __future__ import annotations
@@ -30,6 +31,10 @@ from ..sources.bronze import BRONZE_FEEDS, split_lines
 from ..sources.feeds import specs, to_silver
 
 
+#: Partition column of a de-duplicated sink.
+DAY = "event_day"
+
+
 def stream_feed(spark: SparkSession, source_dir: str, feed: str, sink_dir: str,
                 trigger_once: bool = True, **spec_kw) -> StreamingQuery:
     """Start a streaming load of one silver feed from a folder of text files."""
@@ -44,19 +49,39 @@ def stream_feed(spark: SparkSession, source_dir: str, feed: str, sink_dir: str,
         if distinct:
             out = out.distinct()
             if _exists(spark, sink_dir):
-                landed = (spark.read.parquet(sink_dir).filter(F.col("epoch") != epoch_id)
-                          .select(*out.columns))
+                # only the event days of this batch are read back: at most one per calendar day
+                days = [r[0] for r in out.select(_day(out)).distinct().collect()]
+                at = F.col(DAY)
+                same = at.isin([d for d in days if d is not None]) | (at.isNull() if None in days else F.lit(False))
+                landed = (spark.read.schema(_landed(out)).parquet(sink_dir)
+                          .filter((F.col("epoch") != epoch_id) & same).select(*out.columns))
                 cond = reduce(lambda x, y: x & y, [out[c].eqNullSafe(landed[c]) for c in out.columns])
                 out = out.join(landed, cond, "left_anti")
         # one folder per micro-batch, overwritten on replay: exactly-once output
-        (out.withColumn("dwh_create_date", F.current_timestamp())
-         .write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/epoch={epoch_id}"))
+        stamped = out.withColumn("dwh_create_date", F.current_timestamp())
+        if distinct:
+            stamped = stamped.withColumn(DAY, _day(out))
+        (stamped.write.mode("overwrite").partitionBy(*([DAY] if distinct else [])).parquet(f"{sink_dir.rstrip('/')}/epoch={epoch_id}"))
 
     w = bronze.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime="30 seconds")
     return w.start()
 
 
+def _day(out: DataFrame):
+    """The event day of a feed's rows: its first date or time column, as text."""
+    for f in out.schema.fields:
+        if f.dataType.typeName() in ("date", "timestamp", "timestamp_ntz"):
+            return F.to_date(f.name).cast("string").alias(DAY)
+    return F.lit("none").alias(DAY)
+
+
+def _landed(out: DataFrame):
+    from pyspark.sql import types as T
+
+    return T.StructType([*out.schema.fields, T.StructField("epoch", T.LongType()), T.StructField(DAY, T.StringType())])
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
