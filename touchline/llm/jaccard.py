@@ -13,11 +13,13 @@ A document's set is its distinct word shingles (64-bit hashes of them).
    shingle.  Candidates pass a length and a positional filter, are made
    distinct, and are verified once, after a suffix filter that bounds the
    overlap by hash ranges.
-4. For components, each document is first verified against one hub per
-   prefix shingle (the document with the fewest shingles of its own): groups
-   of near copies fall into one component after that, and only pairs whose
-   components still differ are candidates.  No link between components is
-   lost, and a group of m near copies costs m checks, not m * m.
+4. For components, each document is first verified against one hub (of those
+   that share its prefix shingles, each the document with the fewest shingles
+   of its own): groups of near copies fall into one component after that, and
+   only pairs whose components still differ are candidates.  The overlaps
+   with a common hub bound the overlap of two, which settles nearly all pairs
+   of a component with documents that just miss it.  No link between
+   components is lost, and a group of m near copies costs m checks, not m * m.
 
 Defined results: a null or wordless text has the empty set, links with
 nothing; fewer than ``size`` words are one shingle; a null id gets its set's
@@ -28,7 +30,6 @@ an empty table gives no rows; other input columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -228,56 +229,68 @@ class Join:
         self.index = store(self._index(), "prefixes")
 
     def _index(self) -> DataFrame:
-        """(h, id, n, alone, pos) of the prefix shingles of each representative."""
+        """(h, id, n, alone, pos, first) of the prefix shingles of each representative.  ``first``:
+        the shingle is in the shorter prefix that any partner of the same size or larger must touch."""
         percent = self.percent
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 rows = []
                 for i, n, alone, shared in zip(*[c.to_pylist() for c in b.columns]):
-                    k = n - math.ceil(percent * n / 100) + 1 - alone
-                    h = np.frombuffer(shared, np.int64)[:k]
-                    rows.append((h, np.full(len(h), i), np.full(len(h), n), np.full(len(h), alone), alone + np.arange(len(h))))
+                    any_size, larger = -(-percent * n // 100), -(-2 * percent * n // (100 + percent))
+                    h = np.frombuffer(shared, np.int64)[:n - any_size + 1 - alone]
+                    pos = alone + np.arange(len(h))
+                    rows.append((h, np.full(len(h), i), np.full(len(h), n), np.full(len(h), alone), pos, pos < n - larger + 1))
                 if rows:
-                    yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*rows)], ["h", "id", "n", "alone", "pos"])
+                    yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*rows)], ["h", "id", "n", "alone", "pos", "first"])
 
-        index = self.reps.mapInArrow(run, "h long, id long, n long, alone long, pos long")
-        return index
+        return self.reps.mapInArrow(run, "h long, id long, n long, alone long, pos long, first boolean")
+
+    def _enough(self, overlap):
+        """An upper bound of the overlap of (n, n2) leaves the pair possible."""
+        return overlap * (100 + self.percent) >= self.percent * (F.col("n") + F.col("n2"))
 
     def _bounds(self):
-        """The length filter and the positional filter of a candidate (x, y)."""
-        p = self.percent
-        length = 100 * F.least("n", "n2") >= p * F.greatest("n", "n2")
-        most = F.least("pos", "pos2") + 1 + F.least(F.col("n") - 1 - F.col("pos"), F.col("n2") - 1 - F.col("pos2"))
-        return length & (most * (100 + p) >= p * (F.col("n") + F.col("n2")))
-
-    def hub_pairs(self) -> DataFrame:
-        """(a, b): each representative with one hub, that of most of its prefix shingles."""
+        """The length filter, the positional filter, and that shingles of one's own are never shared."""
+        length = 100 * F.least("n", "n2") >= self.percent * F.greatest("n", "n2")
+        rest = F.least(F.col("n") - 1 - F.col("pos"), F.col("n2") - 1 - F.col("pos2"))
+        shared = F.least(F.col("n") - F.col("alone"), F.col("n2") - F.col("alone2"))
+        return length & self._enough(F.least("pos", "pos2") + 1 + rest) & self._enough(shared)
+
+    def hubs(self) -> DataFrame:
+        """The stored (id, hub): each representative with one hub, that of most of its prefix shingles."""
         hubs = (self.index.groupBy("h").agg(F.min(F.struct("alone", "id", "n", "pos")).alias("hub"), F.count(F.lit(1)).alias("many"))
                 .filter("many > 1")
                 .select("h", F.col("hub.id").alias("id2"), F.col("hub.n").alias("n2"), F.col("hub.pos").alias("pos2"), F.col("hub.alone").alias("alone2")))
         met = self.index.join(hubs, "h").filter("id <> id2").filter(self._bounds())
         best = (met.groupBy("id", "id2").agg(F.count(F.lit(1)).alias("times"), F.min("alone2").alias("alone2"))
                 .groupBy("id").agg(F.max(F.struct("times", -F.col("alone2"), "id2")).alias("best")))
-        return best.select(F.least("id", "best.id2").alias("a"), F.greatest("id", "best.id2").alias("b")).distinct()
-
-    def cross_pairs(self, component: DataFrame | None) -> DataFrame:
-        """(a, b): all pairs that share a prefix shingle, pass the filters and, given (node,
-        component), still lie in different components."""
-        index = self.index.withColumn("part", F.col("id"))
+        return store(best.select("id", F.col("best.id2").alias("hub")), "hubs")
+
+    def cross_pairs(self, component: DataFrame | None = None, hubs: DataFrame | None = None) -> DataFrame:
+        """(a, b): all pairs that share a prefix shingle and pass the filters.  Given (node,
+        component), only pairs across components; given (id, hub, common), the overlaps of
+        representatives with their hub bound that of two with the same hub: what both share inside
+        the hub, and what both have outside it that is not their own."""
+        index = self.index.withColumns({"part": F.col("id"), "hub": F.lit(None).cast("long"), "common": F.lit(0).cast("long")})
         if component is not None:
-            index = (self.index.join(component, F.col("id") == F.col("node"), "left")
+            index = (self.index.join(component, F.col("id") == F.col("node"), "left").join(hubs, "id", "left")
                      .withColumn("part", F.coalesce("component", "id")).drop("node", "component"))
         mixed = index.groupBy("h").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("h")
         live = store(index.join(mixed, "h"), "live-prefixes")
-        parts = live.select("h", "part").distinct()
-        across = parts.join(parts.withColumnRenamed("part", "part2"), "h").filter("part < part2")
-        second = live.select("h", F.col("part").alias("part2"), F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"))
-        met = across.join(live, ["h", "part"]).join(second, ["h", "part2"]).filter(self._bounds())
-        return met.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).filter("a < b").distinct()
-
-    def verify(self, pairs: DataFrame, name: str = "links") -> DataFrame:
-        """The stored (a, b, overlap, n_a, n_b) of the pairs that reach the bound."""
+        # the smaller of two meets the larger by its shorter prefix
+        small = live.filter("first").select("h", *[F.col(c).alias(f"{c}2") for c in ("part", "id", "n", "alone", "pos", "hub", "common")])
+        across = (live.select("h", "part").distinct().join(small.select("h", "part2").distinct(), "h").filter("part <> part2"))
+        inside = F.least("common", "common2")
+        outside = F.least(F.col("n") - F.col("common") - F.col("alone"), F.col("n2") - F.col("common2") - F.col("alone2"))
+        by_hub = F.coalesce((F.col("hub") != F.col("hub2")) | self._enough(inside + outside), F.lit(True))
+        seen = F.coalesce(F.col("hub") == F.col("id2"), F.lit(False)) | F.coalesce(F.col("hub2") == F.col("id"), F.lit(False))
+        smaller = (F.col("n2") < F.col("n")) | ((F.col("n2") == F.col("n")) & (F.col("id2") < F.col("id")))
+        met = across.join(live, ["h", "part"]).join(small, ["h", "part2"]).filter(smaller & self._bounds() & by_hub & ~seen)
+        return met.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
+
+    def verify(self, pairs: DataFrame, name: str = "links", every: bool = False) -> DataFrame:
+        """The stored (a, b, overlap, linked) of the pairs that reach the bound, or of every pair."""
         left = self.reps.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("shared_a"))
         right = self.reps.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("shared_b"))
         percent = self.percent
@@ -288,20 +301,21 @@ class Join:
                 for a, z, n1, n2, s1, s2 in zip(*[c.to_pylist() for c in b.columns]):
                     need = -(-percent * (n1 + n2) // (100 + percent))
                     x, y = np.frombuffer(s1, np.uint64), np.frombuffer(s2, np.uint64)
-                    if _suffix_bound(x, y) < need:
+                    if not every and _suffix_bound(x, y) < need:
                         continue
                     both = len(np.intersect1d(x, y, assume_unique=True))
-                    if both >= need:
-                        rows.append((a, z, both, n1, n2))
+                    if every or both >= need:
+                        rows.append((a, z, both, both >= need))
                 if rows:
-                    yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows)], ["a", "b", "overlap", "n_a", "n_b"])
+                    yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.bool_()))],
+                                          ["a", "b", "overlap", "linked"])
 
         data = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "shared_a", "shared_b")
-        return store(data.mapInArrow(run, "a long, b long, overlap long, n_a long, n_b long"), name)
+        return store(data.mapInArrow(run, "a long, b long, overlap long, linked boolean"), name)
 
     def pairs(self) -> DataFrame:
         """All links between representatives, each verified once; ``members`` has the copies."""
-        return self.verify(self.cross_pairs(None))
+        return self.verify(self.cross_pairs())
 
     def members(self) -> DataFrame:
         """(id, rep) of every row with an id."""
@@ -310,9 +324,13 @@ class Join:
 
     def components(self) -> DataFrame:
         """(id, n_shingles, component_id) of every row."""
-        near = self.verify(self.hub_pairs(), "hub-links").select("a", "b")
+        hubs = self.hubs()
+        named = hubs.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"), "id", "hub")
+        checked = self.verify(named.select("a", "b").distinct(), "hub-links", every=True)
+        near = checked.filter("linked").select("a", "b")
         found = store(graph.components(near), "hub-components")
-        far = self.verify(self.cross_pairs(found)).select("a", "b")
+        common = store(named.join(checked, ["a", "b"]).select("id", "hub", F.col("overlap").alias("common")), "hub-overlaps")
+        far = self.verify(self.cross_pairs(found, common)).select("a", "b")
         part = store(graph.components(near.unionByName(far)), "components")
         copies = (self.copies.join(part, F.col("rep") == F.col("node"), "left")
                   .select("sig", F.coalesce("component", "rep").alias("component_id")))
