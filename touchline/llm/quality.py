@@ -179,4 +179,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
         for b in batches:
             yield b.filter(pa.array(model.score(statistics(b.column(at))) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names with dots can't be passed to Python
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
