@@ -114,7 +114,7 @@ def _pack(ids: pa.Array, column: pa.Array, batch: int, buckets: int, size: int)
     for b in range(buckets):
         s, m = single[cut1[b]:cut1[b + 1]], slice(cut2[b], cut2[b + 1])
         if len(s) or cut2[b] < cut2[b + 1]:
-            add(b, batch, False, h[s].tobytes(), text[s].tobytes(), h[multi[m]].tobytes(), counts[m].tobytes(), None, None)
+            add(b, batch, False, _planes(h[s]), text[s].tobytes(), h[multi[m]].tobytes(), counts[m].tobytes(), None, None)
     known = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     add(batch % buckets, batch, True, known.tobytes(), n.tobytes(), h[multi].tobytes(), counts.tobytes(), text[several].tobytes(),
         ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8).tobytes())
@@ -122,6 +122,15 @@ def _pack(ids: pa.Array, column: pa.Array, batch: int, buckets: int, size: int)
     return pa.record_batch([pa.array(v, t) for v, t in zip(rows.values(), types)], list(rows))
 
 
+def _planes(h: np.ndarray) -> bytes:
+    """Sorted hashes byte by byte, the leading bytes of all first: runs that the shuffle compresses."""
+    return h.astype(">u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _hashes(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(">u8").ravel().astype(np.uint64)
+
+
 def _cat(column: pa.ChunkedArray, dtype) -> tuple[np.ndarray, np.ndarray]:
     """All binary values of a column as one array, and each one's number of entries."""
     parts = [np.frombuffer(x or b"", dtype) for x in column.to_pylist()]
@@ -132,7 +141,8 @@ def _answer(rows: pa.Table) -> pa.Table:
     """A bucket's answers: for each batch the shingles that several documents have, with their frequency."""
     asks = rows.filter(pc.invert(rows["own"]))
     own = rows.filter(rows["own"])
-    h1, len1 = _cat(asks["a"], np.uint64)
+    parts = [_hashes(x) for x in asks["a"].to_pylist()]
+    h1, len1 = np.concatenate([np.zeros(0, np.uint64), *parts]), np.array([len(p) for p in parts], np.int64)
     doc, _ = _cat(asks["b"], np.uint16)
     h2, len2 = _cat(asks["c"], np.uint64)
     n2, _ = _cat(asks["d"], np.uint32)
@@ -259,10 +269,11 @@ class Join:
 
     def hubs(self) -> DataFrame:
         """The stored (id, hub): each representative with one hub, that of most of its prefix shingles."""
-        hubs = (self.index.groupBy("h").agg(F.min(F.struct("alone", "id", "n", "pos")).alias("hub"), F.count(F.lit(1)).alias("many"))
+        hubs = (self.index.groupBy("h").agg(F.min(F.struct("alone", "id")).alias("hub"), F.count(F.lit(1)).alias("many"))
                 .filter("many > 1")
-                .select("h", F.col("hub.id").alias("id2"), F.col("hub.n").alias("n2"), F.col("hub.pos").alias("pos2"), F.col("hub.alone").alias("alone2")))
-        met = self.index.join(hubs, "h").filter("id <> id2").filter(self._bounds())
+                .select("h", F.col("hub.id").alias("id2"), F.col("hub.alone").alias("alone2")))
+        # pairs that cannot link count too: a document's overlap with its hub bounds others (cross_pairs)
+        met = self.index.join(hubs, "h").filter("id <> id2")
         best = (met.groupBy("id", "id2").agg(F.count(F.lit(1)).alias("times"), F.min("alone2").alias("alone2"))
                 .groupBy("id").agg(F.max(F.struct("times", -F.col("alone2"), "id2")).alias("best")))
         return store(best.select("id", F.col("best.id2").alias("hub")), "hubs")
