@@ -33,6 +33,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import staged
+
 TIE_BREAK = ("channel", "campaign_id", "interaction_type")
 
 
@@ -193,7 +195,7 @@ def path_length_per_purchase(touches: DataFrame, purchases: DataFrame) -> DataFr
 
 
 def _attribution_by_rank(touches: DataFrame, purchases: DataFrame, *, rows_per_task: int | None = ROWS_PER_TASK,
-                         tie_break=TIE_BREAK, bucket: str = "hour") -> dict[str, DataFrame]:
+                         tie_break=TIE_BREAK, bucket: str = "hour", stage: bool = False) -> dict[str, DataFrame]:
     """Touch path and attribution without any per-purchase window.
 
     1. ``rank_touches``: number of every touch within its user;
@@ -208,6 +210,8 @@ def _attribution_by_rank(touches: DataFrame, purchases: DataFrame, *, rows_per_t
     4. last touch = the kept touch whose kept-rank equals the path length:
        an equi-join on (user, rank), one row per purchase."""
     ranked, daily = rank_touches(touches, tie_break=tie_break, bucket=bucket)
+    if stage:  # a job that writes several of the facts ranks once
+        ranked, daily = staged(ranked, "ranked-touches"), staged(daily, "daily-touches")
     p = (purchases.filter(F.col("user_id").isNotNull() & F.col("purchase_date").isNotNull())
          .select(F.col("user_id").alias("_p_user"), "purchase_id", "purchase_date", "revenue"))
     pn = (p.join(_lengths(daily, p), (F.col("_p_user") == F.col("_l_user")) & (F.col("purchase_date") == F.col("_l_date")))

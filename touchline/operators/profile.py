@@ -88,6 +88,33 @@ def money_format_rules(c: str) -> list[tuple[Column, str]]:
             (x.rlike(r"^[0-9]+(\.[0-9]+)?$"), "plain")]
 
 
+def number_format_rules(c: str) -> list[tuple[Column, str]]:
+    """Classes of raw numbers such as revenue or page counts (PRF-06)."""
+    x = F.trim(F.col(c))
+    return [(x.isNull() | (x == ""), "missing"),
+            (x.rlike(r"^-[0-9]+(\.[0-9]+)?$"), "negative"),
+            (x.rlike(r"^[0-9]+$"), "whole"),
+            (x.rlike(r"^[0-9]+\.[0-9]+$"), "decimal"),
+            (F.lit(True), "non-numeric")]
+
+
+def text_case_rules(c: str) -> list[tuple[Column, str]]:
+    """Classes of raw names (PRF-06): blank, surrounded by blanks, upper case, as written."""
+    x = F.col(c)
+    return [(x.isNull() | (F.trim(x) == ""), "missing"),
+            (F.trim(x) != x, "untrimmed"),
+            (x == F.upper(x), "upper case"),
+            (F.lit(True), "plain")]
+
+
+def status_counts(df: DataFrame, rules: list[tuple[Column, str]], default: str = "other") -> DataFrame:
+    """PRF-06 by status alone: rows are counted per status, raw values are never shuffled."""
+    status = None
+    for pred, label in rules:
+        status = F.when(pred, label) if status is None else status.when(pred, label)
+    return df.groupBy(status.otherwise(default).alias("status")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def length_outliers(df: DataFrame, col: str, lo: int, hi: int | None = None) -> DataFrame:
     """PRF-07: ``LEN(x)`` (trailing blanks ignored) outside [lo, hi]
     (``hi=None`` means exactly ``lo``)."""

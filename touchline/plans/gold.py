@@ -183,7 +183,7 @@ class GoldModel:
                                     {n: (lambda df=df: df) for n, df in self.silver.items()}, root))
             written = {n: self.spark.read.parquet(layer_path(root, "silver", n)) for n in self.silver}
             model = GoldModel(self.spark, silver=written, calendar=self.calendar,
-                              attribution_opts=self.attribution_opts)
+                              attribution_opts={"stage": True, **self.attribution_opts})
 
         def job(name):
             df = model.table(name)

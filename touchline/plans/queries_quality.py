@@ -119,28 +119,49 @@ add("prf_02_true_duplicates", lambda g: prf.true_duplicates(_RAW(g)),
 add("prf_05_channel_frequencies", lambda g: prf.frequencies(_RAW(g), "channel"),
     f"SELECT channel, COUNT(*) AS occurrences FROM {_RAW_SQL} GROUP BY channel ORDER BY occurrences DESC")
 add("prf_06_date_format_status",
-    lambda g: prf.classify(_RAW(g), "date", prf.date_format_rules("date")).groupBy("status")
-    .agg(F.sum("n").alias("n")),
+    lambda g: prf.status_counts(_RAW(g), prf.date_format_rules("date")),
     f"""SELECT CASE WHEN date IS NULL THEN 'missing' WHEN regexp_full_match(date, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN 'iso'
                     WHEN regexp_full_match(date, '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}') THEN 'dd/mm/yyyy'
                     WHEN regexp_full_match(date, '[0-9]{{4}}/[0-9]{{2}}/[0-9]{{2}}') THEN 'yyyy/mm/dd'
                     WHEN regexp_full_match(date, '[A-Za-z_]+') THEN 'sentinel' ELSE 'other' END AS status,
                COUNT(*) AS n FROM {_RAW_SQL} GROUP BY 1""")
 add("prf_06_money_format_status",
-    lambda g: prf.classify(dirty.dirty_ad_spend(g.driver.lineitem), "spend", prf.money_format_rules("spend"))
-    .groupBy("status").agg(F.sum("n").alias("n")),
+    lambda g: prf.status_counts(_RAW(g), prf.money_format_rules("spend")),
     """SELECT CASE WHEN l_orderkey % 7 = 0 THEN 'negative' WHEN l_linenumber % 2 = 0 THEN 'currency suffix'
                    ELSE 'decimal comma' END AS status, COUNT(*) AS n FROM lineitem GROUP BY 1""")
 add("prf_06_campaign_id_format_status",
-    lambda g: prf.classify(_RAW(g), "campaign_id", prf.id_format_rules("campaign_id")).groupBy("status")
-    .agg(F.sum("n").alias("n")),
+    lambda g: prf.status_counts(_RAW(g), prf.id_format_rules("campaign_id")),
     """SELECT CASE WHEN l_linenumber = 7 THEN 'non-numeric' ELSE 'decimal .0' END AS status, COUNT(*) AS n
        FROM lineitem GROUP BY 1""")
 add("prf_06_touch_time_format_status",
-    lambda g: prf.classify(dirty.dirty_touchpoints(g.driver.lineitem), "touchpoint_time",
-                           prf.timestamp_format_rules("touchpoint_time")).groupBy("status").agg(F.sum("n").alias("n")),
+    lambda g: prf.status_counts(dirty.dirty_touchpoints(g.driver.lineitem), prf.timestamp_format_rules("touchpoint_time")),
     """SELECT CASE WHEN l_partkey % 50 = 1 THEN 'sentinel' WHEN l_linenumber % 2 = 0 THEN 'iso'
                    ELSE 'dd/mm/yyyy hh:mm' END AS status, COUNT(*) AS n FROM lineitem GROUP BY 1""")
+add("prf_06_revenue_format_status",
+    lambda g: prf.status_counts(dirty.dirty_purchases(g.driver.orders), prf.number_format_rules("revenue")),
+    """SELECT CASE WHEN o_orderkey % 17 = 0 THEN 'non-numeric' WHEN o_orderkey % 20 = 0 THEN 'negative' ELSE 'decimal' END AS status,
+              COUNT(*) AS n FROM orders GROUP BY 1""")
+add("prf_06_pages_format_status",
+    lambda g: prf.status_counts(dirty.dirty_sessions(g.driver.events), prf.number_format_rules("pages_viewed")),
+    "SELECT CASE WHEN event_id % 5 = 0 THEN 'negative' ELSE 'decimal' END AS status, COUNT(*) AS n FROM events GROUP BY 1")
+add("prf_06_campaign_name_status",
+    lambda g: prf.status_counts(dirty.dirty_campaigns(g.driver.supplier), prf.text_case_rules("campaign_name")),
+    """SELECT CASE s_suppkey % 4 WHEN 0 THEN 'upper case' WHEN 1 THEN 'plain' ELSE 'untrimmed' END AS status, COUNT(*) AS n
+       FROM supplier GROUP BY 1""")
+add("prf_06_objective_status",
+    lambda g: prf.status_counts(dirty.dirty_campaigns(g.driver.supplier), prf.text_case_rules("objective")),
+    "SELECT CASE WHEN s_suppkey % 4 IN (0, 2) THEN 'untrimmed' ELSE 'plain' END AS status, COUNT(*) AS n FROM supplier GROUP BY 1")
+add("prf_08_raw_ids_without_campaign",
+    lambda g: prf.absent_from(_RAW(g).select(C.decimal_id("campaign_id").alias("campaign_id")), "campaign_id",
+                              g.dim_campaign.filter("campaign_id % 3 <> 0"), "campaign_id"),
+    """SELECT DISTINCT l_suppkey AS campaign_id FROM lineitem WHERE l_linenumber <> 7
+       AND l_suppkey NOT IN (SELECT campaign_id FROM dim_campaign WHERE campaign_id % 3 <> 0)""")
+add("prf_15_sentinel_pages_rows",
+    lambda g: dirty.dirty_sessions(g.driver.events).filter(F.col("pages_viewed") == C.PAGES_SENTINEL).select("session_id", "pages_viewed"),
+    "SELECT CAST(event_id AS VARCHAR) AS session_id, '-1.0' AS pages_viewed FROM events WHERE event_id % 5 = 0")
+add("prf_15_negative_revenue_count",
+    lambda g: dirty.dirty_purchases(g.driver.orders).filter(C.parse_decimal("revenue") < 0).agg(F.count(F.lit(1)).alias("negative_rows")),
+    "SELECT COUNT(*) AS negative_rows FROM orders WHERE o_orderkey % 20 = 0 AND o_orderkey % 17 <> 0 AND o_totalprice > 0")
 add("prf_07_date_length_outliers", lambda g: prf.length_outliers(_RAW(g), "date", 10).groupBy("date").count()
     .withColumnRenamed("count", "n"),
     f"SELECT date, COUNT(*) AS n FROM {_RAW_SQL} WHERE length(rtrim(date)) <> 10 GROUP BY date")

@@ -77,11 +77,12 @@ def scan_delimited(spark: SparkSession, path: str, columns: list[str], sep: str
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """SRC-02 / SRC-03: full refresh (truncate + insert) as an overwrite.
 
-    With ``partition_by`` the rows are sorted by the partition columns
-    inside each task (no extra shuffle), so a task keeps one file open at a
-    time and writes one file per partition value it holds."""
+    With ``partition_by`` the rows are rebalanced by the partition columns
+    (adaptive execution splits a large value over several tasks and joins
+    small ones) and sorted by them inside each task, so there are few files
+    per partition value whatever the number of tasks."""
     if partition_by:
-        df = df.sortWithinPartitions(*partition_by)
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by]).sortWithinPartitions(*partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
