@@ -33,7 +33,7 @@ from .shared import python_tasks, store
 
 MARK = "▁"
 #: Entries after which a worker's table starts anew, and characters up to which a chunk is kept.
-TABLE_ENTRIES, CHUNK_CHARS = 400_000, 64
+TABLE_ENTRIES, CHUNK_CHARS = 120_000, 64
 _CHUNK = re.compile(" +[^ ]*")
 _workers: dict = {}
 

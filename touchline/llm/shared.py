@@ -19,7 +19,7 @@ from touchline.session import ensure_checkpoint_dir
 #: Rows up to which a side may be broadcast; callers keep such rows under 64 bytes (6.4 MB).
 BROADCAST_ROWS = 100_000
 #: Bytes of one Arrow batch sent to a Python worker.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def scratch(spark: SparkSession, name: str) -> str:
