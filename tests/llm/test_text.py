@@ -307,6 +307,18 @@ def test_line_dedup(spark, nothing):
     assert lines.clean(nothing).count() == 0
 
 
+def test_line_dedup_of_rare_lines(spark):
+    passage = " ".join(f"word{i}" for i in range(60))
+    data = [(i, f"own line {i}" + f"\n{passage}" * (i % 800 == 7) + "\ncopied" * (i in (1, 2)), "a") for i in range(4000)]
+    data += [(5000 + i, f"own line {i}\n{passage}", "b") for i in range(2)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    out = {r["doc_id"]: r for r in lines.drop_boilerplate(df).collect()}
+    assert {i for i, r in out.items() if r["n_dropped"]} == {7, 807, 1607, 2407, 3207}
+    assert out[807]["text"] == "own line 807" and out[1]["text"] == "own line 1\ncopied" and passage in out[5001]["text"]
+    few = df.filter("doc_id < 7 or doc_id % 800 = 7")
+    assert {r["doc_id"] for r in lines.drop_boilerplate(few).filter("n_dropped > 0").collect()} == {7, 807, 1607, 2407, 3207}
+
+
 def test_sharding(spark, docs, nothing):
     found = sharding.shard(docs, 100)
     by = {}

@@ -6,9 +6,16 @@ pages contain it.  Pages are counted once per line whatever the repetitions
 inside them; lines are compared trimmed of blanks, by md5.  The counting
 shuffle carries (site, 16-byte digest) pairs, combined before it.  A site has
 at most (mean lines per page / ratio) boilerplate lines, so its digest list
-is bounded; the sites' table is broadcast only after a check of its size,
-else joined by shuffle (a site with a third of all pages is then split by
-AQE's skew join, as only its small list is replicated).
+is bounded; the sites' table is broadcast only after a count of all its
+digests, else joined by shuffle (a site with a third of all pages is then
+split by AQE's skew join, as only its small list is replicated).
+
+The bar.  What an author writes for one page stands on that page, and on a
+second one when the page is copied; a line on a third page comes from the
+site, be it a menu, a licence, an advert or a passage.  A site need not show
+it on all pages: templates belong to sections, so one page in a thousand
+is enough on sites of more than 3,000 pages.  Copies count as pages, so a
+page that stands three times in one site loses its lines there.
 
 Defined results: a null text stays null with 0 lines; blank lines are never
 counted or dropped; a text all of whose lines go becomes empty, its row
@@ -21,10 +28,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import broadcast_if_small, fresh, quoted, store
+from .shared import fresh, quoted, store
 
-RATIO = 0.05
-MIN_PAGES = 4
+RATIO = 0.001
+MIN_PAGES = 3
+#: Digests of 16 bytes, of all sites, up to which their lists may be broadcast (6.4 MB).
+BROADCAST_DIGESTS = 400_000
 
 
 def _digest(line: Column) -> Column:
@@ -52,8 +61,8 @@ def _cleaned(docs: DataFrame, site_col: str, text_col: str, ratio: float, min_pa
     site, bad, out = fresh(docs, "__site"), fresh(docs, "__bad"), fresh(docs, "__cleaned")
     found = store(boilerplate(docs, site_col, text_col, ratio, min_pages)
                   .groupBy(F.col("__site").alias(site)).agg(F.collect_list("__line").alias(bad)), "lines")
-    # a list has (mean lines per page / ratio) digests of 16 bytes at most; 2,000 sites are some MB
-    marked = docs.withColumn(site, _site(site_col)).join(broadcast_if_small(found, 2_000), site, "left")
+    digests = found.agg(F.sum(F.size(bad))).first()[0] or 0
+    marked = docs.withColumn(site, _site(site_col)).join(F.broadcast(found) if digests <= BROADCAST_DIGESTS else found, site, "left")
     lines = F.split(text_col, "\n")
     kept = F.when(F.col(bad).isNull(), lines).otherwise(
         F.filter(lines, lambda l: (F.trim(l) == "") | ~F.array_contains(bad, _digest(l))))
