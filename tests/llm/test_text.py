@@ -78,6 +78,14 @@ def test_chunk_table_equals_whole_texts(real):
         assert decoded == sp.decode(ids) and n == len(ids)
 
 
+def test_decoded_text_comes_from_the_joined_ids():
+    chunks = pieces.ChunkTable(PIECES)
+    assert [d for _, _, d in chunks.encode(["first second"])] == ["first second"]
+    for joined in (chunks.ids, chunks.packed):  # a wrong join shows
+        joined["first"], joined["second"] = joined["second"], joined["first"]
+    assert [d for _, _, d in chunks.encode(["first second"])] == ["second first"]
+
+
 def test_chunk_table_starts_anew_when_full(monkeypatch):
     monkeypatch.setattr(pieces, "TABLE_ENTRIES", 3)
     chunks = pieces.ChunkTable(PIECES)

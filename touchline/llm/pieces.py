@@ -4,9 +4,9 @@ Chunks.  A model without pieces that hold a whitespace marker after another
 character cannot merge across the start of a marked word, so a text can be
 cut before each run of blanks and every chunk be segmented on its own; the
 ids of a text are its chunks' ids in order.  ``ChunkTable`` verifies those
-conditions from the model file, segments each distinct chunk once per Python
-worker, and joins ids (and decoded surfaces) back by position.  A model that
-doesn't meet them is encoded text by text.
+conditions from the model file, segments the distinct chunks that its Python
+worker's table lacks, and joins ids back by position; the joined ids of each
+text are then decoded.  A model that doesn't meet them is encoded text by text.
 
 Digest cache.  ``count_tokens`` joins sha-256 digests of the normalised
 content and of the tokenizer file to stored counts, encodes one text of each
@@ -52,7 +52,7 @@ def _spec(model) -> tuple[bool, bool]:
 
 
 class ChunkTable:
-    """Distinct marked words of a sentencepiece model, each segmented once and joined back by position."""
+    """Distinct marked words of a sentencepiece model, segmented where the table lacks them and joined back by position."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -67,7 +67,6 @@ class ChunkTable:
         self.ids: dict[str, str] = {"": str(lone)}
         self.counts: dict[str, int] = {"": 1}
         self.packed: dict[str, bytes] = {"": np.int32(lone).tobytes()}
-        self.odd: dict[str, str] = {}
 
     def chunks(self, text: str) -> list[str]:
         """The chunks of a text without the one blank that the dummy prefix gives back."""
@@ -88,14 +87,11 @@ class ChunkTable:
             self.ids[chunk] = ",".join(map(str, ids))
             self.counts[chunk] = len(ids)
             self.packed[chunk] = np.array(ids, np.int32).tobytes()
-            if (surface := self.model.decode(ids)) != chunk:
-                self.odd[chunk] = surface
         return [c for c in new if len(c) > CHUNK_CHARS]
 
     def _forget(self, chunks: list[str]) -> None:
         for c in chunks:
             del self.ids[c], self.counts[c], self.packed[c]
-            self.odd.pop(c, None)
 
     def count(self, texts: list[str]) -> list[int]:
         if not self.by_chunk:
@@ -110,7 +106,7 @@ class ChunkTable:
         return out
 
     def encode(self, texts: list[str]) -> Iterator[tuple[str, bytes, str]]:
-        """(decimal ids joined by commas, ids as 32-bit numbers, decoded text) of each text."""
+        """(decimal ids joined by commas, ids as 32-bit numbers, text decoded from these ids) of each text."""
         if not self.by_chunk:
             for t in texts:
                 ids = self.model.encode(t)
@@ -118,13 +114,11 @@ class ChunkTable:
             return
         for some in _runs(texts):
             cut = [self.chunks(t) for t in some]
-            distinct = set().union(*cut)
-            long = self._learn(distinct)
-            odd = {c: self.odd[c] for c in distinct & self.odd.keys()}
+            long = self._learn(set().union(*cut))
             decimal, packed = self.ids.__getitem__, self.packed.__getitem__
-            for t, c in zip(some, cut):
-                decoded = " ".join([odd.get(x, x) for x in c]) if odd else t.replace(MARK, " ")
-                yield ",".join(map(decimal, c)), b"".join(map(packed, c)), decoded
+            for c in cut:
+                numbers = b"".join(map(packed, c))
+                yield ",".join(map(decimal, c)), numbers, self.model.decode(np.frombuffer(numbers, np.int32).tolist())
             self._forget(long)
 
 
