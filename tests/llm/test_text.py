@@ -346,6 +346,34 @@ def test_sharding(spark, docs, nothing):
     assert max(r["shard_bytes"] for r in sizes) <= 2000 and sum(r["shard_bytes"] for r in sizes) == 5000 * 49 // 2
 
 
+def brute_shards(texts, limit):
+    """Every row's leaf by splitting on all 60 bits of its key, one bit at a time."""
+    keys = [f"{int(hashlib.md5(f'{'null' if i is None else i}:{hashlib.md5((t or '').encode()).hexdigest()}'.encode()).hexdigest()[:15], 16):060b}" for i, t in texts]
+    sizes, out = [len((t or "").encode()) for _, t in texts], []
+
+    def split(members, depth):
+        total = sum(sizes[m] for m in members)
+        if total <= limit or depth == 60:
+            out.extend((texts[m][0], sizes[m], keys[m][:depth], depth, total, len(members), total > limit) for m in members)
+            return
+        for bit in "01":
+            if side := [m for m in members if keys[m][depth] == bit]:
+                split(side, depth + 1)
+
+    split(range(len(texts)), 0)
+    return sorted(out, key=repr)
+
+
+def test_sharding_of_documents_above_the_limit(spark):
+    from touchline.llm.queries import SHARD_BYTES
+
+    big, half = "x" * (SHARD_BYTES + 1), "y" * (SHARD_BYTES * 2 // 3)
+    texts = [(i, "z" * 5000) for i in range(500)] + [(1000, big), (1001, half), (1001, half), (None, None), (1002, "w" * SHARD_BYTES)]
+    found = rows(sharding.shard(spark.createDataFrame(texts, "doc_id long, text string"), SHARD_BYTES))
+    assert found == brute_shards(texts, SHARD_BYTES)
+    assert {(r[0], r[3], len(r[2])) for r in found if r[6]} == {(1000, 60, 60), (1001, 60, 60)}
+
+
 def test_shard_folders(spark, docs):
     path = scratch(spark, "shards")
     sharding.write_shards(docs.select("doc_id", "text", "__key"), path, 100)
