@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, lines, pieces, quality, sharding, tokenfile, vectors, warc
+from . import decontaminate, jaccard, lines, pieces, quality, sharding, tokenfile, trie, vectors, warc
 from .shared import scratch, table
 
 SHARD_BYTES = 1 << 20
@@ -64,7 +64,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_boilerplate(docs).select("doc_id", "source", "n_lines", "n_dropped", "text")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_ngram_jaccard, op3_sharding, op4_sentencepiece, op5_decontamination,
-                                   op6_token_files, op7_warc, op8_embedding_near_dedup, op9_quality, op10_line_dedup)}
+                                   op6_token_files, op7_warc, op8_embedding_near_dedup, op9_quality, op10_line_dedup,
+                                   op13_prefix_trie)}
 ORACLES = {"op3_sharding": sharding.oracle(SHARD_BYTES), "op5_decontamination": decontaminate.ORACLE,
            "op10_line_dedup": lines.ORACLE}
