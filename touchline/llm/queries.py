@@ -6,12 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, lines, pieces, quality, sharding, tokenfile, trie, vectors, warc
+from . import bytepairs, decontaminate, jaccard, lines, pieces, quality, sharding, tokenfile, trie, vectors, warc
 from .shared import scratch, table
 
 SHARD_BYTES = 1 << 20
 TOKEN_LIMIT = 4096
-PIECE_MODEL, WORD_MODEL = "piece_bpe_32k.model", "word_bpe_49k.json"
+PIECE_MODEL, WORD_MODEL, BYTE_MODEL = "piece_bpe_32k.model", "word_bpe_49k.json", "byte_bpe_50k.json"
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,12 +64,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_boilerplate(docs).select("doc_id", "source", "n_lines", "n_dropped", "text")
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytepairs.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_MODEL), ids=False)
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_ngram_jaccard, op3_sharding, op4_sentencepiece, op5_decontamination,
                                    op6_token_files, op7_warc, op8_embedding_near_dedup, op9_quality, op10_line_dedup,
-                                   op13_prefix_trie)}
+                                   op11_byte_bpe, op13_prefix_trie)}
 ORACLES = {"op3_sharding": sharding.oracle(SHARD_BYTES), "op5_decontamination": decontaminate.ORACLE,
            "op10_line_dedup": lines.ORACLE}
