@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bytepairs, decontaminate, jaccard, lines, pieces, quality, sharding, tokenfile, trie, vectors, warc
+from . import bytepairs, decontaminate, jaccard, lines, pieces, quality, sharding, tokenfile, trie, variants, vectors, warc
 from .shared import scratch, table
 
 SHARD_BYTES = 1 << 20
@@ -68,12 +68,16 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytepairs.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_MODEL), ids=False)
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_ngram_jaccard, op3_sharding, op4_sentencepiece, op5_decontamination,
                                    op6_token_files, op7_warc, op8_embedding_near_dedup, op9_quality, op10_line_dedup,
-                                   op11_byte_bpe, op13_prefix_trie)}
+                                   op11_byte_bpe, op12_spelling_variants, op13_prefix_trie)}
 ORACLES = {"op3_sharding": sharding.oracle(SHARD_BYTES), "op5_decontamination": decontaminate.ORACLE,
            "op10_line_dedup": lines.ORACLE}
