@@ -1,6 +1,8 @@
 """Plan guards over every registered query (planning only, no execution):
 no Python UDF evaluation, no cartesian product, no nested-loop join."""
 
+import re
+
 import __spark_entry__ as entry
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
@@ -25,7 +27,8 @@ def test_no_python_no_cartesian_no_nested_loop(spark):
     from conftest import SF_SMALL
     bad = {}
     qs = entry.queries()
-    for name in _sample(qs):
+    # building a corpus query runs its stored stages; tests/llm has these
+    for name in _sample([n for n in qs if not re.match(r"op\d+_|pipeline$", n)]):
         fn = qs[name]
         plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         hits = [f for f in FORBIDDEN if f in plan]

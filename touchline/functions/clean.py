@@ -162,9 +162,9 @@ def parse_int(c) -> Column:
 
 
 def sentinel_int(c, sentinel: str = PAGES_SENTINEL) -> Column:
-    """CLN-11: sentinel text → NULL, then CLN-08."""
+    """CLN-11: sentinel text → NULL, then CLN-08; a number too wide for an integer is NULL."""
     c = col(c)
-    return F.when(c.isNull() | (F.trim(c) == sentinel), F.lit(None).cast("long")).otherwise(decimal_id(c)).cast("int")
+    return F.when(c.isNull() | (F.trim(c) == sentinel), F.lit(None).cast("long")).otherwise(decimal_id(c)).try_cast("int")
 
 
 def after_first_comma(c) -> Column:

@@ -143,7 +143,11 @@ def rank_touches(touches: DataFrame, user: str = "user_id", time: str = "touchpo
       touches that survive the path filters (channel and interaction set),
       whose rank is the path length at that touch.
 
+    ``bucket="range"`` is ``rank_by_range``: no group but a range partition.
+
     Returns (ranked touches, per-(user, day) kept counts)."""
+    if bucket == "range":
+        return rank_by_range(touches, user, time, tie_break)
     kept = (F.col("channel").isNotNull() & F.col("interaction_type").isNotNull()).cast("int")
     t = (touches.filter(F.col(user).isNotNull() & F.col(time).isNotNull())
          .withColumn("_day", F.to_date(time)).withColumn("_kept", kept))
@@ -169,6 +173,42 @@ def rank_touches(touches: DataFrame, user: str = "user_id", time: str = "touchpo
     return ranked, daily_kept
 
 
+def rank_by_range(touches: DataFrame, user: str = "user_id", time: str = "touchpoint_time",
+                  tie_break=TIE_BREAK) -> tuple[DataFrame, DataFrame]:
+    """``rank_touches`` for any distribution: a user's touches of one hour may span many tasks.
+
+    All touches are range-partitioned on (user, time, tie-break), so bounds may
+    fall inside a user and inside an hour, and staged once with their place (the
+    range exchange samples anew whenever it is planned).  A touch's number is its
+    number inside (partition, user), plus the user's touches in earlier
+    partitions.  Only a partition's first user can have such, so the offsets
+    have one row per partition at most and are broadcast.  Touches that tie in
+    all of (user, time, tie-break) are numbered in either order."""
+    kept = (F.col("channel").isNotNull() & F.col("interaction_type").isNotNull()).cast("int")
+    order = [user, time, *tie_break]
+    t = (touches.filter(F.col(user).isNotNull() & F.col(time).isNotNull())
+         .withColumn("_day", F.to_date(time)).withColumn("_kept", kept))
+    ranged = staged(t.repartitionByRange(*order).sortWithinPartitions(*order)
+                    .withColumn("_mid", F.monotonically_increasing_id()), "touch-ranges")
+    ranged = ranged.withColumn("_part", F.shiftright("_mid", 33))
+    w = Window.partitionBy("_part", user).orderBy("_mid")
+    numbered = (ranged.withColumn("_local", F.row_number().over(w))
+                .withColumn("_local_kept", F.sum("_kept").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    before = Window.partitionBy(user).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy(user, "_part").agg(F.count(F.lit(1)).alias("_n"), F.sum("_kept").alias("_nk"))
+               .select(F.col(user).alias("_o_user"), F.col("_part").alias("_o_part"),
+                       F.sum("_n").over(before).alias("_off"), F.sum("_nk").over(before).alias("_off_kept"))
+               .filter("_off > 0"))
+    off = lambda c: F.coalesce(c, F.lit(0))
+    ranked = (numbered.join(F.broadcast(offsets), (F.col(user) == F.col("_o_user")) & (F.col("_part") == F.col("_o_part")), "left")
+              .withColumn("touchpoint_number", (off("_off") + F.col("_local")).cast("int"))
+              .withColumn("_rank_kept", (off("_off_kept") + F.col("_local_kept")).cast("int"))
+              .drop("_o_user", "_o_part", "_part", "_mid", "_off", "_off_kept", "_local", "_local_kept"))
+    daily = (ranged.groupBy(F.col(user).alias("_o_user"), F.col("_day").alias("_o_day"))
+             .agg(F.sum("_kept").alias("_nk")).filter(F.col("_nk") > 0))
+    return ranked, daily
+
+
 def _lengths(daily: DataFrame, purchases: DataFrame) -> DataFrame:
     """(_l_user, _l_date, touchpoints_in_path): the kept touches of a user before each purchase day.
     Purchase days join the user's sequence of active days with a count of 0 and a running sum

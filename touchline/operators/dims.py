@@ -13,9 +13,10 @@ CALENDAR_LIMITS = ("1900-01-01", "2199-12-31")
 _MID_BITS = 33  # monotonically_increasing_id = partition index << 33 | row index
 
 
-def with_dense_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+def with_dense_key(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
     """DIM-05: dense surrogate key 1..n following ``order`` without a
-    single-partition window.
+    single-partition window; without ``order`` rows are numbered as they are
+    produced, with neither sort nor shuffle.
 
     Rows are range-partitioned on ``order`` (sampled bounds split large key
     ranges over many tasks), sorted and numbered inside each partition, and
@@ -26,8 +27,8 @@ def with_dense_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     broadcast safely.  With a unique ``order`` the result equals
     ``row_number() OVER (ORDER BY order)``."""
     cols = df.columns
-    ranged = staged(df.repartitionByRange(*order).sortWithinPartitions(*order)
-                    .withColumn("_mid", F.monotonically_increasing_id()), f"keys-{key}")
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
+    ranged = staged(rows.withColumn("_mid", F.monotonically_increasing_id()), f"keys-{key}")
     part = F.shiftright("_mid", _MID_BITS)
     counts = ranged.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -145,6 +145,42 @@ def share_pct(df: DataFrame, cond: Column, alias: str = "pct") -> DataFrame:
     return df.agg(F.round(F.sum(F.when(cond, 1).otherwise(0)) * 100.0 / F.count(F.lit(1)), 2).alias(alias))
 
 
+#: Kinds of text in a profiled column, in the order they are tried.
+PROFILE_CLASSES = [("whole", r"^-?[0-9]+$"), ("decimal", r"^-?[0-9]+\.[0-9]+$"), ("date", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
+                   ("timestamp", r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"), ("word", r"^[A-Za-z_]+$")]
+
+
+def profile(df: DataFrame) -> DataFrame:
+    """PRF-01, 03 … 07, 11 and 15 for every column of a feed in one pass: one row a column with its rows,
+    nulls, blanks, untrimmed, distinct and repeated values, shortest and longest text, rows of each
+    class of text, number of shapes (digits as 9, letters as A) and the most frequent shape, and the
+    most frequent value (ties: the smallest) with its count.
+
+    The feed is unpivoted to (column, text) and scanned once.  Three aggregates follow, each over
+    the summaries of the one before, by (column, text), (column, shape) and column: all counts are
+    exact, all partial results merge, and a frequent value is one row per task.  A column's
+    distinct values are never gathered."""
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in df.columns]
+    one = F.count(F.lit(1))
+    values = df.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*").groupBy("column_name", "value").agg(one.alias("n"))
+    v, n = F.col("value"), F.col("n")
+    kind = reduce(lambda acc, rule: acc.when(v.rlike(rule[1]), rule[0]), PROFILE_CLASSES, F.when(v.isNull(), "null").when(F.trim(v) == "", "blank")).otherwise("other")
+    shape = F.regexp_replace(F.regexp_replace(v, "[0-9]", "9"), "[A-Za-z]", "A")
+    kinds = ["null", "blank", *[k for k, _ in PROFILE_CLASSES], "other"]
+    some = lambda cond: F.sum(F.when(cond, n).otherwise(0))
+    shapes = values.withColumn("_kind", kind).groupBy("column_name", shape.alias("shape")).agg(
+        F.sum("n").alias("rows"), *[some(F.col("_kind") == k).alias(f"{k}_rows") for k in kinds], some(F.trim(v) != v).alias("untrimmed_rows"),
+        F.count("value").alias("distinct_values"), F.count_if(v.isNotNull() & (n > 1)).alias("repeated_values"),
+        F.min(F.length(v)).alias("shortest"), F.max(F.length(v)).alias("longest"),
+        F.min(F.when(v.isNotNull(), F.struct((-n).alias("less"), v.alias("value")))).alias("top"))
+    total = [F.sum(c).alias(c) for c in ("rows", *[f"{k}_rows" for k in kinds], "untrimmed_rows", "distinct_values", "repeated_values")]
+    out = shapes.groupBy("column_name").agg(
+        *total, F.min("shortest").alias("shortest"), F.max("longest").alias("longest"), F.count("shape").alias("shapes"),
+        F.min(F.when(F.col("shape").isNotNull(), F.struct((-F.col("rows")).alias("less"), "shape"))).alias("_shape"), F.min("top").alias("_top"))
+    return out.select("column_name", *[c for c in out.columns if c not in ("column_name", "_shape", "_top")],
+                      F.col("_shape.shape").alias("top_shape"), F.col("_top.value").alias("top_value"), (-F.col("_top.less")).alias("top_rows"))
+
+
 def pattern_rows(df: DataFrame, col: str, regex: str) -> DataFrame:
     """PRF-14."""
     return df.filter(F.col(col).rlike(regex))

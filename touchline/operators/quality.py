@@ -41,6 +41,36 @@ def consistent_with(child: DataFrame, parent: DataFrame, keys: list[str]) -> Dat
     return child.join(p, cond, "left_anti")
 
 
+#: Stands between the values of a key of several columns.
+_BETWEEN = "\x1f"
+
+
+def absent_values(tables: dict[str, DataFrame], sites: list[tuple[str, list[str], str, list[str]]]) -> DataFrame:
+    """DQ-03 / DQ-04 for many sites at once: (site, violations), the child rows whose (set) values the
+    parent lacks, for sites (child table, its columns, parent table, its columns) by their number.
+
+    Each table is scanned once: a row gives one (site, value, side) for every site that it takes
+    part in, as child or parent.  Values are combined before the shuffle, so a value of a third of
+    all rows is one row per task; presence on either side is one aggregate, not a join per site.
+    Values compare as text of the parent column's type."""
+    roles: dict[str, list] = {}
+    for i, (child, cols, parent, parent_cols) in enumerate(sites):
+        kinds = [tables[parent].schema[c].dataType for c in parent_cols]
+        roles.setdefault(child, []).append((i, cols, kinds, True))
+        roles.setdefault(parent, []).append((i, parent_cols, kinds, False))
+    parts = []
+    for name, mine in roles.items():
+        cells = []
+        for i, cols, kinds, is_child in mine:
+            text = [F.col(c).cast(k).cast("string") for c, k in zip(cols, kinds)]
+            known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+            cells.append(F.struct(F.lit(i).alias("site"), F.when(known, F.concat_ws(_BETWEEN, *text)).alias("value"), F.lit(is_child).alias("is_child")))
+        parts.append(tables[name].select(F.explode(F.array(*cells)).alias("_c")).select("_c.*").filter("value is not null"))
+    values = reduce(lambda a, b: a.unionByName(b), parts).groupBy("site", "value").agg(
+        F.count_if("is_child").alias("n"), F.bool_and("is_child").alias("orphan"))
+    return values.groupBy("site").agg(F.coalesce(F.sum(F.when(F.col("orphan"), F.col("n"))), F.lit(0)).alias("violations"))
+
+
 def date_key_mismatch(df: DataFrame, date_col: str, key_col: str = "date_key") -> DataFrame:
     """DQ-05: the key is missing or does not encode the row's date."""
     d = F.to_date(F.col(date_col))
@@ -113,8 +143,12 @@ def path_gaps(touchpath: DataFrame) -> DataFrame:
 
 
 def sample(df: DataFrame, n: int = 10) -> DataFrame:
-    """DQ-13: ``TOP n *`` (a sampling report)."""
-    return df.limit(n)
+    """DQ-13: ``TOP n *`` as a stable sample: the n rows whose text has the smallest md5.
+
+    The same rows on every run, whatever the partitions: each task keeps its n smallest and these
+    are merged, so nothing but n rows a task moves.  Equal rows count as often as they stand."""
+    key = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]))
+    return df.orderBy(key).limit(n)
 
 
 def suite(checks: list[tuple[str, str, DataFrame]]) -> DataFrame:

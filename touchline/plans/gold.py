@@ -40,6 +40,19 @@ SURROGATE_KEYS = {
     "dim_channel": ("channel_key", ["channel_name"]),
 }
 
+# Surrogate keys of the facts and an order under which rows that tie are equal.
+# The load job numbers facts as they are produced; the order serves comparison.
+FACT_KEYS = {
+    "fact_spend": ("spend_key", ["spend_date", "channel", "campaign_id", "spend"]),
+    "fact_clicks": ("clicks_key", ["click_id", "click_timestamp", "user_id", "click_channel", "campaign_id"]),
+    "fact_sessions": ("session_key", ["session_id", "session_start", "user_id", "device_category", "source_channel", "pages_viewed"]),
+    "fact_touchpoints": ("touchpoint_key", ["user_id", "touchpoint_time", "channel", "campaign_id", "interaction_type"]),
+    "fact_purchases": ("purchase_key", ["purchase_id"]),
+    "fact_touchpath": ("touchpath_key", ["purchase_id", "touchpoint_number"]),
+    "fact_attribution_linear": ("attribution_key", ["purchase_id", "touchpoint_number"]),
+    "fact_attribution_last_touch": ("attribution_key", ["purchase_id"]),
+}
+
 # The calendar spans whole years from the first to the last event of any dated
 # feed, so that every event finds its date key.
 CALENDAR_SOURCES = (("mrkt_ad_spend", "spend_date"), ("mrkt_clicks", "click_timestamp"), ("web_sessions", "session_start"),
@@ -72,14 +85,16 @@ class GoldModel:
 
     @classmethod
     def from_tables(cls, spark: SparkSession, root: str, keep_partition_column: bool = False,
-                    **kw) -> "GoldModel":
-        """Gold tables written by ``materialize``.  The month partition column
-        is dropped unless asked for, so schemas equal ``from_driver``'s."""
+                    keep_fact_keys: bool = False, **kw) -> "GoldModel":
+        """Gold tables written by ``materialize``.  The month partition column and
+        the facts' keys are dropped unless asked for, so schemas equal ``from_driver``'s."""
         tables = {}
         for n in GOLD_TABLES:
             df = spark.read.parquet(f"{root.rstrip('/')}/{n}")
             if PART_COL in df.columns and not keep_partition_column:
                 df = df.drop(PART_COL)
+            if n in FACT_KEYS and not keep_fact_keys:
+                df = df.drop(FACT_KEYS[n][0])
             tables[n] = df
         return cls(spark, tables=tables, **kw)
 
@@ -165,7 +180,7 @@ class GoldModel:
                     partition_facts: bool = True) -> DataFrame:
         """Gold load job: write every gold table as parquet under
         ``<root>/gold/<table>`` (overwrite = the reference's drop / create /
-        insert), dimensions with their dense surrogate keys; returns the
+        insert), dimensions and facts with their dense surrogate keys; returns the
         audit table (layer, table, rows, seconds, status).  Reload with
         ``GoldModel.from_tables(spark, f"{root}/gold")``.
 
@@ -183,13 +198,15 @@ class GoldModel:
                                     {n: (lambda df=df: df) for n, df in self.silver.items()}, root))
             written = {n: self.spark.read.parquet(layer_path(root, "silver", n)) for n in self.silver}
             model = GoldModel(self.spark, silver=written, calendar=self.calendar,
-                              attribution_opts={"stage": True, **self.attribution_opts})
+                              attribution_opts={"stage": True, "bucket": "range", **self.attribution_opts})
 
         def job(name):
             df = model.table(name)
             if with_keys and name in SURROGATE_KEYS:
                 key, order = SURROGATE_KEYS[name]
                 df = dims.with_dense_key(df, key, order)
+            if with_keys and name in FACT_KEYS:
+                df = dims.with_dense_key(df, FACT_KEYS[name][0])
             if partition_facts and name in FACT_MONTH:
                 df = df.withColumn(PART_COL, F.trunc(F.to_date(FACT_MONTH[name]), "MM"))
             return df

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import dims
-from .gold import SURROGATE_KEYS
+from ..operators.attribution import rank_by_range
+from .gold import FACT_KEYS, SURROGATE_KEYS
 from .registry import add
 
 # --- dimensions (DIM-01 … DIM-04) ---------------------------------------------
@@ -30,7 +31,35 @@ add("fct_04_fact_sessions", lambda g: g.fact_sessions, "SELECT * FROM fact_sessi
 add("fct_05_fact_touchpoints", lambda g: g.fact_touchpoints, "SELECT * FROM fact_touchpoints")
 add("fct_06_fact_purchases", lambda g: g.fact_purchases, "SELECT * FROM fact_purchases")
 
+# every fact's dense key over its whole order; rows that tie are equal
+for _fact, (_key, _order) in FACT_KEYS.items():
+    add(f"dim_05_{_fact}", lambda g, f=_fact, k=_key, o=_order: dims.with_dense_key(g.table(f), k, o),
+        f"SELECT ROW_NUMBER() OVER (ORDER BY {', '.join(f'{c} NULLS FIRST' for c in _order)}) AS {_key}, * FROM {_fact}")
+
+
+def _key_report(g):
+    """Each fact numbered as produced: keys run from 1 to the row count, each once."""
+    parts = [dims.with_dense_key(g.table(f), k).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min(k).alias("first_key"), F.max(k).alias("last_key"), F.countDistinct(k).alias("n_keys"))
+        .select(F.lit(f).alias("table_name"), "n_rows", "first_key", "last_key", "n_keys") for f, (k, _) in FACT_KEYS.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+add("dim_05_keys_as_produced", _key_report, " UNION ALL ".join(
+    f"SELECT '{f}' AS table_name, COUNT(*) AS n_rows, CASE WHEN COUNT(*) > 0 THEN 1 END AS first_key, NULLIF(COUNT(*), 0) AS last_key, COUNT(*) AS n_keys FROM {f}"
+    for f in FACT_KEYS))
+
 # --- journeys and attribution (ATT-01 … ATT-07) ----------------------------------
+add("att_02_touch_numbers",
+    lambda g: rank_by_range(g.silver["web_touchpoints"])[0].select("user_id", "touchpoint_time", "channel", "campaign_id", "interaction_type",
+                                                                   "touchpoint_number", F.col("_rank_kept").alias("number_kept")),
+    """SELECT user_id, touchpoint_time, channel, campaign_id, interaction_type, touchpoint_number,
+              CAST(SUM(CASE WHEN channel IS NOT NULL AND interaction_type IS NOT NULL THEN 1 ELSE 0 END) OVER (
+                PARTITION BY user_id ORDER BY touchpoint_number ROWS UNBOUNDED PRECEDING) AS INTEGER) AS number_kept
+       FROM numbered_touches""")
 add("att_03_fact_touchpath", lambda g: g.fact_touchpath, "SELECT * FROM fact_touchpath")
 add("att_04_path_length", lambda g: g.path_lengths,
     "SELECT purchase_id, CAST(count(*) AS INTEGER) AS touchpoints_in_path FROM fact_touchpath GROUP BY purchase_id")

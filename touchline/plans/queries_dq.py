@@ -2,7 +2,8 @@
 
 Row checks of a table (required values, ranges, accepted lists, date keys) are
 conditions of one aggregate; keys are one pre-aggregated group-by each; orphans
-group the column's values first, so a hot value is one row in the anti join.
+of all columns are found in one aggregate over every table's values, each table
+scanned once.
 Every query returns (check, table_name, violations) rows, or the listing the
 site asks for.
 """
@@ -114,12 +115,12 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _missing(g, child: str, cols: str, parent: str, parent_cols: str) -> DataFrame:
-    """Rows whose (set) values the parent lacks: values are counted first, then looked up."""
-    a, b = cols.split(", "), parent_cols.split(", ")
-    mine = _get(g, child).groupBy(*a).agg(F.count(F.lit(1)).alias("_n")).filter(reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in a]))
-    ref = _get(g, parent).select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(b)]).distinct()
-    return mine.join(ref, reduce(lambda x, y: x & y, [F.col(c) == F.col(f"_r{i}") for i, c in enumerate(a)]), "left_anti")
+def _absent(g, name: str, sites: list[tuple[str, str, str, str]]) -> DataFrame:
+    """All sites in one pass: every table that a site names is scanned once."""
+    found = dq.absent_values({t: _get(g, t) for s in sites for t in (s[0], s[2])}, [(t, c.split(", "), r, rc.split(", ")) for t, c, r, rc in sites])
+    # the sites are a fixed list; one without any value has no row in the aggregate
+    named = g.spark.createDataFrame([(i, f"{name}_{s[1]}", s[0]) for i, s in enumerate(sites)], "site int, `check` string, table_name string")
+    return F.broadcast(named).join(found, "site", "left").select("check", "table_name", F.coalesce("violations", F.lit(0)).alias("violations"))
 
 
 _TABLES = [t for t in dict.fromkeys([*REQUIRED, *DATED, *RANGES, *ACCEPTED])]
@@ -150,7 +151,7 @@ for _layer, _names in (("silver", [t for t in _TABLES if t in SILVER]), ("gold",
                                FROM (SELECT {k}, COUNT(*) AS n FROM {t} GROUP BY {k}) counted""" for t, k in _keys))
 
 for _name, _sites in (("dq_03_references", REFERENCES), ("dq_04_parents", PARENTS)):
-    add(_name, lambda g, n=_name, sites=_sites: _union([_count(_missing(g, *s), f"{n}_{s[1]}", s[0], F.col("_n")) for s in sites]),
+    add(_name, lambda g, n=_name, sites=_sites: _absent(g, n, sites),
         " UNION ALL ".join(f"""SELECT '{_name}_{c}' AS "check", '{t}' AS table_name, COUNT(*) AS violations FROM {t} WHERE """
                            + " AND ".join(f"{x} IS NOT NULL" for x in c.split(", ")) + f" AND ({c}) NOT IN (SELECT ({rc}) FROM {r} WHERE "
                            + " AND ".join(f"{x} IS NOT NULL" for x in rc.split(", ")) + ")" for t, c, r, rc in _sites))
@@ -159,6 +160,15 @@ add("dq_07_value_listing",
     lambda g: _union([_get(g, t).groupBy(F.col(c).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
                       .select(F.lit(f"{t}.{c}").alias("column_name"), "value", "n") for t, c in LISTED]),
     " UNION ALL ".join(f"SELECT '{t}.{c}' AS column_name, CAST({c} AS VARCHAR) AS value, COUNT(*) AS n FROM {t} GROUP BY {c}" for t, c in LISTED))
+#: DQ-13: tables of which a stable sample is shown, with the columns whose text is the same in either engine.
+SAMPLED = [("mrkt_campaigns", "campaign_id, campaign_name, channel, objective"), ("crm_channels", "channel_name, category"),
+           ("crm_purchases", "purchase_id, user_id, purchase_date, revenue, channel_last_touch"), ("mrkt_clicks", "click_id, user_id, channel, campaign_id"),
+           ("fact_touchpath", "user_id, purchase_id, touchpoint_number, channel, campaign_id, interaction_type"),
+           ("fact_attribution_last_touch", "user_id, purchase_id, last_touch_channel, revenue, purchase_date")]
+for _table, _cols in SAMPLED:
+    add(f"dq_13_sample_{_table}", lambda g, t=_table, c=_cols: dq.sample(_get(g, t).select(*c.split(", "))),
+        f"SELECT {_cols} FROM {_table} ORDER BY md5(concat_ws('|', " + ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '')" for c in _cols.split(", ")) + ")) LIMIT 10")
+
 add("dq_08_repeated_times",
     lambda g: _union([_count(dq.repeated_values(_get(g, t), c, n), f"dq_08_repeated_{c}", t) for t, c, n in REPEATED]),
     " UNION ALL ".join(f"""SELECT 'dq_08_repeated_{c}' AS "check", '{t}' AS table_name, COUNT(*) AS violations

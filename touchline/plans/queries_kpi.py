@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.dims import with_dense_key
 from ..operators.kpi import LABELS, KpiView, Measure, entity_out, kpi_view, movers, output_names
 from .registry import add
 
@@ -342,18 +343,18 @@ for _v in VIEWS:
                 lambda g, v=_v, by=by, best=best: movers(kpi_view(g, v), v, by, best),
                 _movers_sql(_v, by, best))
 
-# KPI-RPT: every view as an ordered report; order values and revenue per user only where there were any
+# KPI-RPT: every view as an ordered report that carries each row's place; order values and revenue per user
+# only where there were any.  The place is that of a range-partitioned sort (DIM-05), so the order is checked.
 for _v in VIEWS:
     _only = {"aov": "current_orders > 0", "arpu": "active_users > 0"}.get(_v.id.split("_")[0])
     _order = [*([entity_out(_v)] if _v.entity else []), "performance_year", "performance_month"]
 
     def _report(g, v=_v, only=_only, order=_order):
         out = kpi_view(g, v)
-        return (out.filter(only) if only else out).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+        return with_dense_key(out.filter(only) if only else out, "report_row", order)
 
-    _names = {"aov_2": ["kpi_rpt_aov_report"], "arpu_5": ["kpi_rpt_arpu_report"]}.get(_v.id, [])
-    for _name in [f"kpi_rpt_{_v.id}", *_names]:
-        add(_name, _report, f"SELECT * FROM ({_view_sql(_v)}) v" + (f" WHERE {_only}" if _only else ""))
+    add(f"kpi_rpt_{_v.id}", _report, f"""SELECT ROW_NUMBER() OVER (ORDER BY {', '.join(f'{c} NULLS FIRST' for c in _order)}) AS report_row, *
+        FROM ({_view_sql(_v)}) v""" + (f" WHERE {_only}" if _only else ""))
 
 
 # KPI-ALL: whole-period KPIs, one aggregate per source, combined as scalars

@@ -84,7 +84,7 @@ FROM lineitem""")
 add("cln_15_sessions_from_dirty_feed", _silver("web_sessions", lambda t: dirty.dirty_sessions(t.events)), f"""
 SELECT event_id AS session_id, user_id, CASE WHEN event_id % 13 <> 0 THEN date_trunc('second', ts) END AS session_start,
        {_case('event_id', dirty.DIRTY_DEVICES_CLEAN)} AS device, {_case('event_id', dirty.DIRTY_NAMES_CLEAN)} AS source_channel,
-       CASE WHEN event_id % 5 <> 0 THEN event_id % 15 + 1 END AS pages_viewed
+       CASE WHEN event_id % 5 <> 0 AND event_id % 11 <> 0 THEN event_id % 15 + 1 END AS pages_viewed
 FROM events""")
 add("cln_15_channels_from_dirty_feed", _silver("crm_channels", lambda t: dirty.dirty_channels(t.nation)),
     "SELECT n_name AS channel_name, 'Region ' || n_regionkey AS category FROM nation")
@@ -112,6 +112,43 @@ _RAW_SQL = f"""(SELECT CASE WHEN l_partkey % 50 = 0 THEN 'not_available'
                        CASE WHEN l_linenumber % 2 = 0 THEN CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) || 'USD'
                             ELSE '"' || replace(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR), '.', ',') || '"' END AS spend
                 FROM lineitem) r"""
+#: Columns of the silver feeds: those of whole seconds or days are compared as such text.
+PROFILED = {"mrkt_campaigns": "campaign_id, campaign_name, channel, start_date, end_date, objective", "crm_channels": "channel_name, category",
+            "crm_purchases": "purchase_id, user_id, purchase_date, revenue, channel_last_touch", "mrkt_ad_spend": "spend_date, channel, campaign_id, spend",
+            "crm_user_acquisitions": "user_id, acquisition_date, acquisition_channel, acquisition_campaign",
+            "mrkt_clicks": "click_id, user_id, channel, campaign_id, click_timestamp", "web_sessions": "session_id, user_id, session_start, device, source_channel, pages_viewed",
+            "web_touchpoints": "user_id, touchpoint_time, channel, campaign_id, interaction_type"}
+_TIMES = ("click_timestamp", "session_start", "touchpoint_time")
+
+
+def _profile_sql(columns, source):
+    text = lambda c: f"strftime({c}, '%Y-%m-%d %H:%M:%S')" if c in _TIMES and source in PROFILED else f"CAST({c} AS VARCHAR)"
+    kinds = " ".join(f"WHEN regexp_matches(value, '{p}') THEN '{k}'" for k, p in prf.PROFILE_CLASSES)
+    counts = ", ".join(f"COUNT(*) FILTER (kind = '{k}') AS {k}_rows" for k in ("null", "blank", *[k for k, _ in prf.PROFILE_CLASSES], "other"))
+    return f"""WITH cells AS ({' UNION ALL '.join(f"SELECT '{c}' AS column_name, {text(c)} AS value FROM {source}" for c in columns)}),
+    classed AS (SELECT *, CASE WHEN value IS NULL THEN 'null' WHEN trim(value) = '' THEN 'blank' {kinds} ELSE 'other' END AS kind,
+                       regexp_replace(regexp_replace(value, '[0-9]', '9', 'g'), '[A-Za-z]', 'A', 'g') AS shape FROM cells),
+    often AS (SELECT column_name, value, COUNT(*) AS n FROM cells WHERE value IS NOT NULL GROUP BY ALL),
+    shaped AS (SELECT column_name, shape, COUNT(*) AS n FROM classed WHERE shape IS NOT NULL GROUP BY ALL),
+    top_value AS (SELECT * FROM often QUALIFY ROW_NUMBER() OVER (PARTITION BY column_name ORDER BY n DESC, value) = 1),
+    top_shape AS (SELECT * FROM shaped QUALIFY ROW_NUMBER() OVER (PARTITION BY column_name ORDER BY n DESC, shape) = 1),
+    repeated AS (SELECT column_name, COUNT(*) FILTER (n > 1) AS k FROM often GROUP BY 1)
+    SELECT c.column_name, COUNT(*) AS rows, {counts}, COUNT(*) FILTER (trim(c.value) <> c.value) AS untrimmed_rows,
+           COUNT(DISTINCT c.value) AS distinct_values, COALESCE(ANY_VALUE(r.k), 0) AS repeated_values,
+           MIN(length(c.value)) AS shortest, MAX(length(c.value)) AS longest, COUNT(DISTINCT c.shape) AS shapes,
+           ANY_VALUE(s.shape) AS top_shape, ANY_VALUE(v.value) AS top_value, ANY_VALUE(v.n) AS top_rows
+    FROM classed c LEFT JOIN top_value v USING (column_name) LEFT JOIN top_shape s USING (column_name) LEFT JOIN repeated r USING (column_name)
+    GROUP BY c.column_name"""
+
+
+def _profiled(g, feed, columns):
+    text = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if c in _TIMES else F.col(c) for c in columns]
+    return prf.profile(g.silver[feed].select(*text))
+
+
+add("prf_profile_raw_ad_spend", lambda g: prf.profile(_RAW(g)), _profile_sql(["date", "channel", "campaign_id", "spend"], _RAW_SQL))
+for _feed, _cols in PROFILED.items():
+    add(f"prf_profile_{_feed}", lambda g, f=_feed, c=_cols.split(", "): _profiled(g, f, c), _profile_sql(_cols.split(", "), _feed))
 add("prf_01_row_count", lambda g: prf.row_count(_RAW(g)), "SELECT COUNT(*) AS row_count FROM lineitem")
 add("prf_02_true_duplicates", lambda g: prf.true_duplicates(_RAW(g)),
     f"""SELECT CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS duplicate_rows FROM (
@@ -153,9 +190,12 @@ add("prf_06_objective_status",
     "SELECT CASE WHEN s_suppkey % 4 IN (0, 2) THEN 'untrimmed' ELSE 'plain' END AS status, COUNT(*) AS n FROM supplier GROUP BY 1")
 add("prf_08_raw_ids_without_campaign",
     lambda g: prf.absent_from(_RAW(g).select(C.decimal_id("campaign_id").alias("campaign_id")), "campaign_id",
-                              g.dim_campaign.filter("campaign_id % 3 <> 0"), "campaign_id"),
+                              g.dim_campaign, "campaign_id"),
     """SELECT DISTINCT l_suppkey AS campaign_id FROM lineitem WHERE l_linenumber <> 7
-       AND l_suppkey NOT IN (SELECT campaign_id FROM dim_campaign WHERE campaign_id % 3 <> 0)""")
+       AND l_suppkey NOT IN (SELECT campaign_id FROM dim_campaign)""")
+add("prf_08_customers_without_purchase",
+    lambda g: prf.absent_from(g.driver.customer, "c_custkey", g.driver.orders, "o_custkey"),
+    "SELECT DISTINCT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
 add("prf_15_sentinel_pages_rows",
     lambda g: dirty.dirty_sessions(g.driver.events).filter(F.col("pages_viewed") == C.PAGES_SENTINEL).select("session_id", "pages_viewed"),
     "SELECT CAST(event_id AS VARCHAR) AS session_id, '-1.0' AS pages_viewed FROM events WHERE event_id % 5 = 0")

@@ -86,6 +86,8 @@ DIRTY_OBJECTIVES = [" AWARE reach", "conversions", "Traffic ", "Loyalty"]
 DIRTY_OBJECTIVES_CLEAN = ["Awareness", "Conversion", "Traffic", "Loyalty"]
 #: An id beyond 32 bits is this much larger than its row's own.
 WIDE_ID = 3_000_000_000
+#: A page count too wide for an integer.
+WIDE_PAGES = "99999999999.0"
 
 
 def _id_text(key):
@@ -128,7 +130,8 @@ def dirty_sessions(events: DataFrame) -> DataFrame:
         F.when(k % 13 == 0, "not_a_date").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("session_start"),
         _pick(k % len(DIRTY_DEVICES), DIRTY_DEVICES).alias("device"),
         _pick(k % len(DIRTY_NAMES), DIRTY_NAMES).alias("source_channel"),
-        F.when(k % 5 == 0, "-1.0").otherwise(F.concat((k % 15 + 1).cast("string"), F.lit(".0"))).alias("pages_viewed"))
+        F.when(k % 5 == 0, "-1.0").when(k % 11 == 0, WIDE_PAGES)
+        .otherwise(F.concat((k % 15 + 1).cast("string"), F.lit(".0"))).alias("pages_viewed"))
 
 
 def dirty_channels(nation: DataFrame) -> DataFrame:
