@@ -61,7 +61,7 @@ def test_buckets(spark):
                lambda c: C.bucket(c, C.DEVICE_BUCKETS)) == ["Mobile"] * 4 + ["Desktop", "Tablet", "tv"]
     assert one(spark, ["click", "clik", "clk", "impr", "impressions", "page_view"],
                lambda c: C.bucket(c, C.INTERACTION_BUCKETS)) == ["Click"] * 3 + ["Impression"] * 2 + ["View"]
-    assert one(spark, ["-1.0", "3.0", None], C.sentinel_int) == [None, 3, None]
+    assert one(spark, ["-1.0", "3.0", None, "99999999999.0", "x"], C.sentinel_int) == [None, 3, None, None, None]
 
 
 def test_campaign_rename_rules(spark):

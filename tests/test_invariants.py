@@ -93,3 +93,70 @@ def test_rank_plan_equals_window_plan(spark):
         for name in ref:
             a, b = ref[name], got[name].select(*ref[name].columns)
             assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, (name, kw)
+
+
+def test_range_ranks_of_a_hot_hour_equal_windows(spark):
+    """A user with a third of all touches, all in one hour: many tasks number them, as one window would."""
+    from pyspark.sql import Window
+    n = 30_000
+    t = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).cast("long").alias("user_id"),
+        F.timestamp_seconds(F.when(F.col("id") % 3 == 0, 1_000_000 + F.col("id") * 7919 % 3600).otherwise(F.col("id") * 1000)).alias("touchpoint_time"),
+        F.when(F.col("id") % 10 != 1, F.concat(F.lit("c"), F.col("id").cast("string"))).alias("channel"), F.col("id").alias("campaign_id"),
+        F.when(F.col("id") % 11 != 1, F.lit("View")).alias("interaction_type"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked, daily = attribution.rank_by_range(t)
+        order = [F.col(c).asc_nulls_first() for c in ("touchpoint_time", *attribution.TIE_BREAK)]
+        w = Window.partitionBy("user_id").orderBy(*order)
+        kept = F.col("channel").isNotNull() & F.col("interaction_type").isNotNull()
+        want = t.withColumn("touchpoint_number", F.row_number().over(w)).withColumn(
+            "_rank_kept", F.sum(kept.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("int"))
+        cols = ["user_id", "campaign_id", "touchpoint_number", "_rank_kept"]
+        got = ranked.select(*cols)
+        assert got.count() == n and got.exceptAll(want.select(*cols)).isEmpty()
+        # the hot user's rows stand in several range partitions, none of which holds them all
+        hot = t.filter("user_id = 7").count()
+        pieces = t.repartitionByRange("user_id", "touchpoint_time").filter("user_id = 7").groupBy(F.spark_partition_id()).count().collect()
+        assert len(pieces) > 1 and max(r["count"] for r in pieces) < hot
+        assert daily.agg(F.sum("_nk")).first()[0] == t.filter(kept).count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_keys_as_produced_are_dense(spark):
+    from touchline.operators.dims import with_dense_key
+    got = with_dense_key(spark.range(0, 10_000, 1, 7).filter("id % 3 <> 0"), "k").agg(F.count(F.lit(1)), F.countDistinct("k"), F.min("k"), F.max("k")).first()
+    assert tuple(got) == (6666, 6666, 1, 6666)
+    assert with_dense_key(spark.range(0), "k").collect() == []
+
+
+def test_absent_values_of_all_sites_in_one_pass(spark):
+    from touchline.operators.quality import absent_values
+    child = spark.createDataFrame([(1, "a", None), (1, "b", 2.5), (9, None, 2.5), (9, "c", 7.0)], "k long, s string, d double")
+    parent = spark.createDataFrame([(1, "a", 2.5), (2, "b", None)], "k long, s string, d double")
+    nothing = child.limit(0)
+    sites = [("child", ["k"], "parent", ["k"]), ("child", ["s"], "parent", ["s"]), ("child", ["k", "s"], "parent", ["k", "s"]),
+             ("child", ["d"], "parent", ["d"]), ("child", ["k"], "nothing", ["k"]), ("nothing", ["k"], "parent", ["k"]), ("child", ["k"], "child", ["k"])]
+    got = {r.site: r.violations for r in absent_values({"child": child, "parent": parent, "nothing": nothing}, sites).collect()}
+    assert got == {0: 2, 1: 1, 2: 2, 3: 1, 4: 4, 5: 0, 6: 0}
+
+
+def test_sample_is_stable(spark):
+    from touchline.operators.quality import sample
+    df = spark.range(5000).select("id", (F.col("id") % 7).alias("x"))
+    first = sorted(map(tuple, sample(df, 20).collect()))
+    assert first == sorted(map(tuple, sample(df.repartition(13), 20).collect())) and len(first) == 20
+    assert sample(df.limit(0)).collect() == []
+
+
+def test_profile_by_hand(spark):
+    from touchline.operators.profile import profile
+    df = spark.createDataFrame([("12", None), ("-3", " "), (" x", "2024-01-02"), ("12", "ab"), ("1.5", "ab"), (None, "cd")], "a string, b string")
+    got = {r.column_name: r for r in profile(df).collect()}
+    a, b = got["a"], got["b"]
+    assert (a.rows, a.null_rows, a.whole_rows, a.decimal_rows, a.other_rows, a.untrimmed_rows) == (6, 1, 3, 1, 1, 1)
+    assert (a.distinct_values, a.repeated_values, a.shortest, a.longest, a.top_value, a.top_rows, a.top_shape, a.shapes) == (4, 1, 2, 3, "12", 2, "99", 4)
+    assert (b.blank_rows, b.date_rows, b.word_rows, b.top_value, b.top_rows, b.top_shape) == (1, 1, 3, "ab", 2, "AA")
+    assert profile(df.limit(0)).collect() == []

@@ -4,6 +4,8 @@
 import os
 import tempfile
 
+import pytest
+
 from touchline.sources import bronze, feeds
 
 CAMPAIGNS = """campaign_id,campaign_name,channel,start_date,end_date,objective
@@ -122,3 +124,44 @@ def test_streaming_distinct_feed_across_batches(spark):
     stream_feed(spark, src, "mrkt_ad_spend", sink).awaitTermination(120)
     got = spark.read.parquet(sink).drop("dwh_create_date", "epoch", "event_day")
     assert got.count() == 3 and got.distinct().count() == 3
+
+
+def test_failing_load_leaves_its_audit(spark):
+    """Rows of the tables loaded before the failure and of the failure itself stay, over several runs."""
+    from touchline.sources.audit import read_audit
+    from touchline.sources.bronze import run_layer
+    root = tempfile.mkdtemp(prefix="tl-audit-")
+    good = {"a": lambda: spark.range(5), "b": lambda: spark.range(3)}
+
+    def broken():
+        raise ValueError("no such feed")
+
+    with pytest.raises(RuntimeError, match="silver.c failed"):
+        run_layer(spark, "silver", {**good, "c": broken, "d": good["a"]}, root)
+    rows = {(r.table, r.rows, r.status, r.error) for r in read_audit(spark, root).collect()}
+    assert rows == {("a", 5, "ok", None), ("b", 3, "ok", None), ("c", None, "failed", "no such feed")}
+    run_layer(spark, "silver", good, root)
+    again = read_audit(spark, root)
+    assert again.count() == 5 and again.select("run").distinct().count() == 2 and again.filter("ended is null").isEmpty()
+
+
+def test_layers_as_databases(spark):
+    from conftest import SF_SMALL
+    from touchline.plans.gold import FACT_KEYS, GOLD_TABLES, GoldModel
+    from touchline.sources import catalog
+    root = tempfile.mkdtemp(prefix="tl-catalog-")
+    g = GoldModel.from_driver(spark, SF_SMALL)
+    audit = {r.table: r.rows for r in g.materialize(root, catalog="tl").collect()}
+    tables = catalog.list_tables(spark, "tl_bronze", "tl_silver", "tl_gold", rows=True).collect()
+    assert {(r.table_schema, r.table_name) for r in tables} == {("tl_silver", n) for n in g.silver} | {("tl_gold", n) for n in GOLD_TABLES}
+    assert {r.table_name: r.n_rows for r in tables} == audit
+    columns = {(r.table_name, r.column_name) for r in catalog.list_columns(spark, "tl_gold").collect()}
+    assert {(f, k) for f, (k, _) in FACT_KEYS.items()} <= columns
+    for f, (k, _) in FACT_KEYS.items():  # every written fact carries keys 1..n
+        got = spark.table(f"tl_gold.{f}").selectExpr(f"count(*)", f"min({k})", f"max({k})", f"count(distinct {k})").first()
+        assert tuple(got) == (audit[f], 1, audit[f], audit[f])
+    plain = g.fact_attribution_linear
+    written = GoldModel.from_tables(spark, f"{root}/gold").fact_attribution_linear.select(*plain.columns)
+    assert written.exceptAll(plain).isEmpty() and plain.exceptAll(written).isEmpty()
+    for layer in ("bronze", "silver", "gold"):
+        spark.sql(f"DROP DATABASE tl_{layer} CASCADE")

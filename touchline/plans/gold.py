@@ -177,7 +177,7 @@ class GoldModel:
 
     # -- materialisation (SRC-03 / SRC-05) ------------------------------------
     def materialize(self, root: str, with_keys: bool = True, stage_silver: bool = True,
-                    partition_facts: bool = True) -> DataFrame:
+                    partition_facts: bool = True, catalog: str | None = None) -> DataFrame:
         """Gold load job: write every gold table as parquet under
         ``<root>/gold/<table>`` (overwrite = the reference's drop / create /
         insert), dimensions and facts with their dense surrogate keys; returns the
@@ -188,8 +188,11 @@ class GoldModel:
         (``<root>/silver/<feed>``) and gold is built from the written tables:
         each feed is computed once although several gold tables read it,
         and the written tables cut the lineage (a lost executor recomputes
-        from them, not from the raw sources)."""
+        from them, not from the raw sources).  ``catalog`` also registers what
+        was written, in the databases ``<catalog>_silver`` and
+        ``<catalog>_gold`` (SRC-06)."""
         from ..sources.bronze import layer_path, run_layer
+        from ..sources.catalog import create_layers, register_table
 
         audits = []
         model = self
@@ -213,6 +216,11 @@ class GoldModel:
 
         parts = {n: [PART_COL] for n in FACT_MONTH} if partition_facts else None
         audits.append(run_layer(self.spark, "gold", {n: (lambda n=n: job(n)) for n in GOLD_TABLES}, root, parts))
+        if catalog:
+            create_layers(self.spark, catalog, root)
+            for layer, names in (("silver", self.silver if stage_silver else ()), ("gold", GOLD_TABLES)):
+                for n in names:
+                    register_table(self.spark, f"{catalog}_{layer}", n, layer_path(root, layer, n))
         out = audits[0]
         for a in audits[1:]:
             out = out.unionByName(a)

@@ -45,7 +45,7 @@ def add(name: str, build: Callable[[GoldModel], DataFrame], sql: str | None = No
 
 def _load_all() -> None:
     # importing the modules registers their queries
-    from . import queries_core, queries_dq, queries_kpi, queries_mag, queries_more, queries_quality  # noqa: F401
+    from . import queries_core, queries_dq, queries_kpi, queries_mag, queries_more, queries_quality, queries_src  # noqa: F401
 
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,7 +6,8 @@
   The CSV reader is deliberately not used: with quoting off it drops
   surplus tokens instead of keeping them in the last field.
 * SRC-02/03 ``write_table``: full refresh (overwrite) of a parquet table.
-* SRC-04 ``load_table``: one audit row per table (rows, seconds, status); the
+* SRC-04 ``load_table``: one audit row per table (rows, seconds, status), kept
+  in the append-only table of ``audit.py``; the
   row count comes from an ``Observation`` collected while writing (no second
   pass over the data).
 * SRC-05 ``run_layer``: loads tables in a fixed order, raises with the table
@@ -18,12 +19,15 @@ from __future__ import annotations
 
 import re
 import time
+import uuid
 from dataclasses import dataclass
 from typing import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .audit import append_audit
+
 LAYERS = ("bronze", "silver", "gold")
 
 # Bronze feed layouts (column order of the landed files).
@@ -112,13 +116,17 @@ def load_table(layer: str, table: str, df: DataFrame, path: str,
 def run_layer(spark: SparkSession, layer: str, jobs: dict[str, Callable[[], DataFrame]], root: str,
               partitions: dict[str, list[str]] | None = None) -> DataFrame:
     """SRC-05: load every table of a layer in order; return the audit table.
-    A failure raises with the table name (after the audit rows so far)."""
-    audit: list[AuditRow] = []
+    Each load's row is appended to the durable audit (``audit.py``) as it ends.
+    A failure gets its row as well, then raises with the table name."""
+    run, audit = uuid.uuid4().hex, []
     for table, build in jobs.items():
+        t0 = time.perf_counter()
         try:
-            audit.append(load_table(layer, table, build(), layer_path(root, layer, table),
-                                    (partitions or {}).get(table)))
+            done = load_table(layer, table, build(), layer_path(root, layer, table), (partitions or {}).get(table))
+            audit.append(done)
+            append_audit(spark, root, run, layer, table, done.rows, done.seconds, done.status)
         except Exception as exc:  # re-raised with context, never swallowed
+            append_audit(spark, root, run, layer, table, None, round(time.perf_counter() - t0, 3), "failed", str(exc)[:1000])
             raise RuntimeError(f"loading {layer}.{table} failed after {len(audit)} tables: {exc}") from exc
     return spark.createDataFrame([a.__dict__ for a in audit],
                                  "layer string, table string, rows long, seconds double, status string")

@@ -4,16 +4,21 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
 
+def staging_path(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-{name}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once under the shared checkpoint folder and read back:
     later reads see the same rows in the same files, whatever the planner
     does, and a lost executor recomputes nothing before the table."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-{name}-{uuid.uuid4().hex}"
+    path = staging_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
