@@ -34,6 +34,8 @@ def register_table(spark: SparkSession, database: str, table: str, path: str) ->
     name = f"{_quoted(database)}.{_quoted(table)}"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
 
 
 def list_tables(spark: SparkSession, *databases: str, rows: bool = False) -> DataFrame:
