@@ -45,9 +45,9 @@ READ_IDS = 1 << 20
 _PUNCT = ".,!?;:%&*$#-|()"
 #: Control characters that Python's split() takes for blanks and the tokenizer does not.
 _CONTROL = re.compile("[\x1c-\x1f]")
-TABLE_ENTRIES, WORD_CHARS = 600_000, 64
+TABLE_ENTRIES, CORE_ENTRIES, WORD_CHARS = 600_000, 1_000_000, 64
 #: Words of letters that are encoded as one text, and characters of texts encoded at once.
-JOINED, RUN_CHARS = 256, 4 << 20
+JOINED, RUN_CHARS = 256, 1 << 18
 
 
 class EliasFano:
@@ -196,8 +196,11 @@ class WordTable:
         known = dict(zip(distinct, map(self.words.get, distinct)))
         found = self._learn([w for w, ids in known.items() if ids is None])
         known.update(found)
-        if len(self.words) + len(found) > TABLE_ENTRIES or len(self.cores) > TABLE_ENTRIES:
-            self.words, self.cores = {}, {}
+        # letters are what costs: their table outlasts that of the words they stand in
+        if len(self.words) + len(found) > TABLE_ENTRIES:
+            self.words = {}
+        if len(self.cores) > CORE_ENTRIES:
+            self.cores = {}
         self.words.update((w, ids) for w, ids in found.items() if len(w) <= WORD_CHARS)
         get = known.__getitem__
         return [b"".join(map(get, c)) if c is not None else self._encode([t])[0] for t, c in zip(texts, cut)]
