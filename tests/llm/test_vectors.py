@@ -73,3 +73,15 @@ def test_components(spark):
     assert all(out[i] == 0 for i in range(41)) and all(out[100 + i] == 100 for i in range(30))
     assert out[203] == out[205] == out[209] == 100
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_negative_ids_and_rows_without_id(spark):
+    """Components take the smallest id of a row, whatever its sign; rows without an id name none."""
+    a, b = [1.0, 0.0, 0.1], [0.0, 1.0, 0.0]
+    rows = [(-5, a, "x"), (-3, [1.0, 0.01, 0.1], "x"), (-9, [1.0, 0.02, 0.1], "x"), (4, b, "x"), (0, [0.0, 1.0, 0.05], "x"), (-1, b, "y"),
+            (-2 ** 63, [0.3, 0.3, 0.3], "y"), (2 ** 63 - 1, [0.3, 0.3, 0.31], "y")]
+    schema = "vec_id long, embedding array<double>, label string"
+    assert got(spark.createDataFrame(rows, schema)) == brute(rows)
+    lost = [(None, [0.5, 0.0, 0.5], "z"), (None, [0.5, 0.0, 0.51], "z"), (-7, [0.5, 0.0, 0.52], "z"), (None, [0.0, 0.5, 0.0], "w"), (None, [0.0, 0.5, 0.01], "w")]
+    found = vectors.near_duplicates(spark.createDataFrame(lost, schema)).collect()
+    assert sorted(map(tuple, found), key=repr) == sorted([(None, 2, -7, True), (None, 2, -7, True), (-7, 2, -7, True), (None, 1, None, True), (None, 1, None, True)], key=repr)

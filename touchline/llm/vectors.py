@@ -63,13 +63,16 @@ def near_duplicates(table: DataFrame, cosine: float = COSINE, id_col: str = "vec
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"),
                            F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     counts = links.groupBy("rep").agg(F.sum("links").alias("links"))
-    nodes = (distinct.select("key", "rep", "copies").join(counts, "rep", "left")
+    nodes = (distinct.select("key", "rep", "least", "copies").join(counts, "rep", "left")
              .join(graph.components(edges), F.col("rep") == F.col("node"), "left")
-             .select("key", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"),
+             .select("key", "least", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"),
                      F.coalesce("component", "rep").alias("component")))
+    # a component is named by its smallest id of a row; a stand-in, whatever its number, names none
+    names = nodes.groupBy("component").agg(F.min("least").alias("named"))
+    nodes = nodes.join(names, "component").select("key", "n_links", "named")
     # rows without a key would all meet under null: they stay apart by a key of their own
     joined = rows.select("id", F.coalesce("key", F.concat(F.lit("-"), F.xxhash64("id").cast("string"))).alias("key")).join(nodes, "key", "left")
-    component = F.when(F.col("component") < 0, F.col("id")).otherwise(F.coalesce("component", "id"))
+    component = F.coalesce("named", "id")
     return joined.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
                          component.alias("component_id"),
                          F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
