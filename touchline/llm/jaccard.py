@@ -10,8 +10,8 @@ A document's set is its distinct word shingles (64-bit hashes of them).
    can have no partner; the others keep their shared shingles, rarest first.
 2. Equal sets become one representative.
 3. Prefixes (the rarest shingles that any partner must touch) are indexed by
-   shingle and band of set size, so that sets too unlike in size never meet, not
-   even as members of components.  Candidates pass a length and a positional filter, are made
+   shingle; components meet by shingle and band of set size, so that sets too
+   unlike in size never meet.  Candidates pass a length and a positional filter, are made
    distinct, and are verified once, after a suffix filter that bounds the
    overlap by hash ranges.
 4. For components, each document is first verified against one hub (of those
@@ -263,10 +263,20 @@ class Join:
         """An upper bound of the overlap of (n, n2) leaves the pair possible."""
         return overlap * (100 + self.percent) >= self.percent * (F.col("n") + F.col("n2"))
 
-    def _band(self, n):
-        """Lengths by powers: a set links with sets of its own band or the next ones that ``100 n / percent`` reaches.
-        Any rounding keeps that, as the band never falls with the length."""
-        return F.floor(F.log(n.cast("double")) * BANDS).cast("int")
+    def _across(self, live: DataFrame, small: DataFrame) -> DataFrame:
+        """(h, part, part2): components that share a prefix shingle and hold sets there of lengths that may
+        link.  They meet in the bands of those lengths, each pair in the first band of both only.
+        Rounding loses none, as a band never falls with the length."""
+        band = lambda n: F.floor(F.log(n.cast("double")) * BANDS).cast("int")
+        one = (live.groupBy("h", "part").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+               .withColumn("first_band", band(F.col("low"))).withColumn("band", F.explode(F.sequence("first_band", band(F.col("high"))))))
+        two = (small.groupBy("h", "part2").agg(F.min("n2").alias("low2"), F.max("n2").alias("high2"))
+               .withColumn("first_band2", band(F.col("low2")))
+               .withColumn("band2", F.explode(F.sequence("first_band2", band(F.col("high2") * 100 / self.percent)))).withColumnRenamed("h", "h2"))
+        may = (F.col("low2") <= F.col("high")) & (100 * F.col("high2") >= self.percent * F.col("low"))
+        return (one.join(two, (F.col("h") == F.col("h2")) & (F.col("band") == F.col("band2")) & (F.col("part") != F.col("part2"))
+                         & (F.col("band") == F.greatest("first_band", "first_band2")) & may)
+                .select("h", "part", "part2"))
 
     def _bounds(self):
         """The length filter, the positional filter, and that shingles of one's own are never shared."""
@@ -296,17 +306,16 @@ class Join:
             index = (self.index.join(component, F.col("id") == F.col("node"), "left").join(hubs, "id", "left")
                      .withColumn("part", F.coalesce("component", "id")).drop("node", "component"))
         mixed = index.groupBy("h").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("h")
-        live = store(index.join(mixed, "h").withColumn("band", self._band(F.col("n"))), "live-prefixes")
-        # the smaller of two meets the larger by its shorter prefix, and in the bands of the lengths it may link to only
-        reach = F.explode(F.sequence(F.col("band"), self._band(F.col("n") * 100 / self.percent)))
-        small = live.filter("first").select("h", reach.alias("band"), *[F.col(c).alias(f"{c}2") for c in ("part", "id", "n", "alone", "pos", "hub", "common")])
-        across = (live.select("h", "band", "part").distinct().join(small.select("h", "band", "part2").distinct(), ["h", "band"]).filter("part <> part2"))
+        live = store(index.join(mixed, "h"), "live-prefixes")
+        # the smaller of two meets the larger by its shorter prefix
+        small = live.filter("first").select("h", *[F.col(c).alias(f"{c}2") for c in ("part", "id", "n", "alone", "pos", "hub", "common")])
+        across = self._across(live, small)
         inside = F.least("common", "common2")
         outside = F.least(F.col("n") - F.col("common") - F.col("alone"), F.col("n2") - F.col("common2") - F.col("alone2"))
         by_hub = F.coalesce((F.col("hub") != F.col("hub2")) | self._enough(inside + outside), F.lit(True))
         seen = F.coalesce(F.col("hub") == F.col("id2"), F.lit(False)) | F.coalesce(F.col("hub2") == F.col("id"), F.lit(False))
         smaller = (F.col("n2") < F.col("n")) | ((F.col("n2") == F.col("n")) & (F.col("id2") < F.col("id")))
-        met = across.join(live, ["h", "band", "part"]).join(small, ["h", "band", "part2"]).filter(smaller & self._bounds() & by_hub & ~seen)
+        met = across.join(live, ["h", "part"]).join(small, ["h", "part2"]).filter(smaller & self._bounds() & by_hub & ~seen)
         return met.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
 
     def verify(self, pairs: DataFrame, name: str = "links", every: bool = False) -> DataFrame:
