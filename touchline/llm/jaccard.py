@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from . import graph
 from .bytewords import buffers, mix, pieces, word_hashes
-from .shared import fresh, partitions, python_tasks, store
+from .shared import fresh, partitions, python_tasks, release, store
 
 SIZE, PERCENT = 5, 75
 #: Bands of set sizes that meet, for each power of e.
@@ -221,6 +221,7 @@ def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 some = b.slice(at, BATCH_ROWS)
                 yield _pack(some.column(0), some.column(1), number, buckets, size)
                 number += 1
+        release()
 
     packed = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(pack, _PACKED)
     answered = packed.groupBy("bucket").applyInArrow(_answer, "batch long, own boolean, a binary, b binary, c binary, d binary, e binary, f binary")

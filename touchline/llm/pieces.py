@@ -29,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import python_tasks, store
+from .shared import python_tasks, release, store
 
 MARK = "▁"
 #: Entries after which a worker's table starts anew, and characters up to which a chunk is kept.
 TABLE_ENTRIES, CHUNK_CHARS = 120_000, 64
+#: Characters of texts cut at once: their chunks stay in the processor's cache, and few at a time in memory.
+RUN_CHARS = 1 << 19
 _CHUNK = re.compile(" +[^ ]*")
 _workers: dict = {}
 
@@ -122,7 +124,7 @@ class ChunkTable:
             self._forget(long)
 
 
-def _runs(texts: list[str], size: int = 4 << 20) -> Iterator[list[str]]:
+def _runs(texts: list[str], size: int = RUN_CHARS) -> Iterator[list[str]]:
     """Runs of texts of about ``size`` characters, so that a run's chunks stay small."""
     run, n = [], 0
     for t in texts:
@@ -229,6 +231,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
             if texts:
                 out["decoded"] = pa.array(decoded, pa.string())
             yield pa.record_batch(list(out.values()), list(out))
+        release()
 
     schema = f"__id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids + ", decoded string" * texts
     return rows.mapInArrow(run, schema).withColumnRenamed("__id", id_col)

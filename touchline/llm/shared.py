@@ -59,6 +59,14 @@ def python_tasks(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
 
 
+def release() -> None:
+    """Give the memory of passed batches back to the system: Python workers outlive their tasks, and
+    what each stage has left in them would add up."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores added until ``df`` has no such column."""
     taken = {c.lower() for c in df.columns}
