@@ -348,6 +348,8 @@ for _v in VIEWS:
 for _v in VIEWS:
     _only = {"aov": "current_orders > 0", "arpu": "active_users > 0"}.get(_v.id.split("_")[0])
     _order = [*([entity_out(_v)] if _v.entity else []), "performance_year", "performance_month"]
+    if _v.entity and _v.b is not None and _v.how == "full":  # rows of the other side have no entity: their amounts tell them apart
+        _order += [m.alias for m in (_v.a, _v.b)]
 
     def _report(g, v=_v, only=_only, order=_order):
         out = kpi_view(g, v)
