@@ -224,6 +224,20 @@ def test_jaccard_components(spark, docs, nothing):
     assert rows(jaccard.components(df)) == brute_components(texts)
 
 
+def test_jaccard_group_without_a_middle(spark):
+    """Copies with one to six words replaced, none as the first text: links of some, many that just miss."""
+    rng, words, texts = random.Random(7), [f"w{i}" for i in range(150)], []
+    for i in range(90):
+        copy = list(words)
+        for at in rng.sample(range(150), rng.randint(1, 6)):
+            copy[at] = f"v{rng.randint(0, 10**6)}"
+        texts.append((i, " ".join(copy[:rng.choice([150, 150, 130])])))
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    expected = brute_components(texts)
+    assert rows(jaccard.components(df)) == expected
+    assert len({r[2] for r in expected}) > 5
+
+
 def test_jaccard_pairs(spark):
     texts = near_copies(12, 6, 2)
     j = jaccard.Join(spark.createDataFrame(texts, "doc_id long, text string"))

@@ -10,17 +10,22 @@ A document's set is its distinct word shingles (64-bit hashes of them).
    can have no partner; the others keep their shared shingles, rarest first.
 2. Equal sets become one representative.
 3. Prefixes (the rarest shingles that any partner must touch) are indexed by
-   shingle; components meet by shingle and band of set size, so that sets too
-   unlike in size never meet.  Candidates pass a length and a positional filter, are made
-   distinct, and are verified once, after a suffix filter that bounds the
-   overlap by hash ranges.
+   shingle, each entry with the size of the largest partner that can have this
+   shingle as the first in common: the length and the positional filter in one
+   number.  Components meet by shingle and band of set size, so that sets too
+   unlike in size never meet.  Candidates are made distinct, and are verified
+   once, after a suffix filter that bounds the overlap by hash ranges.
 4. For components, each document is first verified against one hub (of those
    that share its prefix shingles, each the document with the fewest shingles
    of its own): groups of near copies fall into one component after that, and
-   only pairs whose components still differ are candidates.  The overlaps
-   with a common hub bound the overlap of two, which settles nearly all pairs
-   of a component with documents that just miss it.  No link between
-   components is lost, and a group of m near copies costs m checks, not m * m.
+   only pairs whose components still differ are candidates.  Where the hub is
+   itself far from the middle of its group, many components are left of one
+   group, so ``WAVES`` waves follow: each document is verified against a random
+   one, of another component, that shares its prefix shingles.  The overlaps
+   with a common hub bound the overlap of two.  No link between components is
+   lost, as the join itself comes after the waves; a group of m near copies
+   costs m checks a wave, and the k documents that just miss it k * m
+   comparisons for each shared prefix shingle, not (m + k) ** 2.
 
 Defined results: a null or wordless text has the empty set, links with
 nothing; fewer than ``size`` words are one shingle; a null id gets its set's
@@ -46,6 +51,8 @@ from .shared import fresh, partitions, python_tasks, release, store
 SIZE, PERCENT = 5, 75
 #: Bands of set sizes that meet, for each power of e.
 BANDS = 8.0
+#: Waves of checks against random documents before components are joined.
+WAVES = 2
 #: Hash buckets for each shuffle partition; rows of one packed batch (their numbers are 16 bits).
 BUCKETS_PER_PARTITION, BATCH_ROWS = 4, 50_000
 _PACKED = "bucket int, batch long, own boolean, a binary, b binary, c binary, d binary, e binary, f binary"
@@ -243,48 +250,42 @@ class Join:
         self.index = store(self._index(), "prefixes")
 
     def _index(self) -> DataFrame:
-        """(h, id, n, alone, pos, first) of the prefix shingles of each representative.  ``first``:
-        the shingle is in the shorter prefix that any partner of the same size or larger must touch."""
+        """(h, id, n, alone, up) of the prefix shingles of each representative.  ``up``: the largest set
+        that can link if this shingle is the first in common, as what comes before it is not shared."""
         percent = self.percent
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 rows = []
                 for i, n, alone, shared in zip(*[c.to_pylist() for c in b.columns]):
-                    any_size, larger = -(-percent * n // 100), -(-2 * percent * n // (100 + percent))
-                    h = np.frombuffer(shared, np.int64)[:n - any_size + 1 - alone]
-                    pos = alone + np.arange(len(h))
-                    rows.append((h, np.full(len(h), i), np.full(len(h), n), np.full(len(h), alone), pos, pos < n - larger + 1))
+                    h = np.frombuffer(shared, np.int64)[:n - -(-percent * n // 100) + 1 - alone]
+                    rest = n - alone - np.arange(len(h))
+                    up = np.minimum(100 * n // percent, ((100 + percent) * rest - percent * n) // percent)
+                    rows.append((h, np.full(len(h), i), np.full(len(h), n), np.full(len(h), alone), up))
                 if rows:
-                    yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*rows)], ["h", "id", "n", "alone", "pos", "first"])
+                    yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*rows)], ["h", "id", "n", "alone", "up"])
 
-        return self.reps.mapInArrow(run, "h long, id long, n long, alone long, pos long, first boolean")
+        return self.reps.mapInArrow(run, "h long, id long, n long, alone long, up long")
 
     def _enough(self, overlap):
         """An upper bound of the overlap of (n, n2) leaves the pair possible."""
         return overlap * (100 + self.percent) >= self.percent * (F.col("n") + F.col("n2"))
 
     def _across(self, live: DataFrame, small: DataFrame) -> DataFrame:
-        """(h, part, part2): components that share a prefix shingle and hold sets there of lengths that may
-        link.  They meet in the bands of those lengths, each pair in the first band of both only.
-        Rounding loses none, as a band never falls with the length."""
+        """(h, part, part2, low2, top2): components that share a prefix shingle and hold sets there of
+        lengths that may link, and the lengths that sets of the second may link with.  They meet in
+        the bands of those lengths, each pair in the first band of both only.  Rounding loses none,
+        as a band never falls with the length."""
         band = lambda n: F.floor(F.log(n.cast("double")) * BANDS).cast("int")
-        one = (live.groupBy("h", "part").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+        one = (live.groupBy("h", "part").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("up").alias("top"))
                .withColumn("first_band", band(F.col("low"))).withColumn("band", F.explode(F.sequence("first_band", band(F.col("high"))))))
-        two = (small.groupBy("h", "part2").agg(F.min("n2").alias("low2"), F.max("n2").alias("high2"))
+        two = (small.groupBy("h", "part2").agg(F.min("n2").alias("low2"), F.max("up2").alias("top2"))
                .withColumn("first_band2", band(F.col("low2")))
-               .withColumn("band2", F.explode(F.sequence("first_band2", band(F.col("high2") * 100 / self.percent)))).withColumnRenamed("h", "h2"))
-        may = (F.col("low2") <= F.col("high")) & (100 * F.col("high2") >= self.percent * F.col("low"))
+               .withColumn("band2", F.explode(F.sequence("first_band2", band(F.col("top2"))))).withColumnRenamed("h", "h2"))
+        may = (F.col("low2") <= F.least("high", "top")) & (F.col("low") <= F.col("top2"))
         return (one.join(two, (F.col("h") == F.col("h2")) & (F.col("band") == F.col("band2")) & (F.col("part") != F.col("part2"))
                          & (F.col("band") == F.greatest("first_band", "first_band2")) & may)
-                .select("h", "part", "part2"))
-
-    def _bounds(self):
-        """The length filter, the positional filter, and that shingles of one's own are never shared."""
-        length = 100 * F.least("n", "n2") >= self.percent * F.greatest("n", "n2")
-        rest = F.least(F.col("n") - 1 - F.col("pos"), F.col("n2") - 1 - F.col("pos2"))
-        shared = F.least(F.col("n") - F.col("alone"), F.col("n2") - F.col("alone2"))
-        return length & self._enough(F.least("pos", "pos2") + 1 + rest) & self._enough(shared)
+                .select("h", "part", "part2", "low2", "top2"))
 
     def hubs(self) -> DataFrame:
         """The stored (id, hub): each representative with one hub, that of most of its prefix shingles."""
@@ -297,26 +298,45 @@ class Join:
                 .groupBy("id").agg(F.max(F.struct("times", -F.col("alone2"), "id2")).alias("best")))
         return store(best.select("id", F.col("best.id2").alias("hub")), "hubs")
 
+    def _live(self, component: DataFrame) -> DataFrame:
+        """The index with each entry's component (``part``), where a shingle has entries of several."""
+        index = self.index.join(component, F.col("id") == F.col("node"), "left").withColumn("part", F.coalesce("component", "id")).drop("node", "component")
+        mixed = index.groupBy("h").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("h")
+        return index.join(mixed, "h")
+
+    def wave(self, component: DataFrame, number: int) -> DataFrame:
+        """(a, b): each representative with a random one of another component, that of most of its
+        prefix shingles among those drawn for each shingle, if the two may link."""
+        live = store(self._live(component), "live-prefixes")
+        drawn = (live.groupBy("h").agg(F.min(F.struct(F.xxhash64("id", F.lit(number)).alias("draw"), "id", "part", "n", "up")).alias("hub"))
+                 .select("h", *[F.col(f"hub.{c}").alias(f"{c}2") for c in ("draw", "id", "part", "n", "up")]))
+        met = live.join(drawn, "h").filter((F.col("part") != F.col("part2")) & (F.greatest("n", "n2") <= F.least("up", "up2")))
+        best = (met.groupBy("id", "id2").agg(F.count(F.lit(1)).alias("times"), F.min("draw2").alias("draw"))
+                .groupBy("id").agg(F.max(F.struct("times", "draw", "id2")).alias("best")))
+        return best.select(F.least("id", "best.id2").alias("a"), F.greatest("id", "best.id2").alias("b")).distinct()
+
     def cross_pairs(self, component: DataFrame | None = None, hubs: DataFrame | None = None) -> DataFrame:
         """(a, b): all pairs that share a prefix shingle and pass the filters.  Given (node,
         component), only pairs across components; given (id, hub, common), the overlaps of
         representatives with their hub bound that of two with the same hub: what both share inside
         the hub, and what both have outside it that is not their own."""
-        index = self.index.withColumns({"part": F.col("id"), "hub": F.lit(None).cast("long"), "common": F.lit(0).cast("long")})
         if component is not None:
-            index = (self.index.join(component, F.col("id") == F.col("node"), "left").join(hubs, "id", "left")
-                     .withColumn("part", F.coalesce("component", "id")).drop("node", "component"))
-        mixed = index.groupBy("h").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("h")
-        live = store(index.join(mixed, "h"), "live-prefixes")
-        # the smaller of two meets the larger by its shorter prefix
-        small = live.filter("first").select("h", *[F.col(c).alias(f"{c}2") for c in ("part", "id", "n", "alone", "pos", "hub", "common")])
+            index = self._live(component).join(hubs, "id", "left")
+        else:
+            index = self.index.withColumns({"part": F.col("id"), "hub": F.lit(None).cast("long"), "common": F.lit(0).cast("long")})
+        live = store(index, "live-prefixes")
+        # the smaller of two must be able to link with one of its own size or larger
+        small = live.filter("up >= n").select("h", *[F.col(c).alias(f"{c}2") for c in ("part", "id", "n", "alone", "up", "hub", "common")])
         across = self._across(live, small)
         inside = F.least("common", "common2")
         outside = F.least(F.col("n") - F.col("common") - F.col("alone"), F.col("n2") - F.col("common2") - F.col("alone2"))
         by_hub = F.coalesce((F.col("hub") != F.col("hub2")) | self._enough(inside + outside), F.lit(True))
         seen = F.coalesce(F.col("hub") == F.col("id2"), F.lit(False)) | F.coalesce(F.col("hub2") == F.col("id"), F.lit(False))
         smaller = (F.col("n2") < F.col("n")) | ((F.col("n2") == F.col("n")) & (F.col("id2") < F.col("id")))
-        met = across.join(live, ["h", "part"]).join(small, ["h", "part2"]).filter(smaller & self._bounds() & by_hub & ~seen)
+        within = F.col("n").between(F.col("low2"), F.col("top2")) & (F.col("up") >= F.col("low2"))
+        lengths = (F.col("n") <= F.col("up2")) & (F.col("n2") <= F.col("up"))
+        met = (across.join(live, ["h", "part"]).filter(within).drop("low2", "top2")
+               .join(small, ["h", "part2"]).filter(smaller & lengths & by_hub & ~seen))
         return met.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
 
     def verify(self, pairs: DataFrame, name: str = "links", every: bool = False) -> DataFrame:
@@ -359,6 +379,9 @@ class Join:
         checked = self.verify(named.select("a", "b").distinct(), "hub-links", every=True)
         near = checked.filter("linked").select("a", "b")
         found = store(graph.components(near), "hub-components")
+        for number in range(WAVES):
+            near = near.unionByName(self.verify(self.wave(found, number), f"wave-{number}").select("a", "b"))
+            found = store(graph.components(near), "wave-components")
         common = store(named.join(checked, ["a", "b"]).select("id", "hub", F.col("overlap").alias("common")), "hub-overlaps")
         far = self.verify(self.cross_pairs(found, common)).select("a", "b")
         part = store(graph.components(near.unionByName(far)), "components")
@@ -372,7 +395,7 @@ class Join:
         return apart.unionByName(keyed).unionByName(other)
 
 
-def _suffix_bound(x: np.ndarray, y: np.ndarray, ranges: int = 16) -> int:
+def _suffix_bound(x: np.ndarray, y: np.ndarray, ranges: int = 64) -> int:
     """The overlap is at most the sum over hash ranges of the lesser count."""
     shift = np.uint64(64 - ranges.bit_length() + 1)
     return int(np.minimum(np.bincount((x >> shift).astype(np.int64), minlength=ranges), np.bincount((y >> shift).astype(np.int64), minlength=ranges)).sum())
