@@ -12,20 +12,20 @@ A document's set is its distinct word shingles (64-bit hashes of them).
 3. Prefixes (the rarest shingles that any partner must touch) are indexed by
    shingle, each entry with the size of the largest partner that can have this
    shingle as the first in common: the length and the positional filter in one
-   number.  Components meet by shingle and band of set size, so that sets too
-   unlike in size never meet.  Candidates are made distinct, and are verified
-   once, after a suffix filter that bounds the overlap by hash ranges.
-4. For components, each document is first verified against one hub (of those
-   that share its prefix shingles, each the document with the fewest shingles
-   of its own): groups of near copies fall into one component after that, and
-   only pairs whose components still differ are candidates.  Where the hub is
-   itself far from the middle of its group, many components are left of one
-   group, so ``WAVES`` waves follow: each document is verified against a random
-   one, of another component, that shares its prefix shingles.  The overlaps
-   with a common hub bound the overlap of two.  No link between components is
-   lost, as the join itself comes after the waves; a group of m near copies
-   costs m checks a wave, and the k documents that just miss it k * m
-   comparisons for each shared prefix shingle, not (m + k) ** 2.
+   number; and with the set's marks, the parity of its shingles in each of 512
+   hash ranges.  Two sets differ by at least as many shingles as their marks by
+   bits: a suffix filter that runs inside the join, in codegen.
+4. For components, ``WAVES`` waves come first: each document is verified against
+   the most alike, by marks, of those drawn for its prefix shingles (in the
+   first wave the document with the fewest shingles of its own, then random
+   ones of other components).  Groups of near copies fall into one component.
+5. Then the join: components meet by shingle and band of set size, so that sets
+   too unlike in size never meet, and only where they differ; of two that meet
+   the one with fewer sets at the shingle is opened first.  Candidates are made
+   distinct and verified once, after a suffix filter by exact counts of 64 hash
+   ranges.  No link between components is lost, as the join comes after the
+   waves.  k documents that just miss a group of m near copies cost k * m
+   comparisons for each shared prefix shingle, but rows only where marks pass.
 
 Defined results: a null or wordless text has the empty set, links with
 nothing; fewer than ``size`` words are one shingle; a null id gets its set's
@@ -51,12 +51,14 @@ from .shared import fresh, partitions, python_tasks, release, store
 SIZE, PERCENT = 5, 75
 #: Bands of set sizes that meet, for each power of e.
 BANDS = 8.0
-#: Waves of checks against random documents before components are joined.
+#: Waves of checks, each document against one, before components are joined.
 WAVES = 2
 #: Hash buckets for each shuffle partition; rows of one packed batch (their numbers are 16 bits).
 BUCKETS_PER_PARTITION, BATCH_ROWS = 4, 50_000
 _PACKED = "bucket int, batch long, own boolean, a binary, b binary, c binary, d binary, e binary, f binary"
-_SETS = "id long, n int, alone int, shared binary, sig binary"
+#: Longs of a set's marks, whose bits hold the parity of its shared shingles by hash range.
+MARKS = [f"m{k}" for k in range(8)]
+_SETS = "id long, n int, alone int, shared binary, sig binary, " + ", ".join(f"{m} long" for m in MARKS)
 
 
 def shingles(column: pa.Array, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
@@ -203,14 +205,21 @@ def _assemble(percent: int):
             shared = h[a:z].tobytes() if can else None
             # only a set without a shingle of its own can equal another
             sig = hashlib.md5(np.sort(h[a:z]).tobytes()).digest() if can and z - a == n[i] else None
-            out.append((None if null[i] else int(ids[i]), int(n[i]), int(n[i] - (z - a)), shared, sig))
-        columns = list(zip(*out)) if out else [[]] * 5
-        types = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-        return pa.table({name: pa.array(c, t) for name, c, t in zip(("id", "n", "alone", "shared", "sig"), columns, types)})
+            out.append((None if null[i] else int(ids[i]), int(n[i]), int(n[i] - (z - a)), shared, sig, *(_marks(h[a:z]) if can else [None] * len(MARKS))))
+        columns = list(zip(*out)) if out else [[]] * (5 + len(MARKS))
+        types = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), *[pa.int64()] * len(MARKS))
+        return pa.table({name: pa.array(c, t) for name, c, t in zip(("id", "n", "alone", "shared", "sig", *MARKS), columns, types)})
 
     return run
 
 
+def _marks(h: np.ndarray) -> list[int]:
+    """The parities of the shingles of each of 64 * len(MARKS) hash ranges: two sets differ by at least
+    as many shingles as their marks differ by bits."""
+    odd = np.bincount((h >> np.uint64(32)) % np.uint64(64 * len(MARKS)), minlength=64 * len(MARKS)).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64).tolist()
+
+
 def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """The stored (id, n, alone, shared, sig) of every row: set size, shingles of its own, and for
     rows that can have partners the packed shared shingles in ascending (frequency, hash) order;
@@ -245,102 +254,91 @@ class Join:
         #: (sig, rep, copies) of equal sets without a shingle of their own
         self.copies = store(able.filter("sig is not null").groupBy("sig").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")), "copies")
         firsts = able.filter("sig is not null").join(self.copies.select("sig", F.col("rep").alias("id")), ["sig", "id"]).dropDuplicates(["sig"])
-        columns = ["id", "n", "alone", "shared"]
+        columns = ["id", "n", "alone", "shared", *MARKS]
         self.reps = store(able.filter("sig is null").select(columns).unionByName(firsts.select(columns)), "representatives")
         self.index = store(self._index(), "prefixes")
 
     def _index(self) -> DataFrame:
-        """(h, id, n, alone, up) of the prefix shingles of each representative.  ``up``: the largest set
-        that can link if this shingle is the first in common, as what comes before it is not shared."""
+        """(h, id, n, alone, up, marks) of the prefix shingles of each representative.  ``up``: the largest
+        set that can link if this shingle is the first in common, as what comes before it is not shared."""
         percent = self.percent
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 rows = []
-                for i, n, alone, shared in zip(*[c.to_pylist() for c in b.columns]):
+                for i, n, alone, shared, *marks in zip(*[c.to_pylist() for c in b.columns]):
                     h = np.frombuffer(shared, np.int64)[:n - -(-percent * n // 100) + 1 - alone]
                     rest = n - alone - np.arange(len(h))
                     up = np.minimum(100 * n // percent, ((100 + percent) * rest - percent * n) // percent)
-                    rows.append((h, np.full(len(h), i), np.full(len(h), n), np.full(len(h), alone), up))
+                    rows.append((h, *[np.full(len(h), x, np.int64) for x in (i, n, alone)], up, *[np.full(len(h), x, np.int64) for x in marks]))
                 if rows:
-                    yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*rows)], ["h", "id", "n", "alone", "up"])
+                    yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*rows)], ["h", "id", "n", "alone", "up", *MARKS])
 
-        return self.reps.mapInArrow(run, "h long, id long, n long, alone long, up long")
+        return self.reps.select("id", "n", "alone", "shared", *MARKS).mapInArrow(run, "h long, id long, n long, alone long, up long, " + ", ".join(f"{m} long" for m in MARKS))
 
-    def _enough(self, overlap):
-        """An upper bound of the overlap of (n, n2) leaves the pair possible."""
-        return overlap * (100 + self.percent) >= self.percent * (F.col("n") + F.col("n2"))
+    def _differ(self):
+        """A lower bound of the shingles that only one of two sets has: bits of the marks, and those of their own."""
+        return sum((F.bit_count(F.col(m).bitwiseXOR(F.col(f"{m}2"))) for m in MARKS), F.col("alone") + F.col("alone2"))
+
+    def _alike(self):
+        """The lengths, the positions and the marks leave it possible that two sets link."""
+        lengths = (F.col("n") <= F.col("up2")) & (F.col("n2") <= F.col("up"))
+        return lengths & (self._differ() * (100 + self.percent) <= (100 - self.percent) * (F.col("n") + F.col("n2")))
 
     def _across(self, live: DataFrame, small: DataFrame) -> DataFrame:
-        """(h, part, part2, low2, top2): components that share a prefix shingle and hold sets there of
-        lengths that may link, and the lengths that sets of the second may link with.  They meet in
-        the bands of those lengths, each pair in the first band of both only.  Rounding loses none,
-        as a band never falls with the length."""
+        """(h, part, part2, low2, top2, few): components that share a prefix shingle and hold sets there
+        of lengths that may link, the lengths that sets of the second may link with, and if the
+        first has no more sets there.  They meet in the bands of those lengths, each pair in the
+        first band of both only.  Rounding loses none, as a band never falls with the length."""
         band = lambda n: F.floor(F.log(n.cast("double")) * BANDS).cast("int")
-        one = (live.groupBy("h", "part").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("up").alias("top"))
+        one = (live.groupBy("h", "part").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("up").alias("top"), F.count(F.lit(1)).alias("many"))
                .withColumn("first_band", band(F.col("low"))).withColumn("band", F.explode(F.sequence("first_band", band(F.col("high"))))))
-        two = (small.groupBy("h", "part2").agg(F.min("n2").alias("low2"), F.max("up2").alias("top2"))
+        two = (small.groupBy("h", "part2").agg(F.min("n2").alias("low2"), F.max("up2").alias("top2"), F.count(F.lit(1)).alias("many2"))
                .withColumn("first_band2", band(F.col("low2")))
                .withColumn("band2", F.explode(F.sequence("first_band2", band(F.col("top2"))))).withColumnRenamed("h", "h2"))
         may = (F.col("low2") <= F.least("high", "top")) & (F.col("low") <= F.col("top2"))
         return (one.join(two, (F.col("h") == F.col("h2")) & (F.col("band") == F.col("band2")) & (F.col("part") != F.col("part2"))
                          & (F.col("band") == F.greatest("first_band", "first_band2")) & may)
-                .select("h", "part", "part2", "low2", "top2"))
-
-    def hubs(self) -> DataFrame:
-        """The stored (id, hub): each representative with one hub, that of most of its prefix shingles."""
-        hubs = (self.index.groupBy("h").agg(F.min(F.struct("alone", "id")).alias("hub"), F.count(F.lit(1)).alias("many"))
-                .filter("many > 1")
-                .select("h", F.col("hub.id").alias("id2"), F.col("hub.alone").alias("alone2")))
-        # pairs that cannot link count too: a document's overlap with its hub bounds others (cross_pairs)
-        met = self.index.join(hubs, "h").filter("id <> id2")
-        best = (met.groupBy("id", "id2").agg(F.count(F.lit(1)).alias("times"), F.min("alone2").alias("alone2"))
-                .groupBy("id").agg(F.max(F.struct("times", -F.col("alone2"), "id2")).alias("best")))
-        return store(best.select("id", F.col("best.id2").alias("hub")), "hubs")
-
-    def _live(self, component: DataFrame) -> DataFrame:
-        """The index with each entry's component (``part``), where a shingle has entries of several."""
-        index = self.index.join(component, F.col("id") == F.col("node"), "left").withColumn("part", F.coalesce("component", "id")).drop("node", "component")
+                .select("h", "part", "part2", "low2", "top2", (F.col("many") <= F.col("many2")).alias("few")))
+
+    def _live(self, component: DataFrame | None) -> DataFrame:
+        """The stored index with each entry's component (``part``), where a shingle has entries of several."""
+        if component is None:
+            index = self.index.withColumn("part", F.col("id"))
+        else:
+            index = self.index.join(component, F.col("id") == F.col("node"), "left").withColumn("part", F.coalesce("component", "id")).drop("node", "component")
         mixed = index.groupBy("h").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("h")
-        return index.join(mixed, "h")
-
-    def wave(self, component: DataFrame, number: int) -> DataFrame:
-        """(a, b): each representative with a random one of another component, that of most of its
-        prefix shingles among those drawn for each shingle, if the two may link."""
-        live = store(self._live(component), "live-prefixes")
-        drawn = (live.groupBy("h").agg(F.min(F.struct(F.xxhash64("id", F.lit(number)).alias("draw"), "id", "part", "n", "up")).alias("hub"))
-                 .select("h", *[F.col(f"hub.{c}").alias(f"{c}2") for c in ("draw", "id", "part", "n", "up")]))
-        met = live.join(drawn, "h").filter((F.col("part") != F.col("part2")) & (F.greatest("n", "n2") <= F.least("up", "up2")))
-        best = (met.groupBy("id", "id2").agg(F.count(F.lit(1)).alias("times"), F.min("draw2").alias("draw"))
-                .groupBy("id").agg(F.max(F.struct("times", "draw", "id2")).alias("best")))
+        return store(index.join(mixed, "h"), "live-prefixes")
+
+    def wave(self, component: DataFrame | None, number: int) -> DataFrame:
+        """(a, b): each representative with one of another component, of those drawn for its prefix
+        shingles the one whose marks are the most alike, if the two may link.  Wave 0 draws the set
+        with the fewest shingles of its own for each shingle, later ones a random set."""
+        live = self._live(component)
+        first = F.col("alone") if number == 0 else F.xxhash64("id", F.lit(number))
+        names = ["id", "part", "n", "alone", "up", *MARKS]
+        drawn = live.groupBy("h").agg(F.min(F.struct(first.alias("first"), *names)).alias("hub")).select("h", *[F.col(f"hub.{c}").alias(f"{c}2") for c in names])
+        best = (live.join(drawn, "h").filter((F.col("part") != F.col("part2")) & self._alike())
+                .groupBy("id").agg(F.min(F.struct(self._differ().alias("differ"), "id2")).alias("best")))
         return best.select(F.least("id", "best.id2").alias("a"), F.greatest("id", "best.id2").alias("b")).distinct()
 
-    def cross_pairs(self, component: DataFrame | None = None, hubs: DataFrame | None = None) -> DataFrame:
-        """(a, b): all pairs that share a prefix shingle and pass the filters.  Given (node,
-        component), only pairs across components; given (id, hub, common), the overlaps of
-        representatives with their hub bound that of two with the same hub: what both share inside
-        the hub, and what both have outside it that is not their own."""
-        if component is not None:
-            index = self._live(component).join(hubs, "id", "left")
-        else:
-            index = self.index.withColumns({"part": F.col("id"), "hub": F.lit(None).cast("long"), "common": F.lit(0).cast("long")})
-        live = store(index, "live-prefixes")
+    def cross_pairs(self, component: DataFrame | None = None) -> DataFrame:
+        """(a, b): all pairs that share a prefix shingle and pass the filters.  Given (node, component),
+        only pairs across components.  Of two components that meet, the one with fewer sets at the
+        shingle is opened first: what meets the other's sets has passed no more rows than it has."""
+        live = self._live(component)
         # the smaller of two must be able to link with one of its own size or larger
-        small = live.filter("up >= n").select("h", *[F.col(c).alias(f"{c}2") for c in ("part", "id", "n", "alone", "up", "hub", "common")])
-        across = self._across(live, small)
-        inside = F.least("common", "common2")
-        outside = F.least(F.col("n") - F.col("common") - F.col("alone"), F.col("n2") - F.col("common2") - F.col("alone2"))
-        by_hub = F.coalesce((F.col("hub") != F.col("hub2")) | self._enough(inside + outside), F.lit(True))
-        seen = F.coalesce(F.col("hub") == F.col("id2"), F.lit(False)) | F.coalesce(F.col("hub2") == F.col("id"), F.lit(False))
+        small = live.filter("up >= n").select("h", *[F.col(c).alias(f"{c}2") for c in ("part", "id", "n", "alone", "up", *MARKS)])
+        across = store(self._across(live, small), "component-pairs")
         smaller = (F.col("n2") < F.col("n")) | ((F.col("n2") == F.col("n")) & (F.col("id2") < F.col("id")))
         within = F.col("n").between(F.col("low2"), F.col("top2")) & (F.col("up") >= F.col("low2"))
-        lengths = (F.col("n") <= F.col("up2")) & (F.col("n2") <= F.col("up"))
-        met = (across.join(live, ["h", "part"]).filter(within).drop("low2", "top2")
-               .join(small, ["h", "part2"]).filter(smaller & lengths & by_hub & ~seen))
+        few = across.filter("few").join(live, ["h", "part"]).filter(within).drop("low2", "top2", "few").join(small, ["h", "part2"])
+        many = across.filter("not few").select("h", "part", "part2").join(small, ["h", "part2"]).join(live, ["h", "part"])
+        met = few.filter(smaller & self._alike()).select("id", "id2").union(many.filter(smaller & self._alike()).select("id", "id2"))
         return met.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
 
-    def verify(self, pairs: DataFrame, name: str = "links", every: bool = False) -> DataFrame:
-        """The stored (a, b, overlap, linked) of the pairs that reach the bound, or of every pair."""
+    def verify(self, pairs: DataFrame, name: str = "links") -> DataFrame:
+        """The stored (a, b, overlap) of the pairs that reach the bound."""
         left = self.reps.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("shared_a"))
         right = self.reps.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("shared_b"))
         percent = self.percent
@@ -351,17 +349,16 @@ class Join:
                 for a, z, n1, n2, s1, s2 in zip(*[c.to_pylist() for c in b.columns]):
                     need = -(-percent * (n1 + n2) // (100 + percent))
                     x, y = np.frombuffer(s1, np.uint64), np.frombuffer(s2, np.uint64)
-                    if not every and _suffix_bound(x, y) < need:
+                    if _suffix_bound(x, y) < need:
                         continue
                     both = len(np.intersect1d(x, y, assume_unique=True))
-                    if every or both >= need:
-                        rows.append((a, z, both, both >= need))
+                    if both >= need:
+                        rows.append((a, z, both))
                 if rows:
-                    yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.bool_()))],
-                                          ["a", "b", "overlap", "linked"])
+                    yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows)], ["a", "b", "overlap"])
 
         data = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "shared_a", "shared_b")
-        return store(data.mapInArrow(run, "a long, b long, overlap long, linked boolean"), name)
+        return store(data.mapInArrow(run, "a long, b long, overlap long"), name)
 
     def pairs(self) -> DataFrame:
         """All links between representatives, each verified once; ``members`` has the copies."""
@@ -374,16 +371,12 @@ class Join:
 
     def components(self) -> DataFrame:
         """(id, n_shingles, component_id) of every row."""
-        hubs = self.hubs()
-        named = hubs.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"), "id", "hub")
-        checked = self.verify(named.select("a", "b").distinct(), "hub-links", every=True)
-        near = checked.filter("linked").select("a", "b")
-        found = store(graph.components(near), "hub-components")
+        near, found = None, None
         for number in range(WAVES):
-            near = near.unionByName(self.verify(self.wave(found, number), f"wave-{number}").select("a", "b"))
+            links = self.verify(self.wave(found, number), f"wave-{number}").select("a", "b")
+            near = links if near is None else near.unionByName(links)
             found = store(graph.components(near), "wave-components")
-        common = store(named.join(checked, ["a", "b"]).select("id", "hub", F.col("overlap").alias("common")), "hub-overlaps")
-        far = self.verify(self.cross_pairs(found, common)).select("a", "b")
+        far = self.verify(self.cross_pairs(found)).select("a", "b")
         part = store(graph.components(near.unionByName(far)), "components")
         copies = (self.copies.join(part, F.col("rep") == F.col("node"), "left")
                   .select("sig", F.coalesce("component", "rep").alias("component_id")))
