@@ -314,7 +314,8 @@ class Join:
         """(a, b): each representative with one of another component, of those drawn for its prefix
         shingles the one whose marks are the most alike, if the two may link.  Wave 0 draws the set
         with the fewest shingles of its own for each shingle, later ones a random set."""
-        live = self._live(component)
+        # the first wave reads the whole index once, which is less than to find its shared shingles before
+        live = self.index.withColumn("part", F.col("id")) if component is None else self._live(component)
         first = F.col("alone") if number == 0 else F.xxhash64("id", F.lit(number))
         names = ["id", "part", "n", "alone", "up", *MARKS]
         drawn = live.groupBy("h").agg(F.min(F.struct(first.alias("first"), *names)).alias("hub")).select("h", *[F.col(f"hub.{c}").alias(f"{c}2") for c in names])
