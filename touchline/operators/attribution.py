@@ -149,14 +149,16 @@ def rank_touches(touches: DataFrame, user: str = "user_id", time: str = "touchpo
     if bucket == "range":
         return rank_by_range(touches, user, time, tie_break)
     kept = (F.col("channel").isNotNull() & F.col("interaction_type").isNotNull()).cast("int")
-    t = (touches.filter(F.col(user).isNotNull() & F.col(time).isNotNull())
-         .withColumn("_day", F.to_date(time)).withColumn("_kept", kept))
-    t = t.withColumn("_bucket", F.date_trunc("hour", time) if bucket == "hour" else F.col("_day"))
+    t = touches.filter(F.col(user).isNotNull() & F.col(time).isNotNull())
+    t = t.withColumn("_bucket", F.date_trunc("hour", time) if bucket == "hour" else F.to_date(time)).filter("_bucket is not null")
     order = [F.col(time).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in tie_break]
     w = Window.partitionBy(user, "_bucket").orderBy(*order)
+    # what follows from a touch's own columns is added behind the exchange
     t = (t.withColumn("_local", F.row_number().over(w))
-         .withColumn("_local_kept", F.sum("_kept").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    groups = t.groupBy(user, "_bucket", "_day").agg(F.count(F.lit(1)).alias("_n"), F.sum("_kept").alias("_nk"))
+         .withColumn("_local_kept", F.sum(kept).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+         .withColumn("_day", F.to_date(time)).withColumn("_kept", kept))
+    # a bucket's counts are its last numbers: both sides of the join below read one exchange of the touches
+    groups = t.groupBy(user, "_bucket", "_day").agg(F.max("_local").cast("long").alias("_n"), F.max("_local_kept").alias("_nk"))
     before = Window.partitionBy(user).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = groups.select(F.col(user).alias("_o_user"), F.col("_bucket").alias("_o_bucket"),
                             F.col("_day").alias("_o_day"), "_nk",
@@ -248,19 +250,31 @@ def _attribution_by_rank(touches: DataFrame, purchases: DataFrame, *, rows_per_t
        explosion from many purchases is invisible to AQE's input-size skew
        detection);
     4. last touch = the kept touch whose kept-rank equals the path length:
-       an equi-join on (user, rank), one row per purchase."""
+       an equi-join on (user, rank), one row per purchase.
+
+    With ``stage`` the kept touches, the purchases with their path length and
+    the salts are written once; all three facts, each as often as a query
+    reads it, start from there instead of ranking anew."""
     ranked, daily = rank_touches(touches, tie_break=tie_break, bucket=bucket)
-    if stage:  # a job that writes several of the facts ranks once
-        ranked, daily = staged(ranked, "ranked-touches"), staged(daily, "daily-touches")
+    kept = ranked.filter(F.col("_kept") == 1)
+    if stage:
+        kept = staged(kept.drop("_day", "_kept"), "ranked-touches")
+        daily = (kept.groupBy(F.col("user_id").alias("_o_user"), F.to_date("touchpoint_time").alias("_o_day"))
+                 .agg(F.count(F.lit(1)).alias("_nk")))
     p = (purchases.filter(F.col("user_id").isNotNull() & F.col("purchase_date").isNotNull())
          .select(F.col("user_id").alias("_p_user"), "purchase_id", "purchase_date", "revenue"))
     pn = (p.join(_lengths(daily, p), (F.col("_p_user") == F.col("_l_user")) & (F.col("purchase_date") == F.col("_l_date")))
           .drop("_l_user", "_l_date"))
-    kept = ranked.filter(F.col("_kept") == 1)
+    if stage:  # a purchase without a path length has no path row
+        p = pn = staged(pn, "path-purchases")
     hot = None
     if rows_per_task:
         # per-user totals from the per-day counts, not from another pass over the touches
         hot = _salts(daily.groupBy(F.col("_o_user").alias("_u")).agg(F.sum("_nk").alias("_n")), p, rows_per_task)
+        if stage:
+            hot = staged(hot, "hot-users")
+            if hot.isEmpty():  # path rows stay where their user is: grouping by user and more needs no exchange
+                hot = None
 
     def path_rows(q):
         t, cond = kept, F.lit(True)

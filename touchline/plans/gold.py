@@ -75,6 +75,7 @@ class GoldModel:
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str, **kw) -> "GoldModel":
         t = DriverTables(spark, sf_dir)
+        kw["attribution_opts"] = {"stage": True, **(kw.get("attribution_opts") or {})}
         m = cls(spark, silver=silver_from_driver(t), **kw)
         m._t["_driver"] = t
         return m
