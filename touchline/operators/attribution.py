@@ -216,12 +216,13 @@ def _lengths(daily: DataFrame, purchases: DataFrame) -> DataFrame:
     Purchase days join the user's sequence of active days with a count of 0 and a running sum
     passes over it: one row per user and day, no touches x purchases join."""
     days = (daily.select(F.col("_o_user").alias("_l_user"), F.col("_o_day").alias("_l_date"), "_nk")
+            .withColumn("_bought", F.lit(False))
             .unionByName(purchases.select(F.col("_p_user").alias("_l_user"), F.col("purchase_date").alias("_l_date"),
-                                          F.lit(0).cast("long").alias("_nk")))
-            .groupBy("_l_user", "_l_date").agg(F.sum("_nk").alias("_nk")))
+                                          F.lit(0).cast("long").alias("_nk"), F.lit(True).alias("_bought")))
+            .groupBy("_l_user", "_l_date").agg(F.sum("_nk").alias("_nk"), F.bool_or("_bought").alias("_bought")))
     before = Window.partitionBy("_l_user").orderBy("_l_date").rowsBetween(Window.unboundedPreceding, -1)
     return (days.withColumn("touchpoints_in_path", F.sum("_nk").over(before).cast("int"))
-            .filter("touchpoints_in_path > 0").drop("_nk"))
+            .filter("_bought and touchpoints_in_path > 0").drop("_nk", "_bought"))
 
 
 def path_length_per_purchase(touches: DataFrame, purchases: DataFrame) -> DataFrame:
@@ -259,8 +260,8 @@ def _attribution_by_rank(touches: DataFrame, purchases: DataFrame, *, rows_per_t
     kept = ranked.filter(F.col("_kept") == 1)
     if stage:
         kept = staged(kept.drop("_day", "_kept"), "ranked-touches")
-        daily = (kept.groupBy(F.col("user_id").alias("_o_user"), F.to_date("touchpoint_time").alias("_o_day"))
-                 .agg(F.count(F.lit(1)).alias("_nk")))
+        # one by one: the path lengths group the days themselves
+        daily = kept.select(F.col("user_id").alias("_o_user"), F.to_date("touchpoint_time").alias("_o_day"), F.lit(1).cast("long").alias("_nk"))
     p = (purchases.filter(F.col("user_id").isNotNull() & F.col("purchase_date").isNotNull())
          .select(F.col("user_id").alias("_p_user"), "purchase_id", "purchase_date", "revenue"))
     pn = (p.join(_lengths(daily, p), (F.col("_p_user") == F.col("_l_user")) & (F.col("purchase_date") == F.col("_l_date")))
@@ -268,13 +269,16 @@ def _attribution_by_rank(touches: DataFrame, purchases: DataFrame, *, rows_per_t
     if stage:  # a purchase without a path length has no path row
         p = pn = staged(pn, "path-purchases")
     hot = None
-    if rows_per_task:
+    if rows_per_task and stage:
+        # a user's path rows are the sum of the path lengths
+        paths = pn.groupBy(F.col("_p_user").alias("_hot_user")).agg(F.sum("touchpoints_in_path").alias("_n"), F.count(F.lit(1)).alias("_np"))
+        hot = staged(paths.select("_hot_user", F.least(F.ceil(F.col("_n") / rows_per_task), F.col("_np")).cast("int").alias("_salts"))
+                     .filter("_salts > 1"), "hot-users")
+        if hot.isEmpty():  # path rows stay where their user is: grouping by user and more needs no exchange
+            hot = None
+    elif rows_per_task:
         # per-user totals from the per-day counts, not from another pass over the touches
         hot = _salts(daily.groupBy(F.col("_o_user").alias("_u")).agg(F.sum("_nk").alias("_n")), p, rows_per_task)
-        if stage:
-            hot = staged(hot, "hot-users")
-            if hot.isEmpty():  # path rows stay where their user is: grouping by user and more needs no exchange
-                hot = None
 
     def path_rows(q):
         t, cond = kept, F.lit(True)

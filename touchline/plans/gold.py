@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..operators import attribution, dims, facts
 from ..sources.binding import silver_from_driver
 from ..sources.driver import DriverTables
+from ..sources.staging import staged
 
 GOLD_TABLES = ("dim_date", "dim_user", "dim_campaign", "dim_channel",
                "fact_spend", "fact_clicks", "fact_sessions", "fact_touchpoints", "fact_purchases",
@@ -118,6 +119,18 @@ class GoldModel:
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def sharing(self, *feeds: str) -> "GoldModel":
+        """This model with the named feeds written once, for queries that read several tables built on them."""
+        if not self.silver:
+            return self
+        if "_sharing" not in self._t:
+            written = {n: staged(self.silver[n], f"feed-{n}") for n in feeds}
+            m = GoldModel(self.spark, silver={**self.silver, **written}, calendar=self.calendar, attribution_opts=self.attribution_opts)
+            if "_driver" in self._t:
+                m._t["_driver"] = self._t["_driver"]
+            self._t["_sharing"] = m
+        return self._t["_sharing"]
+
     # -- builders ------------------------------------------------------------
     def _build_dim_date(self):
         """Calendar over whole years from the first to the last event, unless
