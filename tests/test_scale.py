@@ -53,3 +53,91 @@ def test_path_facts_of_a_model_start_from_one_ranking(spark):
     g = GoldModel.from_driver(spark, SF_SMALL)
     for name in ("fact_touchpath", "fact_attribution_linear", "fact_attribution_last_touch"):
         assert not [f for f in g.table(name).inputFiles() if "lineitem" in f], name
+
+
+def _brute_unique(df, keys):
+    n = Counter(tuple(r[k] for k in keys) for r in df.select(*keys).collect())
+    return Counter({(*k, c): 1 for k, c in n.items() if c > 1 or None in k})
+
+
+def test_unique_key_counts_repeats_and_nulls(spark):
+    from touchline.operators.quality import unique_key
+    rows = [(i // 100, i % 100 - 30) for i in range(300)]
+    clean = spark.createDataFrame(rows, "a long, b int")
+    odd = spark.createDataFrame(rows + [(1, 5), (1, 5), (2, -30), (None, 5), (None, 5), (2, None), (2, None), (None, None), (7, None)], "a long, b int")
+    for df in (clean, odd, clean.limit(0)):
+        got = unique_key(df, ["a", "b"])
+        assert got.columns == ["a", "b", "n"] and Counter(map(tuple, got.collect())) == _brute_unique(df, ["a", "b"])
+    # rows without repeats do not travel one by one
+    assert _exchanges(unique_key(clean, ["a", "b"])) <= 1 and "LocalTableScan <empty>" in unique_key(clean, ["a", "b"])._jdf.queryExecution().optimizedPlan().toString().replace("LocalRelation", "LocalTableScan")
+
+
+def test_consistent_with_by_bitmaps_and_nulls(spark):
+    from touchline.operators.quality import consistent_with
+    schema = "p long, n int, u long, x string"
+    parent = spark.createDataFrame([(i % 9, i - 40, i % 4, "a") for i in range(200)] + [(None, 3, 1, "a"), (2, None, 1, "a")], schema)
+    child = spark.createDataFrame([(i % 9, i - 40, i % 4, "b") for i in range(0, 200, 3)] + [(None, 3, 1, "b"), (2, None, 1, "b")], schema)
+    odd = child.unionByName(spark.createDataFrame([(0, 500, 0, "c"), (0, 500, 0, "c"), (None, 4, 1, "c"), (2, None, None, "c"), (0, -39, 0, "c")], schema))
+    keys = ["p", "n", "u"]
+    assert consistent_with(child, parent, keys).collect() == []
+    got = consistent_with(odd, parent, keys)
+    assert Counter(map(tuple, got.collect())) == Counter({(0, 500, 0, "c"): 2, (None, 4, 1, "c"): 1, (2, None, None, "c"): 1, (0, -39, 0, "c"): 1})
+
+
+def test_absent_values_scans_rows_once(spark):
+    """A row is counted per column, not copied for every site."""
+    from touchline.operators.quality import absent_values
+    child = spark.range(50).select((F.col("id") % 5).alias("k"), (F.col("id") % 3).cast("string").alias("s"))
+    parent = spark.range(4).select(F.col("id").alias("k"), F.lit("0").alias("s"))
+    found = absent_values({"c": child, "p": parent}, [("c", ["k"], "p", ["k"]), ("c", ["s"], "p", ["s"]), ("p", ["k"], "c", ["k"]), ("c", ["k", "s"], "p", ["k", "s"])])
+    rows = Counter((r.k, r.s) for r in child.collect())
+    want = {0: 10, 1: 33, 2: 0, 3: sum(n for (k, s), n in rows.items() if k > 3 or s != "0")}
+    assert {r.site: r.violations for r in found.collect()} == want
+    assert "Expand" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_keys_without_columns_and_their_report(spark):
+    from conftest import SF_SMALL
+    from touchline.operators.dims import with_dense_key
+    from touchline.plans.gold import GoldModel
+    from touchline.plans.registry import REGISTRY, _load_all
+    df = spark.range(0, 1000, 1, 7).select("id", F.repeat(F.lit("x"), 50).alias("wide"))
+    assert sorted(r.k for r in with_dense_key(df, "k", carry=[]).collect()) == list(range(1, 1001))
+    assert with_dense_key(df, "k", carry=["id"]).columns == ["k", "id"]
+    _load_all()
+    g = GoldModel.from_driver(spark, SF_SMALL)
+    rows = REGISTRY["dim_05_keys_as_produced"].build(g).collect()
+    assert len(rows) == 8 and all((r.first_key, r.last_key, r.n_keys) == (1, r.n_rows, r.n_rows) for r in rows)
+
+
+def test_touches_are_written_once_for_a_query(spark):
+    from conftest import SF_SMALL
+    from touchline.plans.gold import GoldModel
+    g = GoldModel.from_driver(spark, SF_SMALL)
+    m = g.sharing("web_touchpoints")
+    assert m is g.sharing("web_touchpoints") and not [f for f in m.fact_touchpoints.inputFiles() if "lineitem" in f]
+    assert m.fact_touchpoints.count() == g.fact_touchpoints.count()
+
+
+@pytest.mark.parametrize("odd", [False, True])
+def test_purchases_of_linear_rows_are_counted_exactly(spark, odd):
+    """One user per id, and an id of two users with a month in common."""
+    from touchline.operators import kpi
+    rows = [(i % 4, i % 40, f"2024-0{i % 3 + 1}-05", f"c{i % 3}" if i % 5 else None, 1.25) for i in range(240)]
+    if odd:
+        rows += [(9, 3, "2024-01-05", "c0", 2.0), (9, 3, "2024-01-05", "c0", 2.0), (9, 3, "2024-03-05", "c9", 2.0), (8, None, "2024-04-05", "c9", 1.0)]
+    lin = spark.createDataFrame(rows, "user_id long, purchase_id long, d string, channel string, r double").select(
+        "user_id", "purchase_id", F.to_date("d").alias("purchase_date"), "channel", F.col("r").cast("decimal(12,2)").alias("revenue_share"))
+    p = lin.select("purchase_id", "user_id", (F.col("user_id") % 2).alias("acquisition_campaign"), F.lit("x").alias("acquisition_channel")).distinct()
+    g = SimpleNamespace(fact_attribution_linear=lin, fact_purchases=p, _t={})
+    for entity in (None, "channel"):
+        keys = [F.year("purchase_date").alias("performance_year"), F.month("purchase_date").alias("performance_month")] + ([entity] if entity else [])
+        want = lin.groupBy(*keys).agg(F.countDistinct("purchase_id").alias("n"))
+        got = kpi.monthly(g, kpi.Measure("L", "count_distinct", "purchase_id", "n", entity))
+        assert got.schema.simpleString() == want.schema.simpleString() and _same(want, got), entity
+    lp = lin.join(p.select(F.col("purchase_id").alias("_i"), "acquisition_campaign"), F.col("purchase_id") == F.col("_i"), "left")
+    keys = [F.year("purchase_date").alias("performance_year"), F.month("purchase_date").alias("performance_month"), "acquisition_campaign"]
+    for agg, col, f in (("sum", "revenue_share", F.sum), ("count_distinct", "purchase_id", F.countDistinct)):
+        want = lp.groupBy(*keys).agg(f(col).alias("n"))
+        got = kpi.monthly(g, kpi.Measure("LP", agg, col, "n", "acquisition_campaign"))
+        assert got.schema.simpleString() == want.schema.simpleString() and _same(want, got), agg

@@ -255,6 +255,7 @@ add("dq_10_row_counts",
 
 # --- the DQ suite (B10) ------------------------------------------------------------------------
 def _suite(g):
+    g = g.sharing("web_touchpoints")
     return dq.suite([
         ("dq_01_unique", "fact_purchases", dq.unique_key(g.fact_purchases, ["purchase_id"])),
         ("dq_01_unique", "dim_user", dq.unique_key(g.dim_user, ["user_id"])),
