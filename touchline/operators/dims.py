@@ -13,10 +13,11 @@ CALENDAR_LIMITS = ("1900-01-01", "2199-12-31")
 _MID_BITS = 33  # monotonically_increasing_id = partition index << 33 | row index
 
 
-def with_dense_key(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
+def with_dense_key(df: DataFrame, key: str, order: list[str] | None = None, carry: list[str] | None = None) -> DataFrame:
     """DIM-05: dense surrogate key 1..n following ``order`` without a
     single-partition window; without ``order`` rows are numbered as they are
-    produced, with neither sort nor shuffle.
+    produced, with neither sort nor shuffle.  ``carry`` names the columns that
+    are wanted beside the key (default: all); others are not staged.
 
     Rows are range-partitioned on ``order`` (sampled bounds split large key
     ranges over many tasks), sorted and numbered inside each partition, and
@@ -26,9 +27,9 @@ def with_dense_key(df: DataFrame, key: str, order: list[str] | None = None) -> D
     row per partition, so they are bounded by the partition count and
     broadcast safely.  With a unique ``order`` the result equals
     ``row_number() OVER (ORDER BY order)``."""
-    cols = df.columns
+    cols = df.columns if carry is None else carry
     rows = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
-    ranged = staged(rows.withColumn("_mid", F.monotonically_increasing_id()), f"keys-{key}")
+    ranged = staged(rows.select(*cols, F.monotonically_increasing_id().alias("_mid")), f"keys-{key}")
     part = F.shiftright("_mid", _MID_BITS)
     counts = ranged.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
