@@ -82,6 +82,11 @@ def _get(g, name: str) -> DataFrame:
     return g.silver[name] if name in SILVER else g.table(name)
 
 
+def _sharing(g):
+    """Gold tables of one query start from one copy of the touches."""
+    return g.sharing("web_touchpoints")
+
+
 def _row_checks(name: str) -> list[tuple[str, object]]:
     """(check, condition of a violating row) of a table."""
     out = []
@@ -117,6 +122,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 def _absent(g, name: str, sites: list[tuple[str, str, str, str]]) -> DataFrame:
     """All sites in one pass: every table that a site names is scanned once."""
+    g = _sharing(g)
     found = dq.absent_values({t: _get(g, t) for s in sites for t in (s[0], s[2])}, [(t, c.split(", "), r, rc.split(", ")) for t, c, r, rc in sites])
     # the sites are a fixed list; one without any value has no row in the aggregate
     named = g.spark.createDataFrame([(i, f"{name}_{s[1]}", s[0]) for i, s in enumerate(sites)], "site int, `check` string, table_name string")
@@ -142,10 +148,11 @@ def _sql_rows(name: str) -> str:
 
 
 for _layer, _names in (("silver", [t for t in _TABLES if t in SILVER]), ("gold", [t for t in _TABLES if t not in SILVER])):
-    add(f"dq_rows_{_layer}", lambda g, names=_names: _union([_rows_of(g, n) for n in names]), " UNION ALL ".join(_sql_rows(n) for n in _names))
+    _model = _sharing if _layer == "gold" else (lambda g: g)
+    add(f"dq_rows_{_layer}", lambda g, names=_names, m=_model: _union([_rows_of(m(g), n) for n in names]), " UNION ALL ".join(_sql_rows(n) for n in _names))
     _keys = [k for k in KEYS if (k[0] in SILVER) == (_layer == "silver")]
     add(f"dq_01_keys_{_layer}",
-        lambda g, keys=_keys: _union([_count(dq.unique_key(_get(g, t), k.split(", ")), f"dq_01_unique_{k}", t) for t, k in keys]),
+        lambda g, keys=_keys, m=_model: _union([_count(dq.unique_key(_get(m(g), t), k.split(", ")), f"dq_01_unique_{k}", t) for t, k in keys]),
         " UNION ALL ".join(f"""SELECT 'dq_01_unique_{k}' AS "check", '{t}' AS table_name,
                                       COUNT(*) FILTER (n > 1 OR {' OR '.join(f'{c} IS NULL' for c in k.split(', '))}) AS violations
                                FROM (SELECT {k}, COUNT(*) AS n FROM {t} GROUP BY {k}) counted""" for t, k in _keys))
@@ -178,7 +185,7 @@ add("dq_09_digits",
     " UNION ALL ".join(f"""SELECT '{t}.{c}' AS column_name, CASE WHEN {c} = 0 THEN 1 ELSE CAST(floor(log10(abs({c}))) AS INTEGER) + 1 END AS digits,
                                   COUNT(*) AS n FROM {t} GROUP BY 2""" for t, c in DIGITS))
 add("dq_10_layer_counts",
-    lambda g: _union([_get(g, a).agg(F.count(F.lit(1)).alias("source_rows")).select(
-        F.lit(a).alias("source"), F.lit(b).alias("target"), "source_rows", _get(g, b).agg(F.count(F.lit(1))).scalar().alias("target_rows")) for a, b in COUNTS]),
+    lambda g: _union([_get(_sharing(g), a).agg(F.count(F.lit(1)).alias("source_rows")).select(
+        F.lit(a).alias("source"), F.lit(b).alias("target"), "source_rows", _get(_sharing(g), b).agg(F.count(F.lit(1))).scalar().alias("target_rows")) for a, b in COUNTS]),
     " UNION ALL ".join(f"SELECT '{a}' AS source, '{b}' AS target, (SELECT COUNT(*) FROM {a}) AS source_rows, (SELECT COUNT(*) FROM {b}) AS target_rows"
                        for a, b in COUNTS))
