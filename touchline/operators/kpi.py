@@ -16,6 +16,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import RATIO_SCALE
+from ..sources.staging import staged
+
+#: Columns that an LP measure takes from the purchase.
+_P_COLS = ("acquisition_campaign", "acquisition_channel")
 
 # Fixed label sets of the reference (avg labels, previous-month labels).
 LABELS = {
@@ -181,8 +185,47 @@ def _with_name(g, m: Measure, out: DataFrame) -> DataFrame:
     return out.join(c, F.col(m.entity) == F.col("_c_id"), "left").drop("_c_id")
 
 
+def _per_purchase(g, m: Measure) -> DataFrame:
+    """The LP source for a measure by a column of the purchase: the linear rows are summed (or made
+    distinct) per purchase before they meet the purchases, one row of a path instead of all."""
+    keys = ["user_id", "purchase_id", "purchase_date"]
+    lin = g.fact_attribution_linear
+    lin = lin.groupBy(*keys).agg(F.sum(m.col).alias(m.col)) if m.agg == "sum" else lin.select(*keys).distinct()
+    p = g.fact_purchases.select(F.col("purchase_id").alias("_p_id"), "acquisition_campaign", "acquisition_channel")
+    return lin.join(p, F.col("purchase_id") == F.col("_p_id"), "left")
+
+
+def _shared_purchases(g) -> DataFrame:
+    """Purchase ids of more than one user (none, where ids are unique), found once per model."""
+    if "_shared_purchases" not in g._t:
+        users = g.fact_purchases.groupBy("purchase_id").agg(F.min("user_id").alias("_lo"), F.max("user_id").alias("_hi"))
+        g._t["_shared_purchases"] = staged(users.filter("_lo <> _hi").select(F.col("purchase_id").alias("_shared_id")), "shared-purchases")
+    return g._t["_shared_purchases"]
+
+
+def _distinct_purchases(g, df: DataFrame, keys: list, alias: str) -> DataFrame:
+    """COUNT(DISTINCT purchase_id) of path rows.  A purchase of one user is made distinct among that
+    user's rows, where they stand, so path rows need not travel; ids of several users, if there are
+    any, are counted apart, and the two counts of a key add up as they have no id in common."""
+    count = lambda rows: (rows.groupBy("user_id", "purchase_id", *keys).agg(F.count(F.lit(1)).alias("_n"))
+                          .groupBy(*_names(keys)).agg(F.count("purchase_id").alias(alias)))
+    shared = _shared_purchases(g)
+    if shared.isEmpty():
+        return count(df)
+    on = F.col("purchase_id") == F.col("_shared_id")
+    apart = df.join(shared, on, "left_semi").groupBy(*keys).agg(F.countDistinct("purchase_id").alias(alias))
+    return (count(df.join(shared, on, "left_anti")).unionByName(apart)
+            .groupBy(*_names(keys)).agg(F.sum(alias).alias(alias)))
+
+
+def _names(keys: list) -> list[str]:
+    return ["performance_year", "performance_month", "_entity"][:len(keys)]
+
+
 def _monthly(g, m: Measure) -> DataFrame:
     df, date = _source(g, m)
+    if m.source == "LP" and m.entity in _P_COLS and (m.agg == "count_distinct" or (m.agg, m.col) == ("sum", "revenue_share")):
+        df = _per_purchase(g, m)
     if date is None:  # month through the calendar key yyyymmdd
         y = F.floor(F.col("date_key") / 10000).cast("int")
         mo = (F.floor(F.col("date_key") / 100) % 100).cast("int")
@@ -191,8 +234,16 @@ def _monthly(g, m: Measure) -> DataFrame:
     if m.nn and m.entity:
         df = df.filter(F.col(m.entity).isNotNull())
     keys = [y.alias("performance_year"), mo.alias("performance_month")]
+    if m.source == "L" and (m.agg, m.col) == ("count_distinct", "purchase_id"):
+        if m.entity:
+            keys.append(F.col(m.entity).alias("_entity"))
+        out = _distinct_purchases(g, df, keys, m.alias)
+        return _with_name(g, m, out.withColumnRenamed("_entity", m.entity) if m.entity else out)
     if m.entity:
         keys.append(F.col(m.entity))
+    if m.source == "LP" and m.agg == "sum" and m.entity in _P_COLS:  # the type of a sum of shares
+        kind = g.fact_attribution_linear.agg(F.sum(m.col)).schema[0].dataType
+        return _with_name(g, m, df.groupBy(*keys).agg(F.sum(m.col).cast(kind).alias(m.alias)))
     return _with_name(g, m, df.groupBy(*keys).agg(_agg(m).alias(m.alias)))
 
 
