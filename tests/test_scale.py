@@ -141,3 +141,33 @@ def test_purchases_of_linear_rows_are_counted_exactly(spark, odd):
         want = lp.groupBy(*keys).agg(f(col).alias("n"))
         got = kpi.monthly(g, kpi.Measure("LP", agg, col, "n", "acquisition_campaign"))
         assert got.schema.simpleString() == want.schema.simpleString() and _same(want, got), agg
+
+
+@pytest.mark.parametrize("fact", ["fact_touchpath", "fact_attribution_linear"])
+@pytest.mark.parametrize("odd", [False, True])
+def test_keys_of_path_rows_follow_their_order(spark, feeds, fact, odd):
+    """One null id; null ids, ids of two users and rows that come twice."""
+    t, p = feeds
+    opts = {"stage": True, "rows_per_task": 40}
+    if not odd:
+        opts = {"stage": True}
+        p = p.filter("purchase_id is not null").dropDuplicates(["purchase_id"]).withColumn("purchase_id", F.when(F.col("purchase_id") != 42, F.col("purchase_id")))
+    rows = attribution.attribution_facts(t, p, stage=True)[fact]
+    got = attribution.keyed_path_facts(t, p, fact, "k", **opts)
+    assert got.columns == ["k", *rows.columns] and [f.dataType for f in got.schema][1:] == [f.dataType for f in rows.schema]
+    found = sorted(got.collect())
+    assert Counter(tuple(r)[1:] for r in found) == Counter(map(tuple, rows.collect()))
+    assert [r.k for r in found] == list(range(1, len(found) + 1)) and found
+    order = [(r.purchase_id is not None, r.purchase_id or 0, r.touchpoint_number) for r in found]
+    assert order == sorted(order)
+
+
+def test_path_rows_are_not_staged_for_their_keys(spark):
+    from conftest import SF_SMALL
+    from touchline.plans.gold import GoldModel
+    from touchline.plans.registry import REGISTRY, _load_all
+    _load_all()
+    g = GoldModel.from_driver(spark, SF_SMALL)
+    for fact in ("fact_touchpath", "fact_attribution_linear"):
+        read = {f.rsplit("/", 1)[0] for f in REGISTRY[f"dim_05_{fact}"].build(g).inputFiles()}
+        assert max(spark.read.parquet(d).count() for d in read) < g.table(fact).count(), fact

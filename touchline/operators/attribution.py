@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.staging import staged
+from .dims import with_dense_key
 
 TIE_BREAK = ("channel", "campaign_id", "interaction_type")
 
@@ -117,8 +118,7 @@ def attribution_facts(touches: DataFrame, purchases: DataFrame, method: str = "r
     if method == "rank":
         return _attribution_by_rank(touches, purchases, **kw)
     path = touch_path(touches, purchases, purchase_cols=("revenue", "purchase_date"), keep_salt=True, **kw)
-    touchpath = path.select("user_id", "purchase_id", "touchpoint_number", "touchpoint_time",
-                            "channel", "campaign_id", "interaction_type")
+    touchpath = touchpath_from_path(path)
     pw = _path_windows(path, "user_id", "purchase_id")
     linear = linear_from_path(pw)
     last = last_touch_from_path(pw)
@@ -237,25 +237,10 @@ def path_length_per_purchase(touches: DataFrame, purchases: DataFrame) -> DataFr
             .select("purchase_id", "touchpoints_in_path"))
 
 
-def _attribution_by_rank(touches: DataFrame, purchases: DataFrame, *, rows_per_task: int | None = ROWS_PER_TASK,
-                         tie_break=TIE_BREAK, bucket: str = "hour", stage: bool = False) -> dict[str, DataFrame]:
-    """Touch path and attribution without any per-purchase window.
-
-    1. ``rank_touches``: number of every touch within its user;
-    2. path length per purchase = Σ kept touches on the user's days before
-       the purchase day (a running sum over the user's days);
-    3. path rows = kept touches ⋈ purchases on the user with
-       ``touchpoint_time < purchase_date``; they carry their number and the
-       path length, so the linear share needs no window and no shuffle of
-       path rows; hot users are salted as in ``touch_path`` (output
-       explosion from many purchases is invisible to AQE's input-size skew
-       detection);
-    4. last touch = the kept touch whose kept-rank equals the path length:
-       an equi-join on (user, rank), one row per purchase.
-
-    With ``stage`` the kept touches, the purchases with their path length and
-    the salts are written once; all three facts, each as often as a query
-    reads it, start from there instead of ranking anew."""
+def _path_parts(touches: DataFrame, purchases: DataFrame, *, rows_per_task: int | None = ROWS_PER_TASK,
+                tie_break=TIE_BREAK, bucket: str = "hour", stage: bool = False):
+    """(kept touches, purchases, purchases with their path length, path rows of given purchases)
+    of ``_attribution_by_rank``."""
     ranked, daily = rank_touches(touches, tie_break=tie_break, bucket=bucket)
     kept = ranked.filter(F.col("_kept") == 1)
     if stage:
@@ -288,16 +273,31 @@ def _attribution_by_rank(touches: DataFrame, purchases: DataFrame, *, rows_per_t
         return t.join(q, (F.col("user_id") == F.col("_p_user")) & cond
                       & (F.col("touchpoint_time") < F.col("purchase_date")), "inner")
 
+    return kept, p, pn, path_rows
+
+
+def _attribution_by_rank(touches: DataFrame, purchases: DataFrame, **kw) -> dict[str, DataFrame]:
+    """Touch path and attribution without any per-purchase window.
+
+    1. ``rank_touches``: number of every touch within its user;
+    2. path length per purchase = Σ kept touches on the user's days before
+       the purchase day (a running sum over the user's days);
+    3. path rows = kept touches ⋈ purchases on the user with
+       ``touchpoint_time < purchase_date``; they carry their number and the
+       path length, so the linear share needs no window and no shuffle of
+       path rows; hot users are salted as in ``touch_path`` (output
+       explosion from many purchases is invisible to AQE's input-size skew
+       detection);
+    4. last touch = the kept touch whose kept-rank equals the path length:
+       an equi-join on (user, rank), one row per purchase.
+
+    With ``stage`` the kept touches, the purchases with their path length and
+    the salts are written once; all three facts, each as often as a query
+    reads it, start from there instead of ranking anew."""
+    kept, p, pn, path_rows = _path_parts(touches, purchases, **kw)
     # the touch path itself needs no path length: join the plain purchases
-    touchpath = path_rows(p).select("user_id", "purchase_id", "touchpoint_number", "touchpoint_time",
-                                    "channel", "campaign_id", "interaction_type")
-    path = path_rows(pn)
-    share = (F.col("revenue") / F.col("touchpoints_in_path")).cast("decimal(12,2)")
-    linear = (path.filter(F.col("revenue").isNotNull() & (F.col("revenue") >= 0))
-              .select("user_id", "purchase_id", "touchpoint_number", "channel", "campaign_id",
-                      "interaction_type", "touchpoint_time", share.alias("revenue_share"),
-                      F.col("revenue").cast("decimal(12,2)").alias("total_revenue"),
-                      "touchpoints_in_path", "purchase_date"))
+    touchpath = touchpath_from_path(path_rows(p))
+    linear = linear_from_path(path_rows(pn))
     last = (kept.join(pn.filter(F.col("revenue").isNotNull()),
                       (F.col("user_id") == F.col("_p_user")) & (F.col("_rank_kept") == F.col("touchpoints_in_path")))
             .select("user_id", "purchase_id", "touchpoint_number", "touchpoint_time",
@@ -306,16 +306,72 @@ def _attribution_by_rank(touches: DataFrame, purchases: DataFrame, *, rows_per_t
     return {"fact_touchpath": touchpath, "fact_attribution_linear": linear, "fact_attribution_last_touch": last}
 
 
-def linear_from_path(pw: DataFrame) -> DataFrame:
+def keyed_path_facts(touches: DataFrame, purchases: DataFrame, fact: str, key: str, **kw) -> DataFrame:
+    """``fact_touchpath`` or ``fact_attribution_linear`` with the dense key of its rows in the
+    order (purchase_id, touchpoint_number), nulls first; no path row is exchanged or staged for it.
+
+    A purchase has as many path rows as its path length, and the touch that is the n-th kept one
+    of its user is the n-th of them.  So a row's key is that n after the path lengths of all
+    purchases with smaller ids: a running sum over one row per purchase id, which is range
+    partitioned and staged once as in ``with_dense_key``.  The rows of an id that stands more
+    than once interleave: these alone are numbered row by row, then moved behind the other
+    rows of smaller ids."""
+    linear = fact == "fact_attribution_linear"
+    _, _, pn, path_rows = _path_parts(touches, purchases, **kw)
+    if linear:
+        pn = pn.filter(_ATTRIBUTED)
+    own = ["_p_user", "purchase_date", *(["revenue"] if linear else [])]
+    ids = (pn.groupBy("purchase_id")
+           .agg(F.count(F.lit(1)).alias("_times"), F.sum("touchpoints_in_path").alias("_rows"), *[F.min(c).alias(c) for c in own]))
+    ids = staged(ids.repartitionByRange("purchase_id").sortWithinPartitions("purchase_id")
+                 .withColumn("_mid", F.monotonically_increasing_id()), f"path-{key}")
+    ids = ids.withColumn("_part", F.shiftright("_mid", 33))
+    repeats = F.when(F.col("_times") > 1, F.col("_rows")).otherwise(0)
+    inside = Window.partitionBy("_part").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("_o_part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition
+    sums = (ids.groupBy(F.col("_part").alias("_o_part")).agg(F.sum("_rows").alias("_r"), F.sum(repeats).alias("_rr"))
+            .select("_o_part", F.sum("_r").over(earlier).alias("_base"), F.sum("_rr").over(earlier).alias("_base_repeats")))
+    off = lambda c: F.coalesce(c, F.lit(0))
+    placed = (ids.withColumn("_sum", F.sum("_rows").over(inside)).withColumn("_sum_repeats", F.sum(repeats).over(inside))
+              .join(F.broadcast(sums), F.col("_part") == F.col("_o_part"))
+              .withColumn("_off", off("_base") + off("_sum"))
+              .withColumn("_shift", F.col("_off") - off("_base_repeats") - off("_sum_repeats")))
+
+    def out(path: DataFrame, number, *more: str) -> DataFrame:
+        rows = (linear_from_path if linear else touchpath_from_path)(path.withColumn("_key", number.cast("long")), "_key", *more)
+        return rows.select(F.col("_key").alias(key), *[c for c in rows.columns if c != "_key"])
+
+    once = placed.filter("_times = 1").select("purchase_id", *own, F.col("_rows").cast("int").alias("touchpoints_in_path"), "_off")
+    keyed = out(path_rows(once), F.col("_off") + F.col("_rank_kept"))
+    if ids.filter("_times > 1").isEmpty():
+        return keyed
+    several = placed.filter("_times > 1").select(F.col("purchase_id").alias("_id"), "_shift")
+    rows = out(path_rows(pn.join(several, F.col("purchase_id").eqNullSafe(F.col("_id"))).drop("_id")), F.lit(0), "_shift").drop(key)
+    rows = with_dense_key(rows, key, ["purchase_id", "touchpoint_number"])
+    return keyed.unionByName(rows.withColumn(key, F.col(key) + F.col("_shift")).drop("_shift"))
+
+
+def touchpath_from_path(path: DataFrame, *more: str) -> DataFrame:
+    """ATT-03: the columns of ``fact_touchpath``."""
+    return path.select("user_id", "purchase_id", "touchpoint_number", "touchpoint_time",
+                       "channel", "campaign_id", "interaction_type", *more)
+
+
+#: Paths that ``linear_from_path`` shares out.
+_ATTRIBUTED = "revenue is not null and revenue >= 0"
+
+
+def linear_from_path(pw: DataFrame, *more: str) -> DataFrame:
     """ATT-05: each touch gets revenue / path length as DECIMAL(12,2) (half-up).
 
     Returns (revenue < 0) and purchases without revenue are left out."""
     share = (F.col("revenue") / F.col("touchpoints_in_path")).cast("decimal(12,2)")
-    return (pw.filter(F.col("revenue").isNotNull() & (F.col("revenue") >= 0))
+    return (pw.filter(_ATTRIBUTED)
             .select("user_id", "purchase_id", "touchpoint_number", "channel", "campaign_id",
                     "interaction_type", "touchpoint_time", share.alias("revenue_share"),
                     F.col("revenue").cast("decimal(12,2)").alias("total_revenue"),
-                    "touchpoints_in_path", "purchase_date"))
+                    "touchpoints_in_path", "purchase_date", *more))
 
 
 def last_touch_from_path(pw: DataFrame) -> DataFrame:

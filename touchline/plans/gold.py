@@ -54,6 +54,9 @@ FACT_KEYS = {
     "fact_attribution_last_touch": ("attribution_key", ["purchase_id"]),
 }
 
+# Facts of path rows, whose keys follow from the path lengths of their purchases.
+PATH_FACTS = ("fact_attribution_linear",)
+
 # The calendar spans whole years from the first to the last event of any dated
 # feed, so that every event finds its date key.
 CALENDAR_SOURCES = (("mrkt_ad_spend", "spend_date"), ("mrkt_clicks", "click_timestamp"), ("web_sessions", "session_start"),
@@ -119,6 +122,14 @@ class GoldModel:
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def keyed_fact(self, name: str) -> DataFrame:
+        """The fact with its dense key over its whole order."""
+        key, order = FACT_KEYS[name]
+        if name in PATH_FACTS and self.silver and self.attribution_opts.get("method", "rank") == "rank":
+            return attribution.keyed_path_facts(self.silver["web_touchpoints"], self.silver["crm_purchases"],
+                                                name, key, **{k: v for k, v in self.attribution_opts.items() if k != "method"})
+        return dims.with_dense_key(self.table(name), key, order)
+
     def sharing(self, *feeds: str) -> "GoldModel":
         """This model with the named feeds written once, for queries that read several tables built on them."""
         if not self.silver:

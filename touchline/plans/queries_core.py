@@ -33,7 +33,7 @@ add("fct_06_fact_purchases", lambda g: g.fact_purchases, "SELECT * FROM fact_pur
 
 # every fact's dense key over its whole order; rows that tie are equal
 for _fact, (_key, _order) in FACT_KEYS.items():
-    add(f"dim_05_{_fact}", lambda g, f=_fact, k=_key, o=_order: dims.with_dense_key(g.table(f), k, o),
+    add(f"dim_05_{_fact}", lambda g, f=_fact: g.keyed_fact(f),
         f"SELECT ROW_NUMBER() OVER (ORDER BY {', '.join(f'{c} NULLS FIRST' for c in _order)}) AS {_key}, * FROM {_fact}")
 
 
