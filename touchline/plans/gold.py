@@ -55,7 +55,7 @@ FACT_KEYS = {
 }
 
 # Facts of path rows, whose keys follow from the path lengths of their purchases.
-PATH_FACTS = ("fact_attribution_linear",)
+PATH_FACTS = ("fact_touchpath", "fact_attribution_linear")
 
 # The calendar spans whole years from the first to the last event of any dated
 # feed, so that every event finds its date key.
