@@ -103,6 +103,20 @@ def test_word_table_equals_whole_texts(real):
         assert np.frombuffer(got, words.dtype).tolist() == e.ids
 
 
+def test_words_are_learnt_apart_from_case_and_signs():
+    import random
+
+    words = tokenfile.WordTable(WORDS)
+    words.encode(["Hello hello, HELLO. hello!! (hello); Été été... hello$$$ \n"])
+    assert set(words.words) == {"hello", "été", ",", ".", "!!", "(hello);", "(", ");", "...", "$$$"}
+    draw = random.Random(6)
+    parts = ["It", "É", "ß", "a1", "9", "'", "'s", "'S", ".", ",", "?!", "$$", "|", "<|endoftext|>", "<|EndOfText|>", "-", "_", "«", "º", "\xb5", "×",
+             "\u0301", "\u0130", "Σ", "\x85", "\xa0", "\u2003", "\x1c", " ", " ", " ", "\n"]
+    texts = ["".join(draw.choices(parts, k=draw.randint(1, 40))) for _ in range(3000)] + ["".join(draw.choices(parts[:21] + [" "] * 6, k=60)) for _ in range(3000)]
+    for got, e in zip(words.encode(texts), words.tok.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(got, words.dtype).tolist() == e.ids
+
+
 def test_token_counts_and_cache(spark, docs, nothing, monkeypatch):
     import sentencepiece
 

@@ -45,7 +45,11 @@ READ_IDS = 1 << 20
 _PUNCT = ".,!?;:%&*$#-|()"
 #: Control characters that Python's split() takes for blanks and the tokenizer does not.
 _CONTROL = re.compile("[\x1c-\x1f]")
-TABLE_ENTRIES, CORE_ENTRIES, WORD_CHARS = 600_000, 1_000_000, 64
+#: Signs that end a word, all of them behind a letter or digit and before a blank: a pre-token of their own.
+_ENDING = re.compile(r"[.,!?;:%&*#$](?<=[a-z0-9\xdf-\xf6\xf8-\xff].)[.,!?;:%&*#$]*(?=\s)")
+#: Letters beyond Latin-1, whose case and composition are left to the tokenizer.
+_WIDE = re.compile("[^\x00-\xff]")
+TABLE_ENTRIES, WORD_CHARS = 1_000_000, 64
 #: Words of letters that are encoded as one text, and characters of texts encoded at once.
 JOINED, RUN_CHARS = 256, 1 << 18
 
@@ -120,8 +124,8 @@ class WordTable:
         self.tok.no_padding()
         self.dtype = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.uint32
         self.by_word = self._drops_blanks(json.loads(self.tok.to_str()))
+        self.added = [t["content"].lower() for t in json.loads(self.tok.to_str())["added_tokens"]]
         self.words: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
         self.ends: np.ndarray | None = None
 
     @staticmethod
@@ -164,44 +168,57 @@ class WordTable:
     def _learn(self, new: list[str]) -> dict[str, bytes]:
         """Encode words that the table lacks.  A word of letters between plain signs is three
         runs of pre-tokens that never merge, so signs and letters are encoded apart, once each."""
-        cores = self.cores
-        plain, signed, other = [], [], []
+        words, letters, signs, other = self.words, set(), set(), []
+        cased, signed = [], []
         for w in new:
             if w.isalpha():
-                plain.append((w, w.lower() if w.isascii() else w))
-            elif (core := w.strip(_PUNCT)).isalpha():
+                if w.isascii() and not w.islower():
+                    cased.append((w, w.lower()))
+                else:
+                    letters.add(w)
+            elif (core := w.strip(_PUNCT)).isalpha() and core.lower().isalpha():  # U+0130 ends in a sign in lower case
                 at = w.index(core)
                 signed.append((w, w[:at], core.lower() if core.isascii() else core, w[at + len(core):]))
             else:
                 other.append(w)
-        letters = {c for _, c in plain}
-        letters.update(x[2] for x in signed)
-        letters = [c for c in letters if c not in cores]
-        cores.update(zip(letters, self._letters(letters)))
-        signs = list({x for _, a, _, z in signed for x in (a, z) if x not in cores})
-        cores.update(zip(signs, self._encode(signs)))
-        found = dict(zip(other, self._encode(other)))
-        for w, c in plain:
-            found[w] = cores[c]
+        letters.update(c for _, c in cased)
+        for _, a, c, z in signed:
+            letters.add(c)
+            signs.update((a, z))
+        found = {w: words[w] for w in (letters | signs) & words.keys()} if signed or cased else {}
+        learn = [c for c in letters if c not in found]
+        found.update(zip(learn, self._letters(learn)))
+        other += [x for x in signs if x not in found]
+        found.update(zip(other, self._encode(other)))
+        for w, c in cased:
+            found[w] = found[c]
         for w, a, c, z in signed:
-            found[w] = cores[a] + cores[c] + cores[z]
+            found[w] = found[a] + found[c] + found[z]
         return found
 
+    def _cut(self, text: str) -> list[str] | None:
+        """The words of a text, in lower case and apart from the signs behind them where that
+        changes no pre-token; None where its blanks are not the tokenizer's."""
+        if _CONTROL.search(text):
+            return None
+        if not _WIDE.search(text):
+            low = text.lower()
+            if not any(a in low for a in self.added):
+                text = _ENDING.sub(r" \g<0>", low)
+        return text.split()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return self._encode(texts)
-        cut = [t.split() if not _CONTROL.search(t) else None for t in texts]
+        cut = [self._cut(t) for t in texts]
         # this call's words in a table of their own, small enough to stay in the processor's cache
         distinct = list(set().union(*[c for c in cut if c is not None]))
         known = dict(zip(distinct, map(self.words.get, distinct)))
         found = self._learn([w for w, ids in known.items() if ids is None])
         known.update(found)
-        # letters are what costs: their table outlasts that of the words they stand in
         if len(self.words) + len(found) > TABLE_ENTRIES:
             self.words = {}
-        if len(self.cores) > CORE_ENTRIES:
-            self.cores = {}
-        self.words.update((w, ids) for w, ids in found.items() if len(w) <= WORD_CHARS)
+        self.words.update(found if max(map(len, found), default=0) <= WORD_CHARS else {w: ids for w, ids in found.items() if len(w) <= WORD_CHARS})
         get = known.__getitem__
         return [b"".join(map(get, c)) if c is not None else self._encode([t])[0] for t, c in zip(texts, cut)]
 
